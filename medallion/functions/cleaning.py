@@ -13,6 +13,7 @@ BLANK_SENTINELS = ("NULL", "NA", "")
 
 # Fixed value: what a date looks like after the export cut it down to minutes and seconds.
 CORRUPT_DATE = "^[0-9]{2}:[0-9]{2}[.][0-9]+$"
+ISO_DAY = "yyyy-MM-dd"
 
 
 def _column(value: Column | str) -> Column:
@@ -59,10 +60,18 @@ def extract_number(value: Column | str, data_type: str, pattern: str = "([0-9.]+
     return F.regexp_extract(_column(value), pattern, 1).try_cast(data_type)
 
 
+def _first_true(tests: Iterable[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
+    """One CASE over the tests in order; the optimizer can then reason about its branches."""
+    chain = F
+    for test, result in tests:
+        chain = chain.when(test, result)
+    return chain if otherwise is None else chain.otherwise(otherwise)
+
+
 def extract_unit(value: Column | str, units: Sequence[str]) -> Column:
     """First of ``units`` that the text contains (case-sensitive), else NULL."""
     text = _column(value)
-    return F.coalesce(*[F.when(text.contains(u), F.lit(u)) for u in units])
+    return _first_true((text.contains(u), F.lit(u)) for u in units)
 
 
 def matches_corrupt(value: Column | str, pattern: str = CORRUPT_DATE) -> Column:
@@ -75,8 +84,16 @@ def normalise_enum(value: Column | str, allowed: Iterable[str]) -> Column:
     return F.when(text.isin(*allowed), text)
 
 
-def safe_date(value: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(_column(value), fmt)
+def safe_date(value: Column | str, fmt: str = ISO_DAY) -> Column:
+    """Date in a strict format, else NULL.
+
+    For ISO days the shape is tested first and the plain cast does the rest: a parser that raises
+    and recovers on every bad value costs many times more.
+    """
+    text = _column(value)
+    if fmt == ISO_DAY:
+        return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+    return F.try_to_date(text, fmt)
 
 
 def safe_timestamp(value: Column | str, fmt: str, sentinels: Iterable[str] = BLANK_SENTINELS) -> Column:
@@ -102,10 +119,10 @@ def safe_pct(num: Column | str, den: Column | str, digits: int = 2) -> Column:
 def bucketize(value: Column | str, bounds: Sequence[tuple[float, str]], otherwise: str, at_least: bool) -> Column:
     """Label of the first bound that holds: ``value >= bound`` if ``at_least``, else ``value <= bound``."""
     number = _column(value)
-    tests = [(number >= F.lit(b) if at_least else number <= F.lit(b), label) for b, label in bounds]
-    return F.coalesce(*[F.when(test, F.lit(label)) for test, label in tests], F.lit(otherwise))
+    tests = ((number >= F.lit(b) if at_least else number <= F.lit(b), F.lit(label)) for b, label in bounds)
+    return _first_true(tests, F.lit(otherwise))
 
 
 def first_match(rules: Iterable[tuple[str, str]]) -> Column:
     """Label of the first SQL predicate that is TRUE, in the given order; NULL when none fires."""
-    return F.coalesce(*[F.when(F.expr(predicate), F.lit(label)) for label, predicate in rules])
+    return _first_true((F.expr(predicate), F.lit(label)) for label, predicate in rules)

@@ -108,13 +108,11 @@ def clean_cars(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _claim_day(raw: str) -> Column:
-    """ISO day, or NULL where the export corrupted or omitted it."""
-    return F.when(~matches_corrupt(raw), safe_date(raw))
-
-
 def clean_claims(bronze: DataFrame) -> DataFrame:
-    """Claims with typed amounts. Raw date texts stay beside the parsed dates for audit."""
+    """Claims with typed amounts. Raw date texts stay beside the parsed dates for audit.
+
+    A date that the export corrupted or left out is NULL; only ISO days are read.
+    """
     raw = (
         bronze.withColumnRenamed("Claim_Logged_On", "_raw_logged_on")
         .withColumnRenamed("Claim_Processed_On", "_raw_processed_on")
@@ -126,10 +124,10 @@ def clean_claims(bronze: DataFrame) -> DataFrame:
         raw,
         {
             "claim_id": safe_cast("ClaimID", "bigint"),
-            "claim_logged_on": _claim_day("_raw_logged_on").cast("timestamp"),
+            "claim_logged_on": safe_date("_raw_logged_on").cast("timestamp"),
             "_raw_logged_on": "_raw_logged_on",
             "claim_logged_on_corrupted": matches_corrupt("_raw_logged_on"),
-            "claim_processed_on": _claim_day("_raw_processed_on").cast("timestamp"),
+            "claim_processed_on": safe_date("_raw_processed_on").cast("timestamp"),
             "_raw_processed_on": "_raw_processed_on",
             "claim_processed_on_null_string": no_processing_date,
             "claim_processed_on_corrupted": ~no_processing_date & matches_corrupt("_raw_processed_on"),
@@ -139,7 +137,7 @@ def clean_claims(bronze: DataFrame) -> DataFrame:
             "bodily_injuries": safe_cast("bodily_injuries", "int"),
             "collision_type": null_if_sentinel("collision_type"),
             "incident_city": "incident_city",
-            "incident_date": _claim_day("_raw_incident_date"),
+            "incident_date": safe_date("_raw_incident_date"),
             "_raw_incident_date": "_raw_incident_date",
             "incident_date_corrupted": matches_corrupt("_raw_incident_date"),
             "incident_location": "incident_location",

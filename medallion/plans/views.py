@@ -18,7 +18,8 @@ AGING_REST = "60+"
 
 def multi_region_customers(unified: DataFrame) -> DataFrame:
     """Customers seen with more than one region, looked for before duplicates are removed."""
-    return inconsistent_keys(unified, "customer_id", "region", "region_count")
+    known = unified.filter(F.col("customer_id").isNotNull())
+    return inconsistent_keys(known, "customer_id", "region", "region_count")
 
 
 def claim_rejection_rate(dim_policy: DataFrame, fact_claims: DataFrame, dim_customer: DataFrame) -> DataFrame:

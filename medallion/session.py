@@ -10,6 +10,10 @@ from pyspark.sql import SparkSession
 # State of the audit counters never expires, so it must not live on the JVM heap.
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The JVM never compiles a method above this size. Long rule chains over long cleaning expressions
+# can exceed it in one fused stage and would run interpreted; split into smaller methods they do not.
+_JIT_METHOD_BYTES = "8000"
+
 
 def build_session(app: str = "medallion", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution, UTC timestamps and an on-disk state store."""
@@ -20,6 +24,7 @@ def build_session(app: str = "medallion", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
+        .config("spark.sql.codegen.hugeMethodLimit", _JIT_METHOD_BYTES)
     )
     if master:
         builder = builder.master(master)

@@ -513,7 +513,7 @@ _QUERIES |= {
     "fact_sales": f"SELECT sales_id, {_stamp('ad_placed_on')} AS ad_placed_on, car_id, owner, {_stamp('sold_on')} AS sold_on, "
     "CAST(original_selling_price AS DOUBLE) AS original_selling_price, region, state, city, seller_type FROM fact_sales",
     "multi_region_customers": "SELECT customer_id, count(DISTINCT region) AS region_count FROM unified "
-    "GROUP BY customer_id HAVING count(DISTINCT region) > 1",
+    "WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(DISTINCT region) > 1",
     "claim_rejection_rate": _RATE,
     "refresh_rejection_rate": _RATE,
     "unsold_by_model_region": "SELECT model, fs.region, count(*) AS unsold_count FROM fact_sales fs "

@@ -23,7 +23,7 @@ from medallion.plans.rulebook import ENTITIES, EXPECTATIONS, QUARANTINE
 from medallion.session import fresh_dir
 from medallion.sources.files import evolve, read_csv_by_header
 from medallion.sources.lookups import region_mapper, seed_rows
-from medallion.sources.tables import read_table, refresh_view, stream_table
+from medallion.sources.tables import read_table, refresh_view, stream_table, write_overwrite
 from medallion.streaming.jobs import read_batches, read_snapshot, run_append, run_complete, run_split
 from queries.bronze import base_table, bronze
 
@@ -205,9 +205,12 @@ def dq_explanations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_issues(spark: SparkSession, sf: str) -> DataFrame:
-    return portable(
-        dq_log.enrich_issues(log(spark, sf), dq_log.rule_bridge(spark), stats(spark, sf), issue_catalogue(spark))
-    )
+    """The log is stored first: statistics and events then read it instead of cleaning everything twice."""
+    target = fresh_dir(spark, "log")
+    write_overwrite(log(spark, sf), target)
+    events, bridge, catalogue = read_table(spark, target), dq_log.rule_bridge(spark), issue_catalogue(spark)
+    numbers = dq_log.issue_stats(events, bridge, counts(spark, sf), catalogue)
+    return portable(dq_log.enrich_issues(events, bridge, numbers, catalogue))
 
 
 def policy_documents(spark: SparkSession, sf: str) -> DataFrame:
