@@ -13,6 +13,8 @@ from medallion.functions.cleaning import first_match
 
 DROP = "drop"
 WARN = "warn"
+CLEAN = "clean"
+QUARANTINE = "quarantine"
 
 
 @dataclass(frozen=True)
@@ -78,3 +80,22 @@ def split_quality(
 ) -> tuple[DataFrame, DataFrame]:
     """Clean rows and quarantined rows. They overlap: a row that only breaks a WARN rule is in both."""
     return expect_or_drop(df, expectations), quarantine(df, entity, rules)
+
+
+def tag_quality(
+    df: DataFrame, entity: str, expectations: Sequence[Expectation], rules: Sequence[QuarantineRule]
+) -> DataFrame:
+    """The same split in one pass: every row once per table it belongs to, named in ``_table``.
+
+    Written partitioned by ``_table`` this feeds both tables from a single scan, with nothing cached.
+    """
+    passes = reduce(Column.__and__, [F.expr(r.predicate) for r in expectations if r.action == DROP], F.lit(True))
+    broken = F.col("_dq_rule").isNotNull()
+    clean, bad = F.lit(CLEAN), F.lit(QUARANTINE)
+    tables = F.when(passes & broken, F.array(clean, bad)).when(passes, F.array(clean)).when(broken, F.array(bad))
+    return (
+        df.withColumn("_dq_rule", first_match([(r.label, r.predicate) for r in rules]))
+        .withColumn("_dq_detected_at", F.current_timestamp())
+        .withColumn("_entity", F.lit(entity))
+        .withColumn("_table", F.explode(tables))
+    )

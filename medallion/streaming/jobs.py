@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from medallion.operators.quality import Expectation, QuarantineRule, split_quality
+from medallion.operators.quality import CLEAN, QUARANTINE, Expectation, QuarantineRule, tag_quality
 from medallion.sources.files import new_file_stream, read_csv_by_header
 
 BATCH = "_batch"
 
 
-def run_append(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def run_append(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Append finished rows to a parquet table, each exactly once. Returns the finished query."""
     query = (
         df.writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)
@@ -72,23 +73,18 @@ def run_split(
     entity: str,
     expectations: Sequence[Expectation],
     rules: Sequence[QuarantineRule],
-    clean_target: str,
-    quarantine_target: str,
+    target: str,
     checkpoint: str,
-    finish_clean: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
-    """Feed the clean and the quarantine table from one pass over a parsed stream."""
+    """Feed the clean and the quarantine table of an entity from one pass over a parsed stream."""
+    return run_append(tag_quality(parsed, entity, expectations, rules), target, checkpoint, ["_table"])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            clean, rejected = split_quality(batch, entity, expectations, rules)
-            _write_batch(finish_clean(clean), clean_target, batch_id)
-            _write_batch(rejected, quarantine_target, batch_id)
-        finally:
-            batch.unpersist()
-
-    return run_batches(parsed, write, checkpoint)
+
+def read_split(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
+    """Clean and quarantine table written by ``run_split``; each reads only its own folder."""
+    both = spark.read.parquet(target)
+    clean, bad = (both.filter(F.col("_table") == name).drop("_table") for name in (CLEAN, QUARANTINE))
+    return clean.drop("_dq_rule", "_dq_detected_at", "_entity"), bad
 
 
 def ingest_csv(

@@ -24,7 +24,7 @@ from medallion.session import fresh_dir
 from medallion.sources.files import evolve, read_csv_by_header
 from medallion.sources.lookups import region_mapper, seed_rows
 from medallion.sources.tables import read_table, refresh_view, stream_table, write_overwrite
-from medallion.streaming.jobs import read_batches, read_snapshot, run_append, run_complete, run_split
+from medallion.streaming.jobs import read_snapshot, read_split, run_append, run_complete, run_split
 from queries.bronze import base_table, bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -403,13 +403,14 @@ def stream_enrich_issues(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_split_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Clean and quarantined claims written from one pass over the stream."""
-    good, bad = fresh_dir(spark, "claims-clean"), fresh_dir(spark, "claims-quarantine")
+    target = fresh_dir(spark, "claims")
     claims = parsed(spark, sf, "claims", stream=True)
     run_split(
-        claims, "claims", EXPECTATIONS["claims"], QUARANTINE["claims"], good, bad, fresh_dir(spark, "split-checkpoint")
+        claims, "claims", EXPECTATIONS["claims"], QUARANTINE["claims"], target, fresh_dir(spark, "claims-checkpoint")
     )
-    kept = read_batches(spark, good).select(F.lit("clean").alias("kind"), "claim_id", F.lit("").alias("_dq_rule"))
-    return union_all([kept, read_batches(spark, bad).select(F.lit("quarantine").alias("kind"), "claim_id", "_dq_rule")])
+    good, bad = read_split(spark, target)
+    kept = good.select(F.lit("clean").alias("kind"), "claim_id", F.lit("").alias("_dq_rule"))
+    return union_all([kept, bad.select(F.lit("quarantine").alias("kind"), "claim_id", "_dq_rule")])
 
 
 def _per_entity() -> dict[str, Query]:
