@@ -18,8 +18,15 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def dedupe_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First row seen per key. State is kept for every key ever seen: no watermark, by design."""
+def dedupe_stream(df: DataFrame, keys: Sequence[str], salts: int = 8) -> DataFrame:
+    """First row seen per key. State is kept for every key ever seen: no watermark, by design.
+
+    A stream has no map-side step that thins out duplicates. Duplicates are therefore removed
+    within ``salts`` groups of input partitions first, so the rows of a frequent key are
+    shared by that many tasks and at most ``salts`` of them go on.
+    """
+    if salts > 1:
+        df = df.withColumn("_salt", F.spark_partition_id() % salts).dropDuplicates([*keys, "_salt"]).drop("_salt")
     return df.dropDuplicates(list(keys))
 
 
@@ -34,5 +41,5 @@ def streaming_exact_distinct(df: DataFrame, group: Sequence[str], id_col: str, o
     NULL ids are not counted. Run in complete or update mode. ``more`` are extra aggregates,
     which see one row per (group, id).
     """
-    unique = df.dropDuplicates([*group, id_col])
+    unique = dedupe_stream(df, [*group, id_col])
     return unique.groupBy(*group).agg(F.count(id_col).alias(out), *more)

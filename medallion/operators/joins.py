@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from medallion.functions.cleaning import norm_upper
 
 BROADCAST_ROWS = 50_000
+HOT_KEYS = 50_000
 
 
 def checked_lookup(lookup: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -46,13 +47,30 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def with_group_count(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Number of rows sharing this row's key, on every row.
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
-    A window would bring a whole group into one task. Counting first (combined before the
-    shuffle) and joining back keeps the count side at one row per key, and adaptive execution
-    either broadcasts it or splits the hot key of the other side.
+
+def with_group_count(df: DataFrame, keys: Sequence[str], out: str, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Number of rows sharing this row's key (NULL is a key), on every row.
+
+    A window, or a plain join with the counts, would bring all rows of a frequent key into one task.
+    Fewer than ``hot_keys`` keys can each hold more than ``1 / hot_keys`` of the rows, so the counts
+    of those are broadcast whatever the size of the data. Rows that found their count that way are
+    spread over the join of the remaining keys by their input partition instead of their key.
     """
-    counts = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count("*").alias(out))
-    same: Column = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return df.join(counts, same, "left").drop(*[f"_key_{k}" for k in keys])
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    is_hot = F.col("_n") * hot_keys > counts.agg(F.sum("_n")).scalar()
+
+    def side(rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], F.col("_n").alias(f"{prefix}n"))
+
+    hot = side(counts.filter(is_hot), "_hot_")
+    cold = side(counts.filter(~is_hot), "_cold_").withColumn("_cold_part", F.xxhash64(*[f"_cold_{k}" for k in keys]))
+    part = F.when(F.col("_hot_n").isNull(), F.xxhash64(*keys)).otherwise(F.spark_partition_id())
+    return (
+        df.join(F.broadcast(hot), _same(keys, "_hot_"), "left")
+        .withColumn("_part", part)
+        .join(cold, (F.col("_part") == F.col("_cold_part")) & _same(keys, "_cold_"), "left")
+        .select(*df.columns, F.coalesce("_hot_n", "_cold_n").alias(out))
+    )

@@ -24,6 +24,7 @@ def build_session(app: str = "medallion", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.sql.codegen.hugeMethodLimit", _JIT_METHOD_BYTES)
     )
     if master:

@@ -93,11 +93,16 @@ def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def header_groups(spark: SparkSession, path: str | list[str], glob: str) -> list[tuple[list[str], list[str]]]:
-    """Files grouped by header line: (column names, paths). Tasks read only the first block of a file."""
+    """Files grouped by header line: (column names, paths). Tasks read only the first block of a file.
+
+    The driver receives one (path, header) pair per file, as much as Spark's own file listing holds.
+    """
     heads = _paths(spark, path, glob).mapInPandas(_heads, "path string, header string")
-    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    ordered = sorted(groups, key=lambda g: g["paths"][0])
-    return [(next(csv.reader([g["header"]])), g["paths"]) for g in ordered if g["header"]]
+    groups: dict[str, list[str]] = {}
+    for found in sorted(heads.collect()):
+        if found["header"]:
+            groups.setdefault(found["header"], []).append(found["path"])
+    return [(next(csv.reader([header])), paths) for header, paths in groups.items()]
 
 
 def read_csv_by_header(spark: SparkSession, path: str | list[str], glob: str, infer: bool = False) -> DataFrame:
