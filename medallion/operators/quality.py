@@ -89,13 +89,20 @@ def tag_quality(
 
     Written partitioned by ``_table`` this feeds both tables from a single scan, with nothing cached.
     """
-    passes = reduce(Column.__and__, [F.expr(r.predicate) for r in expectations if r.action == DROP], F.lit(True))
-    broken = F.col("_dq_rule").isNotNull()
-    clean, bad = F.lit(CLEAN), F.lit(QUARANTINE)
-    tables = F.when(passes & broken, F.array(clean, bad)).when(passes, F.array(clean)).when(broken, F.array(bad))
+    gates = [F.expr(r.predicate) for r in expectations if r.action == DROP]
+    belongs = F.when(F.col("_table") == CLEAN, F.col("_passes")).otherwise(F.col("_dq_rule").isNotNull())
     return (
-        df.withColumn("_dq_rule", first_match([(r.label, r.predicate) for r in rules]))
-        .withColumn("_dq_detected_at", F.current_timestamp())
-        .withColumn("_entity", F.lit(entity))
-        .withColumn("_table", F.explode(tables))
+        df.withColumns(
+            {
+                "_dq_rule": first_match([(r.label, r.predicate) for r in rules]),
+                "_dq_detected_at": F.current_timestamp(),
+                "_entity": F.lit(entity),
+                "_passes": reduce(Column.__and__, gates, F.lit(True)),
+            }
+        )
+        # Tested after the copy is made: a test on the label alone would be moved below the cleaning
+        # expressions and evaluate all of them a second time.
+        .withColumn("_table", F.explode(F.array(F.lit(CLEAN), F.lit(QUARANTINE))))
+        .filter(belongs)
+        .drop("_passes")
     )

@@ -22,8 +22,12 @@ Cover in this order: what was found, why it matters, what caused it, how to fix
 
 
 def one_row_per_issue(issues: DataFrame) -> DataFrame:
-    """Event rows reduced to their issues, so that each issue is explained once."""
-    return issues.select(*ISSUE_COLUMNS).distinct()
+    """Event rows reduced to their issues, so that each issue is explained once.
+
+    Events of different runs carry the count of their time; counts only grow, so the largest is current.
+    """
+    facts = F.struct("affected_records", *[c for c in ISSUE_COLUMNS if c not in ("issue_id", "affected_records")])
+    return issues.groupBy("issue_id").agg(F.max(facts).alias("_facts")).select("issue_id", "_facts.*")
 
 
 def dq_prompts(issues: DataFrame) -> DataFrame:

@@ -14,13 +14,13 @@ def read_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
-def stream_table(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """A folder of parquet files as a stream of newly arriving rows."""
-    static = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    reader = spark.readStream.schema(static.parquet(path).schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+def stream_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
+    """A folder of parquet files as a stream of newly arriving rows.
+
+    ``path`` may be a pattern. ``evolving`` looks at all files for columns, not just at one.
+    """
+    schema = spark.read.option("mergeSchema", evolving).parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def _write(df: DataFrame, target: str, mode: str) -> None:
