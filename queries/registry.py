@@ -98,16 +98,29 @@ def unified_customers(spark: SparkSession, sf: str) -> DataFrame:
     return entities.unify_customers(bronze(spark, sf, "customers"), region_mapper(spark))
 
 
+def parsed_all(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {entity: parsed(spark, sf, entity) for entity in ENTITIES}
+
+
+def log_of(frames: dict[str, DataFrame]) -> DataFrame:
+    return dq_log.quality_log({e: quarantine(df, e, QUARANTINE[e]) for e, df in frames.items()})
+
+
+def counts_of(frames: dict[str, DataFrame]) -> DataFrame:
+    return dq_log.entity_counts({e: expect_or_drop(df, EXPECTATIONS[e]) for e, df in frames.items()})
+
+
 def log(spark: SparkSession, sf: str) -> DataFrame:
-    return dq_log.quality_log({e: rejected(spark, sf, e) for e in ENTITIES})
+    return log_of(parsed_all(spark, sf))
 
 
 def counts(spark: SparkSession, sf: str) -> DataFrame:
-    return dq_log.entity_counts({e: gated(spark, sf, e) for e in ENTITIES})
+    return counts_of(parsed_all(spark, sf))
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    return dq_log.issue_stats(log(spark, sf), dq_log.rule_bridge(spark), counts(spark, sf), issue_catalogue(spark))
+    frames = parsed_all(spark, sf)
+    return dq_log.issue_stats(log_of(frames), dq_log.rule_bridge(spark), counts_of(frames), issue_catalogue(spark))
 
 
 def issues(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,10 +219,10 @@ def dq_explanations(spark: SparkSession, sf: str) -> DataFrame:
 
 def enrich_issues(spark: SparkSession, sf: str) -> DataFrame:
     """The log is stored first: statistics and events then read it instead of cleaning everything twice."""
-    target = fresh_dir(spark, "log")
-    write_overwrite(log(spark, sf), target)
+    target, frames = fresh_dir(spark, "log"), parsed_all(spark, sf)
+    write_overwrite(log_of(frames), target)
     events, bridge, catalogue = read_table(spark, target), dq_log.rule_bridge(spark), issue_catalogue(spark)
-    numbers = dq_log.issue_stats(events, bridge, counts(spark, sf), catalogue)
+    numbers = dq_log.issue_stats(events, bridge, counts_of(frames), catalogue)
     return portable(dq_log.enrich_issues(events, bridge, numbers, catalogue))
 
 
@@ -384,7 +397,7 @@ def stream_quality_log(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_issue_stats(spark: SparkSession, sf: str) -> DataFrame:
     events = stream_table(spark, streamed_log(spark, sf))
-    totals = dq_log.entity_counts({e: gated(spark, sf, e) for e in STATELESS})
+    totals = counts_of({e: parsed(spark, sf, e) for e in STATELESS})
     live = dq_log.issue_stats(events, dq_log.rule_bridge(spark), totals, issue_catalogue(spark))
     target = fresh_dir(spark, "stats")
     run_complete(live, target, fresh_dir(spark, "stats-checkpoint"))
@@ -395,7 +408,7 @@ def stream_enrich_issues(spark: SparkSession, sf: str) -> DataFrame:
     """Event stream joined to the statistics of the log it comes from."""
     path = streamed_log(spark, sf)
     bridge, catalogue = dq_log.rule_bridge(spark), issue_catalogue(spark)
-    totals = dq_log.entity_counts({e: gated(spark, sf, e) for e in STATELESS})
+    totals = counts_of({e: parsed(spark, sf, e) for e in STATELESS})
     numbers = dq_log.issue_stats(read_table(spark, path), bridge, totals, catalogue)
     enriched = dq_log.enrich_issues(stream_table(spark, path), bridge, numbers, catalogue)
     return portable(read_table(spark, appended(spark, enriched, "issues")))
