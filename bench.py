@@ -41,7 +41,7 @@ def main() -> None:
     times = {name: run(spark, name, sf_dir) for name in chosen}
     spark.stop()
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": sf_dir.split("sf")[-1]}))
+    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": float(sf_dir.rstrip("/").split("sf")[-1])}))
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from medallion.operators.quality import CLEAN, QUARANTINE, Expectation, QuarantineRule, tag_quality
 from medallion.sources.files import new_file_stream, read_csv_by_header
@@ -18,33 +18,41 @@ from medallion.sources.files import new_file_stream, read_csv_by_header
 BATCH = "_batch"
 
 
-def run_append(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Append finished rows to a parquet table, each exactly once. Returns the finished query."""
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*partition_by)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
+def _drain(writer: DataStreamWriter, spark: SparkSession, checkpoint: str, state_partitions: int | None, *target: str):
+    """Run a stream until it has taken all there is. The first run fixes the number of state partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(*target)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     query.awaitTermination()
     return query
 
 
+def run_append(
+    df: DataFrame,
+    target: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Append finished rows to a parquet table, each exactly once. Returns the finished query."""
+    writer = df.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
+    return _drain(writer, df.sparkSession, checkpoint, state_partitions, target)
+
+
 def run_batches(
-    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    df: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Hand every micro-batch to ``write(batch, batch_id)``, which must be repeatable."""
-    query = (
-        df.writeStream.foreachBatch(write)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    writer = df.writeStream.foreachBatch(write).outputMode(mode)
+    return _drain(writer, df.sparkSession, checkpoint, state_partitions)
 
 
 def _write_batch(batch: DataFrame, target: str, batch_id: int) -> None:
@@ -56,9 +64,11 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(target).drop(BATCH)
 
 
-def run_complete(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def run_complete(
+    df: DataFrame, target: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
     """Write a full snapshot of a running aggregate per micro-batch."""
-    return run_batches(df, lambda batch, i: _write_batch(batch, target, i), checkpoint, mode="complete")
+    return run_batches(df, lambda batch, i: _write_batch(batch, target, i), checkpoint, "complete", state_partitions)
 
 
 def read_snapshot(spark: SparkSession, target: str) -> DataFrame:
@@ -97,7 +107,7 @@ def ingest_csv(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        paths = [row["path"] for row in batch.select("path").distinct().limit(max_files).collect()]
+        paths = [row["path"] for row in batch.collect()]
         if paths:
             _write_batch(read_csv_by_header(spark, paths, glob, infer), target, batch_id)
 

@@ -355,10 +355,22 @@ def refresh_rejection_rate(spark: SparkSession, sf: str) -> DataFrame:
 STATELESS = ("cars", "claims", "policy", "sales")
 
 
+def cores(spark: SparkSession) -> int:
+    """State partitions of a stream: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
+def snapshot(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Run an aggregating stream in complete mode and return its last snapshot."""
+    target = fresh_dir(spark, label)
+    run_complete(df, target, fresh_dir(spark, f"{label}-checkpoint"), cores(spark))
+    return read_snapshot(spark, target)
+
+
 def appended(spark: SparkSession, df: DataFrame, label: str) -> str:
     """Run a stream into a table of its own and return the table's path."""
     target = fresh_dir(spark, label)
-    run_append(df, target, fresh_dir(spark, f"{label}-checkpoint"))
+    run_append(df, target, fresh_dir(spark, f"{label}-checkpoint"), state_partitions=cores(spark))
     return target
 
 
@@ -374,10 +386,7 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_exact_distinct(spark: SparkSession, sf: str) -> DataFrame:
     claims = gated(spark, sf, "claims", stream=True)
-    target = fresh_dir(spark, "distinct")
-    counted = streaming_exact_distinct(claims, ["incident_severity"], "policy_id", "policies")
-    run_complete(counted, target, fresh_dir(spark, "distinct-checkpoint"))
-    return read_snapshot(spark, target)
+    return snapshot(spark, streaming_exact_distinct(claims, ["incident_severity"], "policy_id", "policies"), "distinct")
 
 
 def stream_fact_claims(spark: SparkSession, sf: str) -> DataFrame:
@@ -399,9 +408,7 @@ def stream_issue_stats(spark: SparkSession, sf: str) -> DataFrame:
     events = stream_table(spark, streamed_log(spark, sf))
     totals = counts_of({e: parsed(spark, sf, e) for e in STATELESS})
     live = dq_log.issue_stats(events, dq_log.rule_bridge(spark), totals, issue_catalogue(spark))
-    target = fresh_dir(spark, "stats")
-    run_complete(live, target, fresh_dir(spark, "stats-checkpoint"))
-    return portable(read_snapshot(spark, target))
+    return portable(snapshot(spark, live, "stats"))
 
 
 def stream_enrich_issues(spark: SparkSession, sf: str) -> DataFrame:

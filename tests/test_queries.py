@@ -28,3 +28,10 @@ def test_entry(spark):
 def test_query(spark, con, sf_dir, name):
     problem, rows = compare(spark, con, name, sf_dir)
     assert not problem and rows > 0
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
+def test_no_plan_pairs_all_rows(spark, sf_dir, name, capsys):
+    QUERIES[name](spark, sf_dir).explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

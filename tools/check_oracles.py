@@ -53,7 +53,9 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[str, int]:
 
 def main() -> None:
     sf_dir, *names = sys.argv[1:]
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8")
+    spark = build_session(
+        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__driver__maxResultSize="4g"
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
