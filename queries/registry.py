@@ -151,8 +151,18 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly.score_claims(gated(spark, sf, "claims"))
 
 
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder."""
+    target = fresh_dir(spark, label)
+    write_overwrite(df, target)
+    return read_table(spark, target)
+
+
 def rejection_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return views.claim_rejection_rate(dim_policy(spark, sf), fact_claims(spark, sf), dim_customer(spark, sf))
+    """The facts are a stored table, as for any report. Counted straight after their join they would keep the
+    join's partitioning, and a policy with very many claims would stay in one task."""
+    facts = stored(spark, fact_claims(spark, sf).select("claim_id", "policy_id", "claim_rejected"), "facts")
+    return views.claim_rejection_rate(dim_policy(spark, sf), facts, dim_customer(spark, sf))
 
 
 def domains(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -219,9 +229,9 @@ def dq_explanations(spark: SparkSession, sf: str) -> DataFrame:
 
 def enrich_issues(spark: SparkSession, sf: str) -> DataFrame:
     """The log is stored first: statistics and events then read it instead of cleaning everything twice."""
-    target, frames = fresh_dir(spark, "log"), parsed_all(spark, sf)
-    write_overwrite(log_of(frames), target)
-    events, bridge, catalogue = read_table(spark, target), dq_log.rule_bridge(spark), issue_catalogue(spark)
+    frames = parsed_all(spark, sf)
+    events = stored(spark, log_of(frames), "log")
+    bridge, catalogue = dq_log.rule_bridge(spark), issue_catalogue(spark)
     numbers = dq_log.issue_stats(events, bridge, counts_of(frames), catalogue)
     return portable(dq_log.enrich_issues(events, bridge, numbers, catalogue))
 
