@@ -40,8 +40,14 @@ def main() -> None:
     run(spark, "clean_policy", sf_dir)  # starts the JVM's code paths; not reported
     times = {name: run(spark, name, sf_dir) for name in chosen}
     spark.stop()
-    total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": float(sf_dir.rstrip("/").split("sf")[-1])}))
+    line = {
+        "metric": "total_query_time",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": float(sf_dir.rstrip("/").split("sf")[-1]),
+    }
+    print(json.dumps(line))
 
 
 if __name__ == "__main__":

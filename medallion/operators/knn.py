@@ -38,10 +38,11 @@ def _nearest(
         for q, query in enumerate(queries):
             gap = points - query
             distance = np.einsum("ij,ij->i", gap, gap)
+            distance[np.isnan(distance)] = np.inf  # a missing component: comparable to nothing
             reach = worst[q]
             if len(distance) > k:
                 reach = min(reach, np.partition(distance, k - 1)[k - 1])
-            near = np.flatnonzero(distance <= reach)
+            near = np.flatnonzero((distance <= reach) & (distance < np.inf))
             if len(near) == 0:
                 continue
             found = rows.take(pa.array(near)).append_column("distance", pa.array(distance[near]))

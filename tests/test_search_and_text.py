@@ -54,6 +54,12 @@ def test_corpus_smaller_than_k_and_null_vectors(spark):
     assert sorted((r["rank"], r.c, r.distance) for r in got) == [(1, 3, 1.0), (2, 1, 4.0)]
 
 
+def test_vector_with_a_missing_component_is_no_neighbour(spark):
+    q = spark.createDataFrame([(1, [0.0])], "q int, qv array<float>")
+    c = spark.createDataFrame([(i, [None]) for i in range(9)] + [(9, [2.0])], "c int, cv array<float>").coalesce(1)
+    assert [(r.c, r.distance) for r in knn_l2(q, c, 5, "q", "qv", "c", "cv").collect()] == [(9, 4.0)]
+
+
 def test_no_queries_give_no_rows(spark):
     q = spark.createDataFrame([], "q int, qv array<float>")
     c = spark.createDataFrame([(1, [2.0])], "c int, cv array<float>")
