@@ -25,7 +25,7 @@ from medallion.llm.text import WORD_CHARS, Powers, bounds, mix, range_hashes, te
 EDITS = 0.2
 #: Items with fewer words are too short to be told from ordinary text.
 MIN_WORDS = 3
-WALKS, SAMPLES, KEY_WORDS = 4, 8, 2
+WALKS, SAMPLES, KEY_WORDS = 4, 12, 2
 #: Window lengths grow by this factor; an item is sought with the nearest one.
 GROWTH = 1.15
 RUN = 3
