@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from queries.oracles import ORACLES
 from queries.registry import QUERIES
 from tools.check_oracles import compare, connect
 
@@ -16,7 +17,8 @@ def con(sf_dir):
 
 
 def test_registry():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
