@@ -99,7 +99,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, list_distinct(CASE
     WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
   FROM words
 ), tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
 links AS (
@@ -114,7 +114,7 @@ FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
     "op7_neardup": """
 WITH RECURSIVE parts AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, v -> v IS NULL OR NOT isfinite(v))) = 0
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
 ), unit AS (
   SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS n FROM parts WHERE list_dot_product(x, x) > 0
 ), links AS (
@@ -131,7 +131,7 @@ FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN least_of l ON l
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex FROM p),
 b AS (
-  SELECT *, array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + CAST(((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS BIGINT), 1)), '')
     AS payload_digest, max(page_id) OVER (PARTITION BY hex) AS whole
   FROM d
