@@ -27,9 +27,8 @@ PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare base32 SHA-1 of a text's UTF-8 bytes."""
-    digest = F.sha1(payload)
+def base32(digest: Column) -> Column:
+    """Bare base32 of a SHA-1 in hex."""
     symbols = []
     for i in range(8):  # five hex digits are four symbols
         bits = F.conv(F.substring(digest, 1 + 5 * i, 5), 16, 10).cast("int")
@@ -53,7 +52,7 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("payload")
-    ).select("*", F.octet_length("payload").cast("long").alias("size"), base32_sha1(F.col("payload")).alias("digest"))
+    ).select("*", F.octet_length("payload").cast("long").alias("size"), F.sha1("payload").alias("digest"))
     ids = rows.select("page_id", "digest", "size").filter(F.col("size") >= min_bytes)
     whole = ids.groupBy("digest", "size").agg(F.max("page_id").alias("whole"), F.count("*").alias("n")).filter("n > 1")
     repeats = ids.join(whole, ["digest", "size"]).filter("not (page_id <=> whole)")
@@ -75,7 +74,7 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         _identity(F.col("page_id")),
         F.coalesce(F.concat(F.lit("\r\nWARC-Target-URI: "), clean_url), F.lit("")),
         F.lit("\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Payload-Digest: sha1:"),
-        "digest",
+        base32(F.col("digest")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length("body").cast("string"),
         F.lit(END),
