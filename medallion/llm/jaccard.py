@@ -25,7 +25,7 @@ WORDS, PERCENT = 5, 80
 BINS, BANDS = 8, 4
 FOLDS = 64
 #: Tokens counted at a time by a task, and how often one must occur there to be reported as frequent.
-COUNTED, REPORTED = 4_000_000, 4
+COUNTED, REPORTED = 4_000_000, 3
 #: Frequent tokens: in so many documents at least; the list is broadcast and holds the most frequent ones.
 FREQUENT, FREQUENT_KEPT = 48, 200_000
 #: Ids up to this many (8 MB) are broadcast to pick their texts, more are joined by a shuffle.
@@ -170,10 +170,11 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _opened(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
-    """``matrix``: id, n (least size), folds. Pairs that may hold a link."""
-    sides = [matrix.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("folds").alias(f"f{x}")) for x in ("a", "b")]
-    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_open, "a long, b long")
+def _opened(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame) -> DataFrame:
+    """Pairs that may hold a link, by the matrix rows of either end: id, n (least size), folds."""
+    for x, matrix in (("a", of_a), ("b", of_b)):
+        pairs = pairs.join(matrix.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("folds").alias(f"f{x}")), x)
+    return pairs.mapInArrow(_open, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -223,17 +224,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     unions = group.groupBy(F.col("grp").alias("id")).agg(
         F.min("n_shingles").alias("n"), F.array(*[F.max(F.col("folds")[i]) for i in range(FOLDS)]).alias("folds")
     )
-    opened = stored(_opened(stored(pairs, "group_pairs"), unions), "opened")
-
-    # Documents of opened groups that share a token.
-    wanted = shared.join(rows.select("token", "grp"), ["token", "grp"], "left_semi")
-    left = wanted.select("token", F.col("grp").alias("ga"), F.col("doc_id").alias("a"), F.col("n").alias("na"))
-    right = wanted.select("token", F.col("grp").alias("gb"), F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    of_groups = opened.select(F.col("a").alias("ga"), F.col("b").alias("gb"))
-    fits = F.expr(f"100 * na >= {PERCENT} * nb and 100 * nb >= {PERCENT} * na")
-    pairs = of_groups.join(left, "ga").join(right, ["token", "gb"]).filter(fits).select("a", "b").distinct()
+    opened = stored(_opened(stored(pairs, "group_pairs"), unions, unions), "opened")
+
+    # Opened groups: members that the other group's union still allows, then pairs of such members.
     alone = group.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "folds")
-    links = verify(_opened(stored(pairs, "document_pairs"), alone), docs)
+    both = opened.unionByName(opened.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    asked = both.join(group.select(F.col("grp").alias("a"), "doc_id"), "a").select(F.col("doc_id").alias("a"), "b")
+    allowed = stored(_opened(asked, alone, unions).join(group.select(F.col("doc_id").alias("a"), F.col("grp").alias("g")), "a"), "allowed")
+    left = allowed.filter("g < b").select(F.col("g").alias("ga"), F.col("b").alias("gb"), "a")
+    right = allowed.filter("g > b").select(F.col("b").alias("ga"), F.col("g").alias("gb"), F.col("a").alias("b"))
+    pairs = left.join(right, ["ga", "gb"]).select("a", "b")
+    links = verify(_opened(pairs, alone, alone), docs)
 
     every = components(near.unionByName(links)).select(F.col("node").alias("rep"), "component")
     found = member.join(every, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
