@@ -25,9 +25,11 @@ WORDS, PERCENT = 5, 80
 BINS, BANDS = 8, 4
 FOLDS = 64
 #: Tokens counted at a time by a task, and how often one must occur there to be reported as frequent.
-COUNTED, REPORTED = 4_000_000, 3
+COUNTED, REPORTED = 4_000_000, 2
 #: Frequent tokens: in so many documents at least; the list is broadcast and holds the most frequent ones.
-FREQUENT, FREQUENT_KEPT = 48, 200_000
+FREQUENT, FREQUENT_KEPT = 32, 200_000
+#: So many neighbouring partitions are counted by one task, which sees frequent tokens better than a small one.
+COUNT_TOGETHER = 8
 #: Ids up to this many (8 MB) are broadcast to pick their texts, more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -65,7 +67,9 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
     """Hashes of frequent tokens, rarest first: at most FREQUENT_KEPT. They only order tokens; any list is exact."""
-    counts = docs.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    texts = docs.select("text")
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, texts.rdd.getNumPartitions() // COUNT_TOGETHER)
+    counts = texts.coalesce(tasks).mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT)
     return np.asarray(top.select("token").toArrow().column("token").combine_chunks())[::-1].view(np.uint64)
 
