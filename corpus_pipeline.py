@@ -34,7 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced."""
-    return mask_text(docs, PSEUDONYM_KEY).drop("n_replaced")
+    return mask_text(docs, PSEUDONYM_KEY, counted=None)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -239,4 +239,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents, all columns, in which no benchmark item is found; rows without doc_id are judged as one document."""
     leaks = stored(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks").withColumnRenamed("doc_id", "_leak")
     side = F.broadcast(leaks) if leaks.count() <= BROADCAST_IDS else leaks
-    return docs.join(side, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    return docs.join(side, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")

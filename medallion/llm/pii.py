@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+_FOUND, _NEW = "__pii_found", "__pii_new"
 _NOT_DIGIT = "[^0-9]"
 
 # Patterns of the kinds, in order of precedence. A match that fails validation stays as it is.
@@ -186,29 +187,34 @@ def pseudonym(match: Column, key: str) -> Column:
     return F.coalesce(result, match)
 
 
-def mask_text(docs: DataFrame, key: str) -> DataFrame:
-    """All columns, ``text`` with personal data replaced, and ``n_replaced``.
+def mask_text(docs: DataFrame, key: str, counted: str | None = "n_replaced") -> DataFrame:
+    """All columns, ``text`` with personal data replaced, and the number of replaced values in ``counted`` unless None.
 
+    A column that has that name already gives way.
     A null text stays null, an empty one empty, both with 0 replaced; texts without a digit or @ are not searched.
     Whole texts of any length are read. If there is a column ``n_chars``, it counts the new text's characters
     where something was replaced. Equal rows stay equal; an empty table gives an empty result.
     """
     plain = F.array().cast("array<string>")
     candidate = F.col("text").rlike(f"[0-9@]|{ASSIGNED}")
-    found = docs.withColumn("_found", F.when(candidate, F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))).otherwise(plain))
-    found = found.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
+    found = docs.withColumn(_FOUND, F.when(candidate, F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))).otherwise(plain))
+    found = found.withColumn(_NEW, F.transform(_FOUND, lambda m: pseudonym(m, key)))
     gaps = F.split("text", ANY, -1)
     merged = F.array_join(
-        F.transform(gaps, lambda gap, i: F.when(i == 0, gap).otherwise(F.concat(F.element_at("_new", F.greatest(i, F.lit(1))), gap))), ""
+        F.transform(gaps, lambda gap, i: F.when(i == 0, gap).otherwise(F.concat(F.element_at(_NEW, F.greatest(i, F.lit(1))), gap))), ""
     )
-    changed = F.size("_found") > 0
-    moved = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda differs: differs))
+    changed = F.size(_FOUND) > 0
+    moved = F.size(F.filter(F.zip_with(_FOUND, _NEW, lambda a, b: a != b), lambda differs: differs))
     columns = []
     for name in docs.columns:
+        if name == counted:
+            continue
         column = F.col(f"`{name}`")
         if name == "text":
             column = F.when(changed, merged).otherwise(column).alias("text")
         elif name == "n_chars":
             column = F.when(changed, F.length(merged)).otherwise(column).cast(docs.schema[name].dataType).alias(name)
         columns.append(column)
-    return found.select(*columns, F.when(changed, moved).otherwise(0).cast("long").alias("n_replaced"))
+    if counted:
+        columns.append(F.when(changed, moved).otherwise(0).cast("long").alias(counted))
+    return found.select(*columns)

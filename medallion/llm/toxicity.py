@@ -208,5 +208,6 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] = (
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Documents, all columns, whose score stays below ``threshold``."""
-    scored = score_toxicity(docs, fit(docs, labels), tuple(docs.columns))
-    return scored.filter(F.col("score") < threshold).select(*[f"`{c}`" for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    scored = score_toxicity(rows, fit(docs, labels), ("row",))
+    return scored.filter(F.col("score") < threshold).select("row.*")
