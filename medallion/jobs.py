@@ -10,14 +10,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medallion.operators.enrich import MakeFunction
+from medallion.operators.quality import CLEAN
+from medallion.operators.quality import QUARANTINE as QUARANTINE_TABLE
 from medallion.plans import anomaly, dq_log, entities, explain, kpi, star, views
 from medallion.plans.catalogue import issue_catalogue
 from medallion.plans.rulebook import ENTITIES, EXPECTATIONS, QUARANTINE
-from medallion.sources.files import ENTITY_GLOBS, read_json
+from medallion.sources.files import ENTITY_GLOBS, any_file, read_json
 from medallion.sources.lookups import region_mapper
-from medallion.sources.tables import read_table, refresh_view, stream_table, write_overwrite
+from medallion.sources.tables import read_table, refresh_view, stream_table, table_exists, write_overwrite
 from medallion.streaming.jobs import ingest_csv, read_snapshot, read_split, run_append, run_complete, run_split
 
 
@@ -34,8 +37,20 @@ class Lake:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def has(self, layer: str, *names: str) -> bool:
+        return all(table_exists(self.spark, self.table(layer, n)) for n in names)
+
+    def entities(self, layer: str) -> list[str]:
+        """Entities whose feed has brought something so far."""
+        return [e for e in ENTITIES if self.has(layer, e)]
+
     def read(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, self.table(layer, name))
+        return read_table(self.spark, self.table(layer, name), evolving=layer == "bronze")
+
+    def stream(self, entity: str, kind: str) -> DataFrame:
+        """New rows of the clean or the quarantine table. The sink's root is read, so its commit log decides
+        which files count; a batch that failed and was repeated is taken once."""
+        return stream_table(self.spark, self.table("silver", entity)).filter(F.col("_table") == kind).drop("_table")
 
     def silver(self, entity: str) -> DataFrame:
         return read_split(self.spark, self.table("silver", entity))[0]
@@ -44,12 +59,16 @@ class Lake:
         return read_split(self.spark, self.table("silver", entity))[1]
 
     def stats(self) -> DataFrame:
-        return read_snapshot(self.spark, self.table("silver", "live_issue_stats"))
+        """Issue counters of the latest snapshot against the row counts of the latest run."""
+        counters = read_snapshot(self.spark, self.table("silver", "live_issue_counters"))
+        return dq_log.with_totals(counters, self.read("silver", "silver_entity_counts"), issue_catalogue(self.spark))
 
 
 def ingest_bronze(lake: Lake, raw: str, max_files: int = 1000) -> None:
-    """New raw files of every entity into bronze tables, with provenance."""
+    """New raw files of every entity into bronze tables, with provenance; feeds without a file are left out."""
     for entity, glob in ENTITY_GLOBS.items():
+        if not any_file(lake.spark, raw, glob):
+            continue
         target, checkpoint = lake.table("bronze", entity), lake.checkpoint(f"bronze-{entity}")
         if glob.endswith(".json"):
             run_append(read_json(lake.spark, raw, glob, stream=True), target, checkpoint)
@@ -72,7 +91,7 @@ def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFra
 
 def build_silver(lake: Lake) -> None:
     """New bronze rows into the clean and quarantine tables, one pass per entity."""
-    for entity in ENTITIES:
+    for entity in lake.entities("bronze"):
         bronze = stream_table(lake.spark, lake.table("bronze", entity), evolving=True)
         run_split(
             clean_entity(lake.spark, entity, bronze),
@@ -87,40 +106,45 @@ def build_silver(lake: Lake) -> None:
 def log_issues(lake: Lake) -> None:
     """New quarantined rows into the event log, live statistics per issue, enriched events."""
     spark = lake.spark
-    bad = {e: stream_table(spark, f"{lake.table('silver', e)}/_table=quarantine*") for e in ENTITIES}
+    known = lake.entities("silver")
+    bad = {e: lake.stream(e, QUARANTINE_TABLE) for e in known}
     log_path = lake.table("silver", "quality_issues_log")
     run_append(dq_log.quality_log(bad), log_path, lake.checkpoint("quality-log"))
 
     counts_path = lake.table("silver", "silver_entity_counts")
-    write_overwrite(dq_log.entity_counts({e: lake.silver(e) for e in ENTITIES}), counts_path)
+    write_overwrite(dq_log.entity_counts({e: lake.silver(e) for e in known}), counts_path)
 
-    bridge, catalogue, counts = dq_log.rule_bridge(spark), issue_catalogue(spark), read_table(spark, counts_path)
-    live = dq_log.issue_stats(stream_table(spark, log_path), bridge, counts, catalogue)
-    run_complete(live, lake.table("silver", "live_issue_stats"), lake.checkpoint("issue-stats"))
+    # Only counters live in the stream: totals and statuses change with clean rows too, so they are joined on reading.
+    bridge = dq_log.rule_bridge(spark)
+    counters = dq_log.issue_counters(stream_table(spark, log_path), bridge)
+    run_complete(counters, lake.table("silver", "live_issue_counters"), lake.checkpoint("issue-counters"))
 
-    enriched = dq_log.enrich_issues(stream_table(spark, log_path), bridge, lake.stats(), catalogue)
+    enriched = dq_log.enrich_issues(stream_table(spark, log_path), bridge, lake.stats(), issue_catalogue(spark))
     run_append(enriched, lake.table("silver", "dq_issues"), lake.checkpoint("dq-issues"))
 
 
 def build_gold(lake: Lake) -> None:
-    """New clean rows into dimensions and facts."""
-
-    def stream(entity: str) -> DataFrame:
-        return stream_table(lake.spark, f"{lake.table('silver', entity)}/_table=clean*")
-
-    tables = {
-        "dim_customer": star.dim_customer(stream("customers")),
-        "dim_car": star.dim_car(stream("cars")),
-        "dim_policy": star.dim_policy(stream("policy")),
-        "fact_claims": star.fact_claims(stream("claims"), lake.silver("policy")),
-        "fact_sales": star.fact_sales(stream("sales")),
+    """New clean rows into dimensions and facts, as far as their feeds have come."""
+
+    def owners() -> DataFrame:
+        if lake.has("silver", "policy"):
+            return lake.silver("policy")
+        return lake.spark.createDataFrame([], "policy_number bigint, customer_id bigint")
+
+    tables: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+        "dim_customer": ("customers", star.dim_customer),
+        "dim_car": ("cars", star.dim_car),
+        "dim_policy": ("policy", star.dim_policy),
+        "fact_claims": ("claims", lambda claims: star.fact_claims(claims, owners())),
+        "fact_sales": ("sales", star.fact_sales),
     }
-    for name, df in tables.items():
-        run_append(df, lake.table("gold", name), lake.checkpoint(name))
+    for name, (entity, build) in tables.items():
+        if lake.has("silver", entity):
+            run_append(build(lake.stream(entity, CLEAN)), lake.table("gold", name), lake.checkpoint(name))
 
 
 def refresh_reports(lake: Lake, as_of: str) -> None:
-    """Views, claim risk report and KPI tables, recomputed as a whole."""
+    """Views and claim risk report, recomputed as a whole where their tables exist."""
 
     def bronze_customers(spark: SparkSession) -> DataFrame:
         return entities.unify_customers(lake.read("bronze", "customers"), region_mapper(spark))
@@ -128,17 +152,25 @@ def refresh_reports(lake: Lake, as_of: str) -> None:
     def gold(name: str) -> DataFrame:
         return lake.read("gold", name)
 
-    reports: dict[str, Callable[[SparkSession], DataFrame]] = {
-        "multi_region_customers": lambda s: views.multi_region_customers(bronze_customers(s)),
-        "claim_rejection_rate": lambda s: views.claim_rejection_rate(
-            gold("dim_policy"), gold("fact_claims"), gold("dim_customer")
+    reports: dict[str, tuple[list[tuple[str, str]], Callable[[SparkSession], DataFrame]]] = {
+        "multi_region_customers": ([("bronze", "customers")], lambda s: views.multi_region_customers(bronze_customers(s))),
+        "claim_rejection_rate": (
+            [("gold", "dim_policy"), ("gold", "fact_claims"), ("gold", "dim_customer")],
+            lambda s: views.claim_rejection_rate(gold("dim_policy"), gold("fact_claims"), gold("dim_customer")),
+        ),
+        "unsold_by_model_region": (
+            [("gold", "fact_sales"), ("gold", "dim_car")],
+            lambda s: views.unsold_by_model_region(gold("fact_sales"), gold("dim_car")),
+        ),
+        "aging_buckets": ([("gold", "fact_sales")], lambda s: views.aging_buckets(gold("fact_sales"), as_of)),
+        "claim_anomaly_explanations": (
+            [("silver", "claims")],
+            lambda s: anomaly.anomaly_report(anomaly.score_claims(lake.silver("claims"))),
         ),
-        "unsold_by_model_region": lambda s: views.unsold_by_model_region(gold("fact_sales"), gold("dim_car")),
-        "aging_buckets": lambda s: views.aging_buckets(gold("fact_sales"), as_of),
-        "claim_anomaly_explanations": lambda s: anomaly.anomaly_report(anomaly.score_claims(lake.silver("claims"))),
     }
-    for name, build in reports.items():
-        refresh_view(lake.spark, lake.table("gold", name), build)
+    for name, (sources, build) in reports.items():
+        if all(lake.has(*source) for source in sources):
+            refresh_view(lake.spark, lake.table("gold", name), build)
 
 
 def explain_all(lake: Lake, make_function: MakeFunction, model_name: str, partitions: int = 8) -> None:

@@ -65,13 +65,16 @@ def observe_expectations(df: DataFrame, rules: Sequence[Expectation], into: Obse
     return df.observe(into, F.count(F.lit(1)).alias("rows"), *_failures(rules))
 
 
+def _once_per(df: DataFrame, name: str, *labels: Column) -> DataFrame:
+    """Every row once per label that is not NULL. A filter on the label would be moved below the cleaning
+    expressions and evaluate all of them a second time; an exploded array is made where it stands."""
+    return df.withColumn(name, F.explode(F.array_compact(F.array(*labels))))
+
+
 def quarantine(df: DataFrame, entity: str, rules: Sequence[QuarantineRule]) -> DataFrame:
     """Rows that break a rule, stamped with the first such rule, the time and the entity."""
-    return (
-        df.withColumn("_dq_rule", first_match([(r.label, r.predicate) for r in rules]))
-        .filter(F.col("_dq_rule").isNotNull())
-        .withColumn("_dq_detected_at", F.current_timestamp())
-        .withColumn("_entity", F.lit(entity))
+    return _once_per(df, "_dq_rule", first_match([(r.label, r.predicate) for r in rules])).withColumns(
+        {"_dq_detected_at": F.current_timestamp(), "_entity": F.lit(entity)}
     )
 
 
@@ -90,19 +93,12 @@ def tag_quality(
     Written partitioned by ``_table`` this feeds both tables from a single scan, with nothing cached.
     """
     gates = [F.expr(r.predicate) for r in expectations if r.action == DROP]
-    belongs = F.when(F.col("_table") == CLEAN, F.col("_passes")).otherwise(F.col("_dq_rule").isNotNull())
-    return (
-        df.withColumns(
-            {
-                "_dq_rule": first_match([(r.label, r.predicate) for r in rules]),
-                "_dq_detected_at": F.current_timestamp(),
-                "_entity": F.lit(entity),
-                "_passes": reduce(Column.__and__, gates, F.lit(True)),
-            }
-        )
-        # Tested after the copy is made: a test on the label alone would be moved below the cleaning
-        # expressions and evaluate all of them a second time.
-        .withColumn("_table", F.explode(F.array(F.lit(CLEAN), F.lit(QUARANTINE))))
-        .filter(belongs)
-        .drop("_passes")
+    labelled = df.withColumns(
+        {
+            "_dq_rule": first_match([(r.label, r.predicate) for r in rules]),
+            "_dq_detected_at": F.current_timestamp(),
+            "_entity": F.lit(entity),
+        }
     )
+    clean = F.when(reduce(Column.__and__, gates, F.lit(True)), F.lit(CLEAN))
+    return _once_per(labelled, "_table", clean, F.when(F.col("_dq_rule").isNotNull(), F.lit(QUARANTINE)))

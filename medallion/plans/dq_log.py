@@ -71,8 +71,8 @@ def recompute_status(baseline: Column, affected: Column) -> Column:
     )
 
 
-def issue_stats(log: DataFrame, bridge: DataFrame, counts: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Per issue: distinct affected records, share of clean rows, status, last detection.
+def issue_counters(log: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Per issue: distinct affected records and last detection.
 
     On a stream run it in complete mode: the counters cover all history and no state expires.
     """
@@ -80,9 +80,12 @@ def issue_stats(log: DataFrame, bridge: DataFrame, counts: DataFrame, catalogue:
     group = ["issue_id", "entity"]
     last = F.max("_dq_detected_at").alias("last_detected_at")
     if log.isStreaming:
-        counted = streaming_exact_distinct(events, group, "record_id", "affected_records", last)
-    else:
-        counted = events.groupBy(*group).agg(F.count_distinct("record_id").alias("affected_records"), last)
+        return streaming_exact_distinct(events, group, "record_id", "affected_records", last)
+    return events.groupBy(*group).agg(F.count_distinct("record_id").alias("affected_records"), last)
+
+
+def with_totals(counted: DataFrame, counts: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Counters with the share of clean rows and the status that follow from the present row counts."""
     totals = counts.select(F.col("entity").alias("_of"), F.col("total_rows").alias("silver_total_rows"))
     baseline = catalogue.select(F.col("issue_id").alias("_known"), F.col("fix_status").alias("_baseline"))
     return (
@@ -100,6 +103,11 @@ def issue_stats(log: DataFrame, bridge: DataFrame, counts: DataFrame, catalogue:
     )
 
 
+def issue_stats(log: DataFrame, bridge: DataFrame, counts: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Per issue: distinct affected records, share of clean rows, status, last detection."""
+    return with_totals(issue_counters(log, bridge), counts, catalogue)
+
+
 def describe_issues(stats: DataFrame, catalogue: DataFrame) -> DataFrame:
     """One row per issue with live numbers and the analyst's notes."""
     notes = catalogue.select(

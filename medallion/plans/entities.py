@@ -69,7 +69,7 @@ def unify_customers(bronze: DataFrame, region_mapper: DataFrame) -> DataFrame:
             "city": variants("City", "City_in_state"),
             "marital_status": variants("Marital", "Marital_status"),
             "education": variants("Edu", "Education"),
-            "default_flag": safe_cast(_present(bronze, "Default", "DefaultFlag")[0], "int"),
+            "default_flag": safe_cast(variants("Default", "DefaultFlag"), "int"),
             "balance": safe_cast("Balance", "decimal(14,2)"),
             "hh_insurance": safe_cast("HHInsurance", "int"),
             "car_loan": safe_cast("CarLoan", "int"),

@@ -85,13 +85,13 @@ EXPECTATIONS = {
     "cars": (
         Expectation("car_id_not_null", "car_id IS NOT NULL", DROP),
         Expectation("car_id_positive", "car_id > 0", DROP),
-        Expectation("km_driven_non_negative", "coalesce(km_driven >= 0, true)"),
-        Expectation("engine_cc_positive", "coalesce(engine_cc > 0, true)"),
-        Expectation("max_power_positive", "coalesce(max_power_bhp > 0, true)"),
-        Expectation("mileage_positive", "coalesce(mileage_value > 0, true)"),
-        Expectation("seats_in_range", "coalesce(seats BETWEEN 2 AND 9, true)"),
+        Expectation("km_driven_non_negative", "km_driven IS NULL OR km_driven >= 0"),
+        Expectation("engine_cc_positive", "engine_cc IS NULL OR engine_cc > 0"),
+        Expectation("max_power_positive", "max_power_bhp IS NULL OR max_power_bhp > 0"),
+        Expectation("mileage_positive", "mileage_value IS NULL OR mileage_value > 0"),
+        Expectation("seats_in_range", "seats IS NULL OR seats BETWEEN 2 AND 9"),
         Expectation(
-            "fuel_known", "coalesce(fuel IN ('PETROL', 'DIESEL', 'CNG', 'LPG', 'ELECTRIC', 'HYBRID'), true)"
+            "fuel_known", "fuel IS NULL OR fuel IN ('PETROL', 'DIESEL', 'CNG', 'LPG', 'ELECTRIC', 'HYBRID')"
         ),
     ),
     "claims": (
@@ -99,10 +99,10 @@ EXPECTATIONS = {
         Expectation("claim_id_positive", "claim_id > 0", DROP),
         Expectation("policy_id_not_null", "policy_id IS NOT NULL", DROP),
         Expectation("dates_corrupted_warn", "NOT incident_date_corrupted"),
-        Expectation("injury_non_negative", "coalesce(injury >= 0, true)"),
-        Expectation("vehicle_non_negative", "coalesce(vehicle >= 0, true)"),
-        Expectation("property_non_negative", "coalesce(property >= 0, true)"),
-        Expectation("claim_rejected_valid", "coalesce(claim_rejected IN ('Y', 'N'), true)"),
+        Expectation("injury_non_negative", "injury IS NULL OR injury >= 0"),
+        Expectation("vehicle_non_negative", "vehicle IS NULL OR vehicle >= 0"),
+        Expectation("property_non_negative", "property IS NULL OR property >= 0"),
+        Expectation("claim_rejected_valid", "claim_rejected IS NULL OR claim_rejected IN ('Y', 'N')"),
     ),
     "policy": (
         Expectation("policy_number_not_null", "policy_number IS NOT NULL", DROP),

@@ -71,6 +71,11 @@ def _paths(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
     return _reader(spark, glob).format("binaryFile").load(path).select("path")
 
 
+def any_file(spark: SparkSession, path: str, glob: str) -> bool:
+    """Whether a feed has brought at least one file."""
+    return not _paths(spark, path, glob).isEmpty()
+
+
 def _head(path: str) -> str:
     """First line of a file, read without loading the rest."""
     from pyarrow import fs

@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, source: str) -> DataFrame:
-    """Static snapshot of a table; files written under an older, narrower schema read as NULL."""
+def read_table(spark: SparkSession, source: str, evolving: bool = False) -> DataFrame:
+    """Static snapshot of a table.
+
+    ``evolving`` reads columns that only some files hold (NULL elsewhere), for which it looks at every file's footer.
+    """
     if "/" in source:
-        return spark.read.option("mergeSchema", "true").parquet(source)
+        return spark.read.option("mergeSchema", evolving).parquet(source)
     return spark.table(source)
 
 
+def table_exists(spark: SparkSession, source: str) -> bool:
+    """Whether anything was ever written to a table, on any file system Spark can read."""
+    if "/" not in source:
+        return spark.catalog.tableExists(source)
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def stream_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """A folder of parquet files as a stream of newly arriving rows.
 

@@ -7,6 +7,7 @@ overwritten as a whole. A batch that is repeated after a failure therefore repla
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,15 +68,35 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
 def run_complete(
     df: DataFrame, target: str, checkpoint: str, state_partitions: int | None = None
 ) -> StreamingQuery:
-    """Write a full snapshot of a running aggregate per micro-batch."""
-    return run_batches(df, lambda batch, i: _write_batch(batch, target, i), checkpoint, "complete", state_partitions)
+    """Write a full snapshot of a running aggregate per micro-batch.
+
+    The two latest finished snapshots stay, so a reader of the one before is not cut off; older ones go.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, target, batch_id)
+        system, versions = _versions(batch.sparkSession, target)
+        for _, old in versions[:-2]:
+            system.delete(old, True)
+
+    return run_batches(df, write, checkpoint, "complete", state_partitions)
+
+
+def _versions(spark: SparkSession, target: str) -> tuple[Any, list[tuple[int, Any]]]:
+    """File system of a snapshot table and its finished versions, oldest first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in system.listStatus(path)]
+    done = [p for p in found if p.getName().startswith(f"{BATCH}=") and system.exists(p.suffix("/_SUCCESS"))]
+    return system, sorted(((int(p.getName().split("=")[1]), p) for p in done), key=lambda v: v[0])
 
 
 def read_snapshot(spark: SparkSession, target: str) -> DataFrame:
-    """The latest snapshot of ``run_complete``."""
-    versions = spark.read.parquet(target)
-    latest = versions.agg(F.max(BATCH)).scalar()
-    return versions.filter(F.col(BATCH) == latest).drop(BATCH)
+    """The latest snapshot of ``run_complete`` whose write was finished."""
+    _, versions = _versions(spark, target)
+    if not versions:
+        raise FileNotFoundError(f"no finished snapshot under {target}")
+    return spark.read.parquet(versions[-1][1].toString())
 
 
 def run_split(

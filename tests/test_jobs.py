@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from medallion import jobs
 from medallion.plans import anomaly, entities, star, views
-from medallion.operators.quality import expect_or_drop
-from medallion.plans.rulebook import EXPECTATIONS
+from medallion.operators.quality import expect_or_drop, quarantine
+from medallion.plans.rulebook import EXPECTATIONS, QUARANTINE
 from queries.bronze import bronze
 from queries.registry import offline_writer
 
@@ -98,3 +98,63 @@ def test_two_instalments(spark, sf_dir, tmp_path):
     assert lake.read("gold", "dq_explanation_report").count() == len(texts) == len(live)
     assert all(texts[i].affected_records == live[i].affected_records for i in live)
     assert lake.read("gold", "ai_business_insights").count() == 3
+
+
+def test_one_feed_alone(spark, sf_dir, tmp_path):
+    """Only cars have arrived; statistics and reports do without the rest."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    cars = bronze(spark, sf_dir, "cars").drop("source_file", "ingestion_timestamp")
+    text = cars.select([F.col(c).cast("string") for c in cars.columns])
+    write_csv(text.limit(40), raw / "cars_1.csv", cars.columns)
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    jobs.run_all(lake, str(raw), AS_OF)
+    assert lake.read("gold", "dim_car").count() > 0 and not lake.has("gold", "fact_sales")
+    assert 0 < lake.silver("cars").count() <= 40
+
+
+def test_stray_files_and_fresh_totals(spark, sf_dir, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    policy = bronze(spark, sf_dir, "policy").drop("source_file", "ingestion_timestamp")
+    text = policy.select([F.col(c).cast("string") for c in policy.columns])
+    good = clean_ids(spark, sf_dir, "policy")
+    write_csv(text, raw / "policy_1.csv", policy.columns)
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    jobs.run_all(lake, str(raw), AS_OF)
+    before, rows = {r.issue_id: r for r in lake.stats().collect()}, lake.silver("policy").count()
+    # A file that no batch has committed is not there for anyone.
+    sink = tmp_path / "lake" / "silver" / "policy" / "_table=clean"
+    stray = next(p for p in sink.iterdir() if p.suffix == ".parquet")
+    (sink / "part-99999-stray.snappy.parquet").write_bytes(stray.read_bytes())
+    # Clean rows only in the second instalment: no event, yet the totals move.
+    write_csv(text.join(good, "policy_number", "left_semi").limit(30), raw / "policy_2.csv", policy.columns)
+    jobs.run_all(lake, str(raw), AS_OF)
+    after, now = {r.issue_id: r for r in lake.stats().collect()}, lake.silver("policy").count()
+    assert now > rows and lake.read("gold", "dim_policy").count() <= now
+    for issue, row in after.items():
+        assert row.silver_total_rows == now and row.affected_records >= before[issue].affected_records
+
+
+def clean_ids(spark, sf_dir, entity):
+    """Keys of rows that no rule complains about."""
+    cleaned = jobs.clean_entity(spark, entity, bronze(spark, sf_dir, entity))
+    kept = expect_or_drop(cleaned, EXPECTATIONS[entity])
+    return kept.join(quarantine(cleaned, entity, QUARANTINE[entity]).select("policy_number"), "policy_number", "left_anti").select("policy_number")
+
+
+def test_policy_delivered_twice_makes_one_fact(spark, sf_dir):
+    claims = expect_or_drop(jobs.clean_entity(spark, "claims", bronze(spark, sf_dir, "claims")), EXPECTATIONS["claims"])
+    policy = jobs.clean_entity(spark, "policy", bronze(spark, sf_dir, "policy"))
+    twice = star.fact_claims(claims, policy.unionByName(policy))
+    assert bag(twice, "claim_id", "customer_id") == bag(star.fact_claims(claims, policy), "claim_id", "customer_id")
+    assert twice.count() == claims.count()
+
+
+def test_both_flag_headers(spark, sf_dir):
+    raw = bronze(spark, sf_dir, "customers")
+    both = raw.withColumn("Default", F.lit(None).cast("string"))
+    region = jobs.region_mapper(spark)
+    assert bag(entities.unify_customers(both, region), "default_flag") == bag(entities.unify_customers(raw, region), "default_flag")
+    neither = entities.unify_customers(raw.drop("DefaultFlag"), region)
+    assert neither.filter("default_flag is not null").count() == 0
