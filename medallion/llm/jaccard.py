@@ -233,12 +233,33 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # Opened groups: members that the other group's union still allows, then pairs of such members.
     alone = group.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "folds")
     both = opened.unionByName(opened.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    asked = both.join(group.select(F.col("grp").alias("a"), "doc_id"), "a").select(F.col("doc_id").alias("a"), "b")
-    allowed = stored(_opened(asked, alone, unions).join(group.select(F.col("doc_id").alias("a"), F.col("grp").alias("g")), "a"), "allowed")
+    unions_b = unions.toDF("b", "nb", "fb")
+    room = F.aggregate(F.zip_with("folds", "fb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    may_link = room * (100 + PERCENT) >= PERCENT * (F.col("n_shingles") + F.col("nb"))
+    # The bound is part of the join: members that it rules out never become rows.
+    asked = both.join(unions_b, "b").join(group, (F.col("a") == F.col("grp")) & may_link)
+    allowed = stored(asked.select(F.col("doc_id").alias("a"), "b", F.col("grp").alias("g")), "allowed")
     left = allowed.filter("g < b").select(F.col("g").alias("ga"), F.col("b").alias("gb"), "a")
     right = allowed.filter("g > b").select(F.col("b").alias("ga"), F.col("g").alias("gb"), F.col("a").alias("b"))
-    pairs = left.join(right, ["ga", "gb"]).select("a", "b")
-    links = verify(_opened(pairs, alone, alone), docs)
+    # One link makes two groups one: each member first meets about one of the other group, by hashed turns.
+    turns = left.groupBy("ga", "gb").count().withColumnRenamed("count", "na").join(right.groupBy("ga", "gb").count(), ["ga", "gb"])
+    turns = turns.select("ga", "gb", F.least("na", "count").alias("turns"))
+    left, right = (
+        stored(side.join(turns, ["ga", "gb"]).withColumn("turn", F.pmod(F.xxhash64(x), F.col("turns"))), "sides")
+        for side, x in ((left, "a"), (right, "b"))
+    )
+    some = left.select("ga", "gb", "turn", "a").join(right.select("ga", "gb", "turn", "b"), ["ga", "gb", "turn"])
+    links = stored(verify(_opened(some.select("a", "b"), alone, alone), docs), "links")
+    # Groups that are still apart are compared in full.
+    of = group.select("doc_id", "grp")
+    joined = links.join(of.toDF("a", "ga"), "a").join(of.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    place = stored(components(joined), "joined")
+    apart = opened.select(F.col("a").alias("ga"), F.col("b").alias("gb"))
+    for x in ("ga", "gb"):
+        apart = apart.join(place.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    apart = stored(apart.filter("cga <> cgb").select("ga", "gb"), "apart")
+    full = left.join(apart, ["ga", "gb"]).select("ga", "gb", "a").join(right.select("ga", "gb", "b"), ["ga", "gb"])
+    links = links.unionByName(verify(_opened(full.select("a", "b"), alone, alone), docs))
 
     every = components(near.unionByName(links)).select(F.col("node").alias("rep"), "component")
     found = member.join(every, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
