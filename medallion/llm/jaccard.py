@@ -5,7 +5,8 @@ with an equal min-hash band are compared with the band's first class, and what i
 matrix says which group holds which token. Two sets with a similarity of 80 % share a token among the
 first fifth of either set, in any order of tokens common to all, so the matrix keeps those alone; frequent tokens
 come last in the order. Two groups that share a token are opened only if the union of their tokens, folded into
-counts per token class, allows the overlap that a link needs. Pairs from opened groups are compared exactly.
+counts per token class, allows the overlap that a link needs. Pairs from opened groups meet by bit maps as long as
+their sets first, which bound the overlap, and what is left is compared exactly.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from medallion.llm.text import Powers, mix, shingle_hashes, text_bytes, text_chu
 WORDS, PERCENT = 5, 80
 BINS, BANDS = 8, 4
 FOLDS = 64
+#: A set of n tokens has a map of n to 2n bits, this many at least.
+LEAST_BITS = 256
 #: Tokens counted at a time by a task, and how often one must occur there to be reported as frequent.
 COUNTED, REPORTED = 4_000_000, 2
 #: Frequent tokens: in so many documents at least; the list is broadcast and holds the most frequent ones.
@@ -74,7 +77,15 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
     return np.asarray(top.select("token").toArrow().column("token").combine_chunks())[::-1].view(np.uint64)
 
 
-_SIGNATURE = "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>, bands array<long>, folds array<int>"
+_SIGNATURE = "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>, bands array<long>, folds array<int>, bits binary"
+
+
+def _bit_map(own: np.ndarray) -> bytes:
+    """Bits of the tokens' lowest bits; the lower half of a map joined with its upper half is the map of half the length."""
+    size = max(LEAST_BITS, 1 << (len(own) - 1).bit_length())
+    marks = np.zeros(size, bool)
+    marks[(own & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").tobytes()
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -84,7 +95,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
     for rows, tokens, first in _tokens(batches):
         slot = np.searchsorted(by_hash[:-1], tokens)
         is_frequent = (by_hash[slot] == tokens) & (slot < len(frequent))
-        sums, sizes, prefixes, bands = [], [], [], []
+        sums, sizes, prefixes, bands, maps = [], [], [], [], []
         folds = np.zeros((rows.num_rows, FOLDS), np.int32)
         for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
             own, at = np.unique(tokens[a:b], return_index=True)
@@ -94,6 +105,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
                 sums.append((0, 0))
                 prefixes.append(own)
                 bands.append(own)
+                maps.append(b"")
                 continue
             sums.append((own.sum(), mix(own).sum()))
             often = is_frequent[a:b][at]
@@ -108,6 +120,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
             bin_of = (own & np.uint64(BINS - 1)).astype(np.int64)
             bins[bin_of[::-1]] = own[::-1]  # the smallest of each bin is written last
             bands.append(mix(bins[0::2] * np.uint64(31) + bins[1::2] + np.arange(BANDS, dtype=np.uint64)))
+            maps.append(_bit_map(own))
             folds[i] = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=FOLDS)
         pair = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
 
@@ -125,6 +138,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
                 lists(prefixes),
                 lists(bands),
                 pa.ListArray.from_arrays(pa.array(np.arange(rows.num_rows + 1) * FOLDS, pa.int32()), pa.array(folds.ravel())),
+                pa.array(maps, pa.binary()),
             ],
             names=[f.split()[0] for f in _SIGNATURE.split(", ")],
         )
@@ -181,6 +195,32 @@ def _opened(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame) -> DataFrame:
     return pairs.mapInArrow(_open, "a long, b long")
 
 
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose bit maps leave room for a link: a bit that only one map has stands for a token that only one set has."""
+    for batch in batches:
+        keep = []
+        for na, nb, xa, xb in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "xa", "xb"))):
+            bits = 8 * min(len(xa), len(xb))
+            maps = []
+            for data in (xa, xb):
+                value = int.from_bytes(data, "little")
+                for half in range(len(data) * 8 // bits, 1, -1):
+                    value = (value & ((1 << (half - 1) * bits) - 1)) | (value >> (half - 1) * bits)
+                maps.append(value)
+            x, y = maps
+            room = min(na - (x & ~y).bit_count(), nb - (y & ~x).bit_count())
+            keep.append(room * (100 + PERCENT) >= PERCENT * (na + nb))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _met(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs of documents that may be linked, by their bit maps."""
+    for x in ("a", "b"):
+        maps = heads.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("bits").alias(f"x{x}"))
+        pairs = pairs.join(maps, x)
+    return pairs.mapInArrow(_may_link, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``: smallest doc_id that links of similarity >= 80 % reach.
 
@@ -231,7 +271,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     opened = stored(_opened(stored(pairs, "group_pairs"), unions, unions), "opened")
 
     # Opened groups: members that the other group's union still allows, then pairs of such members.
-    alone = group.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "folds")
     both = opened.unionByName(opened.select(F.col("b").alias("a"), F.col("a").alias("b")))
     unions_b = unions.toDF("b", "nb", "fb")
     room = F.aggregate(F.zip_with("folds", "fb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
@@ -249,17 +288,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         for side, x in ((left, "a"), (right, "b"))
     )
     some = left.select("ga", "gb", "turn", "a").join(right.select("ga", "gb", "turn", "b"), ["ga", "gb", "turn"])
-    links = stored(verify(_opened(some.select("a", "b"), alone, alone), docs), "links")
-    # Groups that are still apart are compared in full.
+    links = stored(verify(_met(some.select("a", "b"), heads), docs), "links")
+    # Groups that are still apart are compared in full; with one turn all their members have met.
     of = group.select("doc_id", "grp")
     joined = links.join(of.toDF("a", "ga"), "a").join(of.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     place = stored(components(joined), "joined")
-    apart = opened.select(F.col("a").alias("ga"), F.col("b").alias("gb"))
+    apart = turns.filter("turns > 1").select("ga", "gb")
     for x in ("ga", "gb"):
         apart = apart.join(place.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
     apart = stored(apart.filter("cga <> cgb").select("ga", "gb"), "apart")
     full = left.join(apart, ["ga", "gb"]).select("ga", "gb", "a").join(right.select("ga", "gb", "b"), ["ga", "gb"])
-    links = links.unionByName(verify(_opened(full.select("a", "b"), alone, alone), docs))
+    links = links.unionByName(verify(_met(full.select("a", "b"), heads), docs))
 
     every = components(near.unionByName(links)).select(F.col("node").alias("rep"), "component")
     found = member.join(every, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))

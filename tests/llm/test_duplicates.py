@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,24 @@ def test_recall_on_the_table(spark):
     label = np.array([r.label for r in rows])
     links = int(((x @ x.T >= 0.98) & (label[:, None] == label[None, :])).sum()) - len(rows)
     assert neardup.near_duplicates(df).agg(F.sum("n_links")).first()[0] >= 0.9 * links
+
+
+def test_bit_maps_keep_every_link():
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (1, 2, 10, 250, 256, 300, 1000, 3000):
+        for share in (0.0, 0.5, 0.88, 0.95, 1.0):
+            for grown in (1.0, 1.1, 1.25, 8.0):
+                a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+                fresh = rng.integers(0, 1 << 63, max(int(n * grown), 1)).astype(np.uint64)
+                b = np.concatenate([a[: int(share * n)], fresh[int(share * n) :]])
+                rows.append((np.unique(a), np.unique(b)))
+    maps = [[jaccard._bit_map(own) for own in side] for side in zip(*rows)]
+    sizes = [[len(own) for own in side] for side in zip(*rows)]
+    ids = list(range(len(rows)))
+    batch = pa.RecordBatch.from_pydict({"a": ids, "b": ids, "na": sizes[0], "nb": sizes[1], "xa": maps[0], "xb": maps[1]})
+    kept = set(next(jaccard._may_link(iter([batch]))).column("a").to_pylist())
+    both = [len(np.intersect1d(a, b)) for a, b in rows]
+    linked = {i for i in ids if both[i] and 100 * both[i] >= 80 * (len(rows[i][0]) + len(rows[i][1]) - both[i])}
+    apart = {i for i in ids if both[i] == 0 and len(rows[i][0]) >= 10}
+    assert linked and linked <= kept and apart and not apart & kept
