@@ -22,6 +22,7 @@ def build_session(app: str = "medallion", master: str | None = None, **conf: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.streaming.stateless.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Split a hot key even where a later aggregate would have reused the join's partitioning.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

@@ -22,7 +22,7 @@ from medallion.plans.catalogue import issue_catalogue
 from medallion.plans.rulebook import ENTITIES, EXPECTATIONS, QUARANTINE
 from medallion.session import fresh_dir
 from medallion.sources.files import evolve, read_csv_by_header
-from medallion.sources.lookups import region_mapper, seed_rows
+from medallion.sources.lookups import region_mapper
 from medallion.sources.tables import read_table, refresh_view, stream_table, write_overwrite
 from medallion.streaming.jobs import read_snapshot, read_split, run_append, run_complete, run_split
 from queries.bronze import base_table, bronze
@@ -32,15 +32,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-09-01"
 WALL_CLOCK = ("ingestion_timestamp", "md_created_datetime", "_dq_detected_at", "last_detected_at", "generated_at")
 
-# The questions asked of the policy documents.
-QUESTIONS = (
-    "What is the deductible for policy 12345?",
-    "Which policies have umbrella coverage?",
-    "Compare basic vs premium coverage policies",
-    "What policies exist in California?",
-    "Which policies have high bodily injury limits?",
+# Asked of the policy documents about every state that the policies name.
+STATE_QUESTIONS = (
+    "Which state is {} and who is insured there?",
+    "How high is the deductible in {}?",
+    "Who has umbrella protection in {}?",
+    "Please compare what is covered in {}",
+    "Tell me about {}",
 )
-# The same five forms, asked about one policy.
+# Five forms of question, asked about one policy.
 POLICY_QUESTIONS = (
     "What is the deductible for policy {}?",
     "Does policy {} have umbrella coverage?",
@@ -261,12 +261,15 @@ def policy_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.document_chunks(policy_documents(spark, sf), "policy_number", "policy_doc")
 
 
-def questions(spark: SparkSession) -> DataFrame:
-    return seed_rows(spark, [(q,) for q in QUESTIONS], T.StructType([T.StructField("question", T.StringType())]))
+def questions(spark: SparkSession, sf: str) -> DataFrame:
+    """Five questions about every state."""
+    states = dim_policy(spark, sf).select("policy_state").filter("policy_state is not null").distinct()
+    asked = F.array(*[F.format_string(q.replace("{}", "%s"), "policy_state") for q in STATE_QUESTIONS])
+    return states.select(F.explode(asked).alias("question"))
 
 
 def retrieve_answers(spark: SparkSession, sf: str) -> DataFrame:
-    return portable(retrieval.answer_questions(questions(spark), policy_chunks(spark, sf)), 6)
+    return portable(retrieval.answer_questions(questions(spark, sf), policy_chunks(spark, sf)), 6)
 
 
 def query_history(spark: SparkSession, sf: str) -> DataFrame:
