@@ -1,10 +1,9 @@
 """Benchmark items found in documents, up to a share of edited words.
 
-Windows of a document as long as the items are embedded by a random walk (CGK): each step emits the word under a
-pointer, which moves on or stays by a random bit of that word, so walks over texts of small edit distance
-fall into step and emit mostly equal words. Words sampled from the emitted sequence are the key of a
-hash table; several walks and samples reach the recall wanted. Windows that meet an item are then compared with it
-by exact edit distance. Windows that share too few three-word runs with any item for a match are not embedded.
+An item that may have ``e`` edited words gets at least ``e + 1`` disjoint three-word runs as seeds: an edit spoils one of
+them at most, so every match holds a whole seed. Seeds are chosen to be rare among the items. Where a document shows
+one, the words around it must hold as many of the item's three-word runs as the edits leave whole, and are then
+compared with the item by exact edit distance. Nothing is sampled: all matches are found, whatever the item's length.
 """
 
 from __future__ import annotations
@@ -25,10 +24,11 @@ from medallion.llm.text import WORD_CHARS, Powers, bounds, mix, range_hashes, te
 EDITS = 0.2
 #: Items with fewer words are too short to be told from ordinary text.
 MIN_WORDS = 3
-WALKS, SAMPLES, KEY_WORDS = 4, 12, 2
-#: Window lengths grow by this factor; an item is sought with the nearest one.
-GROWTH = 1.15
 RUN = 3
+#: Longer items choose their seeds in parts of this many words.
+PART_WORDS = 128
+#: Cells of a table held at once: seed matches, words of regions.
+CELLS = 1 << 21
 #: Items searched for in one pass over the documents.
 BLOCK_ITEMS = 20_000
 
@@ -39,42 +39,17 @@ def allowed_edits(words: np.ndarray | int):
 
 @dataclass(frozen=True)
 class Items:
-    """Items of one window length."""
+    """Items in a row, and where their runs and seeds are."""
 
-    window: int
-    least_runs: int
     ids: np.ndarray
-    words: np.ndarray  # items x longest, zero-padded
-    lengths: np.ndarray
-    keys: np.ndarray  # items x tables
-
-
-def _steps(window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Random multipliers (walks x steps) and sampled steps (walks x samples x key words) of a window length."""
-    rng = np.random.default_rng(window)
-    multipliers = rng.integers(1, 1 << 62, (WALKS, 2 * window), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return multipliers, rng.integers(0, max(1, int(1.9 * window)), (WALKS, SAMPLES, KEY_WORDS))
-
-
-def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int) -> np.ndarray:
-    """Keys (ranges x tables) of word ranges: what random walks over each range show at the sampled steps."""
-    multipliers, sampled = _steps(window)
-    padded = np.append(words, np.uint64(0))
-    keys = np.empty((len(starts), WALKS * SAMPLES), np.uint64)
-    for w in range(WALKS):
-        at, seen = starts.copy(), {}
-        needed = set(sampled[w].ravel().tolist())
-        for step in range(max(needed) + 1):
-            word = padded[np.where(at < ends, at, len(words))]
-            if step in needed:
-                seen[step] = word
-            at += (word * multipliers[w, step] >> np.uint64(63)).astype(np.int64)
-        for s in range(SAMPLES):
-            key = np.full(len(starts), w * SAMPLES + s, np.uint64)
-            for step in sampled[w, s]:
-                key = mix(key * np.uint64(31) + seen[int(step)])
-            keys[:, w * SAMPLES + s] = key
-    return keys
+    words: np.ndarray
+    first: np.ndarray  # items + 1
+    edits: np.ndarray
+    runs: np.ndarray  # sorted hashes of all runs
+    seeded: np.ndarray  # per run its first seed (runs + 1)
+    seed_item: np.ndarray
+    seed_at: np.ndarray  # place in the item
+    members: np.ndarray  # sorted hashes of a run and its item
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -91,28 +66,72 @@ def _runs(words: np.ndarray) -> np.ndarray:
     return total
 
 
-def prepare(ids: list[int], texts: pa.Array) -> tuple[np.ndarray, list[Items]]:
-    """Sorted hashes of the items' three-word runs, and the items by window length."""
+def _member(runs: np.ndarray, item: np.ndarray) -> np.ndarray:
+    return mix(runs + mix(item.astype(np.uint64) + np.uint64(1)))
+
+
+def disjoint_runs(cost: np.ndarray, parts: int) -> np.ndarray:
+    """Per row the places of ``parts`` runs that share no word, at the least total cost."""
+    rows, n = len(cost), cost.shape[1] + RUN - 1
+    least = [np.full((rows, parts + 1), np.inf) for _ in range(RUN)]
+    for x in least:
+        x[:, 0] = 0
+    taken = np.zeros((n + 1, rows, parts), bool)
+    for j in range(RUN, n + 1):
+        now, take = least[-1].copy(), least[-RUN][:, :-1] + cost[:, j - RUN, None]
+        taken[j] = take < now[:, 1:]
+        now[:, 1:] = np.minimum(now[:, 1:], take)
+        least = [*least[1:], now]
+    at, left, places = np.full(rows, n), np.full(rows, parts), np.zeros((rows, parts), np.int64)
+    every = np.arange(rows)
+    for j in range(n, RUN - 1, -1):
+        here = at == j
+        use = here & (left > 0) & taken[j, every, np.maximum(left - 1, 0)]
+        left = left - use
+        places[every[use], left[use]] = j - RUN
+        at = np.where(use, j - RUN, np.where(here, j - 1, at))
+    return places
+
+
+def prepare(ids: list[int], texts: pa.Array) -> Items:
     data, offsets = text_bytes(texts)
     words, first, _, _ = word_hashes(data, offsets, Powers())
     lengths = np.diff(first)
-    runs, classes = [np.zeros(0, np.uint64)], {}
-    for i, n in enumerate(lengths):
-        if n >= MIN_WORDS:
-            runs.append(_runs(words[first[i] : first[i + 1]]))
-            window = max(MIN_WORDS, round(GROWTH ** round(np.log(n) / np.log(GROWTH))))
-            classes.setdefault(window, []).append(i)
-    made = []
-    for window, rows in sorted(classes.items()):
-        rows = np.array(rows)
-        n = lengths[rows]
-        block = np.zeros((len(rows), n.max()), np.uint64)
-        for k, i in enumerate(rows):
-            block[k, : n[k]] = words[first[i] : first[i + 1]]
-        # Each edited word changes at most RUN runs.
-        least = int(np.maximum(n - RUN + 1 - RUN * allowed_edits(n), 1).min())
-        made.append(Items(window, least, np.array(ids)[rows], block, n, walk_keys(words, first[rows], first[rows + 1], window)))
-    return np.unique(np.concatenate(runs)), made
+    kept = np.flatnonzero(lengths >= MIN_WORDS)
+    words = words[np.repeat(lengths >= MIN_WORDS, lengths)]
+    lengths = lengths[kept]
+    first = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    # Runs inside one item.
+    item = np.repeat(np.arange(len(kept)), lengths - RUN + 1)
+    at = np.arange(len(item)) + item * (RUN - 1)
+    grams = _runs(words)
+    runs, slot, times = np.unique(grams[at], return_inverse=True, return_counts=True)
+    cost = np.zeros(len(words))
+    cost[at] = times[slot]
+    run_at = np.zeros(len(words), np.int64)
+    run_at[at] = slot
+    # Parts of items by length: each takes one seed more than it may have edits.
+    pieces = -(-lengths // PART_WORDS)
+    owner = np.repeat(np.arange(len(kept)), pieces)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin, end = first[owner] + nth * lengths[owner] // pieces[owner], first[owner] + (nth + 1) * lengths[owner] // pieces[owner]
+    seed_word, seed_item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in np.unique(end - begin):
+        same, parts = np.flatnonzero(end - begin == n), int(allowed_edits(n)) + 1
+        step = max(1, 16 * CELLS // int(n * parts))
+        for cut in range(0, len(same), step):
+            rows = same[cut : cut + step]
+            places = disjoint_runs(cost[begin[rows][:, None] + np.arange(n - RUN + 1)], parts)
+            seed_word.append((begin[rows][:, None] + places).ravel())
+            seed_item.append(np.repeat(owner[rows], parts))
+    seed_word, seed_item = np.concatenate(seed_word), np.concatenate(seed_item)
+    order = np.argsort(run_at[seed_word], kind="stable")
+    seed_word, seed_item = seed_word[order], seed_item[order]
+    seeded = np.searchsorted(run_at[seed_word], np.arange(len(runs) + 1))
+    return Items(
+        np.array(ids, np.int64)[kept], words, first, allowed_edits(lengths), runs, seeded, seed_item, seed_word - first[seed_item],
+        np.unique(_member(grams[at], item)),
+    )
 
 
 def infix_distance(pattern: np.ndarray, lengths: np.ndarray, region: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,81 +152,102 @@ def infix_distance(pattern: np.ndarray, lengths: np.ndarray, region: np.ndarray)
     return best, end
 
 
-def _search(
-    words: np.ndarray, first: np.ndarray, hits: np.ndarray, items: Items
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Verified (text, item, distance, word where the match ends) among the windows of all texts in a part."""
-    w = items.window
-    none = (np.zeros(0, np.int64),) * 4
-    # Windows whose surroundings hold enough runs: those around as many consecutive hits.
-    slack = w // 4 + 1
+def _contains(known: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each value in the sorted array, and whether it is there."""
+    slot = np.minimum(np.searchsorted(known, x), len(known) - 1)
+    return slot, known[slot] == x
+
+
+def _candidates(first: np.ndarray, slot: np.ndarray, hits: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
+    """Regions (text, item, first word, end word) around seeds that hold enough runs of any item."""
+    lengths = np.diff(items.first)
+    # Each edited word changes at most RUN runs.
+    least, slack = np.maximum(lengths - RUN + 1 - RUN * items.edits, 1), lengths // 4 + 1
+    total = np.concatenate([[0], np.cumsum(hits)])
     at = np.flatnonzero(hits)
-    if len(at) < items.least_runs:
-        return none
-    low, high = at[: len(at) - items.least_runs + 1], at[items.least_runs - 1 :]
-    owner = np.searchsorted(first, low, side="right") - 1
-    close = (high - low < w + 2 * slack) & (high < first[owner + 1])
-    low, high, owner = low[close], high[close], owner[close]
-    if len(low) == 0:
-        return none
-    begin, end = np.maximum(high - w - slack + 1, first[owner]), np.minimum(low + slack, first[owner + 1] - 1)
-    size = end - begin + 1
-    starts = np.unique(np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum()))
-    owner = np.searchsorted(first, starts, side="right") - 1
-    near = (starts - first[owner]) % max(1, w // 8) == 0
-    starts, owner = starts[near], owner[near]
-    keys = walk_keys(words, starts, np.minimum(starts + w, first[owner + 1]), w)
-    found = []
-    for table in range(keys.shape[1]):
-        order = np.argsort(items.keys[:, table], kind="stable")
-        known = items.keys[order, table]
-        low, high = np.searchsorted(known, keys[:, table]), np.searchsorted(known, keys[:, table], side="right")
-        windows = np.repeat(np.arange(len(starts)), high - low)
-        nth = np.arange(len(windows)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-        found.append(windows * len(order) + order[low[windows] + nth])
-    pairs = np.unique(np.concatenate(found))
-    window, item = pairs // len(items.ids), pairs % len(items.ids)
-    # One comparison serves all windows of a text that meet the item within ``slack`` words.
-    place = (starts[window] - first[owner[window]]) // slack
-    _, one = np.unique(np.stack([owner[window], place, item]), axis=1, return_index=True)
-    window, item = window[one], item[one]
-    edits = allowed_edits(items.lengths)
-    out = []
-    span = w + 3 * slack
-    for begin in range(0, len(window), 2048):
-        v, i = window[begin : begin + 2048], item[begin : begin + 2048]
-        low = np.maximum(starts[v] - slack, first[owner[v]])
-        index = low[:, None] + np.arange(span)
-        region = np.where(index < first[owner[v] + 1][:, None], words[np.minimum(index, len(words) - 1)], np.uint64(0))
-        distance, end = infix_distance(items.words[i], items.lengths[i], region)
-        good = distance <= edits[i]
-        out.append((owner[v][good], items.ids[i][good], distance[good].astype(np.int64), (low + end)[good]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else none
+    owner = np.searchsorted(first, at, side="right") - 1
+    inside = at + RUN <= first[owner + 1]
+    at, owner = at[inside], owner[inside]
+    size = items.seeded[slot[at] + 1] - items.seeded[slot[at]]
+    at, owner, size = at[size > 0], owner[size > 0], size[size > 0]
+    places, shift = len(hits) + 2 * int(lengths.max()) + 2, int(lengths.max()) + 1
+    found = [np.zeros(0, np.int64)]
+    part = (np.cumsum(size) - 1) // CELLS
+    for p in range(int(part[-1]) + 1 if len(part) else 0):
+        low, high = np.searchsorted(part, p), np.searchsorted(part, p, side="right")
+        many = size[low:high]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        seed = np.repeat(items.seeded[slot[at[low:high]]], many) + nth
+        item, text = items.seed_item[seed], np.repeat(owner[low:high], many)
+        # A match starts as far before the seed as in the item, up to the edits; one region serves ``slack`` starts.
+        place = (np.repeat(at[low:high], many) - items.seed_at[seed] - first[text]) // slack[item]
+        found.append(np.unique((text * len(lengths) + item) * places + place + shift))
+    key = np.unique(np.concatenate(found))
+    text, item = key // places // len(lengths), key // places % len(lengths)
+    begin = first[text] + (key % places - shift) * slack[item] - items.edits[item]
+    end = np.minimum(begin + slack[item] + lengths[item] + 2 * items.edits[item], first[text + 1])
+    begin = np.maximum(begin, first[text])
+    good = total[np.maximum(end - RUN + 1, begin)] - total[begin] >= least[item]
+    order = np.argsort(lengths[item[good]], kind="stable")
+    return tuple(x[good][order] for x in (text, item, begin, end))
+
+
+def _parts(width: np.ndarray) -> Iterator[slice]:
+    """Rows in a row that hold about CELLS cells at their largest width (ascending)."""
+    low = 0
+    while low < len(width):
+        high = low + max(1, CELLS // int(width[min(low + 2047, len(width) - 1)]))
+        yield slice(low, min(high, low + 2048))
+        low = min(high, low + 2048)
+
+
+def _search(words: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Verified (text, item, distance, word where the match ends) among all texts in a part."""
+    out = [(np.zeros(0, np.int64),) * 4]
+    grams = _runs(words)
+    if len(grams) == 0 or len(items.runs) == 0:
+        return out[0]
+    slot, hits = _contains(items.runs, grams)
+    lengths = np.diff(items.first)
+    least = np.maximum(lengths - RUN + 1 - RUN * items.edits, 1)
+    text, item, begin, end = _candidates(first, slot, hits, items)
+    width = lengths + 2 * items.edits + lengths // 4 + 1
+    # Runs of this very item.
+    enough = np.zeros(len(item), bool)
+    for rows in _parts(width[item]):
+        i = item[rows]
+        index = begin[rows][:, None] + np.arange(int(width[i].max()))
+        row, column = np.nonzero((index < end[rows][:, None] - RUN + 1) & hits[np.minimum(index, len(hits) - 1)])
+        _, own = _contains(items.members, _member(grams[index[row, column]], i[row]))
+        enough[rows] = np.bincount(row[own], minlength=len(i)) >= least[i]
+    text, item, begin, end = text[enough], item[enough], begin[enough], end[enough]
+    for rows in _parts(width[item]):
+        i = item[rows]
+        index = items.first[i][:, None] + np.arange(int(lengths[i].max()))
+        pattern = np.where(index < items.first[i + 1][:, None], items.words[np.minimum(index, len(items.words) - 1)], np.uint64(0))
+        index = begin[rows][:, None] + np.arange(int(width[i].max()))
+        region = np.where(index < end[rows][:, None], words[np.minimum(index, len(words) - 1)], np.uint64(0))
+        distance, last = infix_distance(pattern, lengths[i], region)
+        good = distance <= items.edits[i]
+        out.append((text[rows][good], i[good], distance[good].astype(np.int64), (begin[rows] + last)[good]))
+    return tuple(np.concatenate(c) for c in zip(*out))
 
 
 _MATCH = "doc_id long, item_id long, distance int, item_words int, end int"
 
 
-def _find(batches: Iterator[pa.RecordBatch], runs: np.ndarray, classes: list[Items]) -> Iterator[pa.RecordBatch]:
-    powers = Powers()
-    length_of = {int(i): int(n) for c in classes for i, n in zip(c.ids, c.lengths)}
+def _find(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
+    powers, lengths = Powers(), np.diff(items.first)
     for batch in batches:
         for begin, _, data, offsets in text_chunks(batch, size=1 << 22):
             words, first, _, ends = word_hashes(data, offsets, powers)
-            grams = _runs(words)
-            if len(grams) == 0 or len(runs) == 0:
-                continue
-            slot = np.minimum(np.searchsorted(runs, grams), len(runs) - 1)
-            hits = np.zeros(len(words), bool)
-            hits[: len(grams)] = runs[slot] == grams
             best: dict[tuple[int, int], tuple[int, int]] = {}
-            for items in classes:
-                for t, item, distance, end in zip(*_search(words, first, hits, items)):
-                    key, place = (int(t), int(item)), int(ends[end - 1] - offsets[t])
-                    best[key] = min(best.get(key, (1 << 30, 0)), (int(distance), place))
+            for t, item, distance, end in zip(*_search(words, first, items)):
+                key, place = (int(t), int(item)), int(ends[end - 1] - offsets[t])
+                best[key] = min(best.get(key, (1 << 30, 0)), (int(distance), place))
             if best:
                 docs = batch.column("doc_id").to_pylist()
-                out = [(docs[begin + t], i, d, length_of[i], e) for (t, i), (d, e) in sorted(best.items())]
+                out = [(docs[begin + t], int(items.ids[i]), d, int(lengths[i]), e) for (t, i), (d, e) in sorted(best.items())]
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, x) for c, x in zip(zip(*out), types)], names=[f.split()[0] for f in _MATCH.split(", ")]
@@ -230,8 +270,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = -(-total // BLOCK_ITEMS)
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id").toArrow()
-        runs, classes = prepare(part.column("item_id").to_pylist(), part.column("text").combine_chunks())
-        found = found.unionByName(rows.mapInArrow(lambda b, r=runs, c=classes: _find(b, r, c), _MATCH))
+        sought = prepare(part.column("item_id").to_pylist(), part.column("text").combine_chunks())
+        found = found.unionByName(rows.mapInArrow(lambda b, s=sought: _find(b, s), _MATCH))
     return found
 
 

@@ -127,6 +127,42 @@ def test_leaks_against_edit_distance(spark):
     assert not (planted - want.keys()) & got.keys()
 
 
+def altered(rng, words, edits):
+    """``words`` after that many edits, with fresh words."""
+    words = list(words)
+    for k in range(edits):
+        at, turn = rng.randrange(len(words)), rng.random()
+        if turn < 0.4:
+            words[at] = f"new{k}"
+        elif turn < 0.7:
+            del words[at]
+        else:
+            words.insert(at, f"new{k}")
+    return words
+
+
+def test_leaks_of_any_length(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    weights = [1 / (i + 1) for i in range(300)]
+    items = [(n * 100 + k, rng.choices(vocabulary, weights, k=n)) for n in (3, 6, 15, 60, 200, 400, 1000) for k in range(6)]
+    docs, planted = [], []
+    for item_id, words in items:
+        most = int(decontaminate.allowed_edits(len(words)))
+        for edits in {0, most // 2, most}:
+            host, cut = rng.choices(vocabulary, weights, k=300), rng.randrange(300)
+            planted.append((len(docs), item_id))
+            docs.append((len(docs), " ".join([*host[:cut], *altered(rng, words, edits), *host[cut:]])))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), frame).collect()}
+    assert set(planted) <= got
+    # All pairs of the shorter items, by edit distance.
+    texts = {i: t.split() for i, t in docs}
+    short = [(i, w) for i, w in items if len(w) <= 15]
+    want = {(d, i) for i, w in short for d, t in texts.items() if distance(w, t) <= int(decontaminate.allowed_edits(len(w)))}
+    assert want == {(d, i) for d, i in got if i in {x for x, _ in short}}
+
+
 def test_leak_edges(spark, edge_docs, empty):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, None), (3, ""), (None, "x y z"), (4, "one"), (5, "no id here at all")], "item_id long, text string")
     got = sorted((r.doc_id or -1, r.item_id) for r in decontaminate.find_leaks(edge_docs, items).collect())
