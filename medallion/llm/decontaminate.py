@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from medallion.llm.jaccard import BROADCAST_IDS
 from medallion.llm.tables import stored
-from medallion.llm.text import WORD_CHARS, Powers, bounds, mix, range_hashes, text_bytes, text_chunks
+from medallion.llm.text import Powers, mix, range_hashes, script_bounds, text_bytes, text_chunks
 
 #: Edited words allowed, as a share of the item's words.
 EDITS = 0.2
 #: Items with fewer words are too short to be told from ordinary text.
-MIN_WORDS = 3
+MIN_WORDS = 2
 RUN = 3
 #: Longer items choose their seeds in parts of this many words.
 PART_WORDS = 128
@@ -50,19 +50,21 @@ class Items:
     seed_item: np.ndarray
     seed_at: np.ndarray  # place in the item
     members: np.ndarray  # sorted hashes of a run and its item
+    pairs: np.ndarray  # sorted hashes of the items of two words
+    pair_item: np.ndarray
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    starts, ends = bounds(WORD_CHARS[data], offsets)
+    starts, ends = script_bounds(data, offsets)
     return range_hashes(data, starts, ends, powers), np.searchsorted(starts, offsets), starts, ends
 
 
-def _runs(words: np.ndarray) -> np.ndarray:
-    if len(words) < RUN:
+def _runs(words: np.ndarray, k: int = RUN) -> np.ndarray:
+    if len(words) < k:
         return np.zeros(0, np.uint64)
-    total = np.zeros(len(words) - RUN + 1, np.uint64)
-    for j in range(RUN):
-        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + words[j : len(words) - RUN + 1 + j])
+    total = np.zeros(len(words) - k + 1, np.uint64)
+    for j in range(k):
+        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + words[j : len(words) - k + 1 + j])
     return total
 
 
@@ -116,7 +118,8 @@ def prepare(ids: list[int], texts: pa.Array) -> Items:
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     begin, end = first[owner] + nth * lengths[owner] // pieces[owner], first[owner] + (nth + 1) * lengths[owner] // pieces[owner]
     seed_word, seed_item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for n in np.unique(end - begin):
+    sizes = np.unique(end - begin)
+    for n in sizes[sizes >= RUN]:
         same, parts = np.flatnonzero(end - begin == n), int(allowed_edits(n)) + 1
         step = max(1, 16 * CELLS // int(n * parts))
         for cut in range(0, len(same), step):
@@ -128,9 +131,12 @@ def prepare(ids: list[int], texts: pa.Array) -> Items:
     order = np.argsort(run_at[seed_word], kind="stable")
     seed_word, seed_item = seed_word[order], seed_item[order]
     seeded = np.searchsorted(run_at[seed_word], np.arange(len(runs) + 1))
+    two = np.flatnonzero(lengths == 2)
+    pairs = _runs(words, 2)[first[two]] if len(two) else np.zeros(0, np.uint64)
+    order = np.argsort(pairs, kind="stable")
     return Items(
         np.array(ids, np.int64)[kept], words, first, allowed_edits(lengths), runs, seeded, seed_item, seed_word - first[seed_item],
-        np.unique(_member(grams[at], item)),
+        np.unique(_member(grams[at], item)), pairs[order], two[order],
     )
 
 
@@ -201,9 +207,24 @@ def _parts(width: np.ndarray) -> Iterator[slice]:
         low = min(high, low + 2048)
 
 
+def _pairs(words: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
+    """Items of two words: text, item, distance, word where it ends; the first place per text."""
+    shown = _runs(words, 2) if len(items.pairs) else np.zeros(0, np.uint64)
+    low, high = np.searchsorted(items.pairs, shown), np.searchsorted(items.pairs, shown, side="right")
+    at = np.flatnonzero(high > low)
+    text = np.searchsorted(first, at, side="right") - 1
+    at, text = at[at + 2 <= first[text + 1]], text[at + 2 <= first[text + 1]]
+    _, one = np.unique(np.stack([text, low[at]]), axis=1, return_index=True)
+    at, text = at[one], text[one]
+    size = high[at] - low[at]
+    nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    item = items.pair_item[np.repeat(low[at], size) + nth]
+    return np.repeat(text, size), item, np.zeros(len(item), np.int64), np.repeat(at + 2, size)
+
+
 def _search(words: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Verified (text, item, distance, word where the match ends) among all texts in a part."""
-    out = [(np.zeros(0, np.int64),) * 4]
+    out = [_pairs(words, first, items)]
     grams = _runs(words)
     if len(grams) == 0 or len(items.runs) == 0:
         return out[0]
@@ -257,8 +278,9 @@ def _find(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Record
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, distance, item_words, end``: items found in documents, once per row and item, at best distance.
 
-    ``distance`` counts inserted, deleted and replaced words (runs of letters and digits, A-Z as a-z); up to
-    20 % of the item's words are allowed, none for items under six words; items under three are not sought.
+    ``distance`` counts inserted, deleted and replaced words (runs of letters and digits, A-Z as a-z; each character
+    of a script without blanks is a word); up to 20 % of the item's words are allowed, none for items under six words;
+    items of one word are not sought.
     ``end`` is the byte of the text where the match ends. Null and empty texts hold nothing; rows with a null
     doc_id are reported with it; a repeated item is reported per item_id; items without id are ignored. Whole texts
     are searched. Items come in blocks of ``BLOCK_ITEMS``, one pass over the documents each.

@@ -6,7 +6,9 @@ A batch is one byte array holding all texts in a row plus their offsets. Hashes
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,15 @@ LOWER[0x41:0x5B] += 0x20
 # Letters, digits, apostrophe and all bytes of non-ASCII characters.
 WORD_CHARS = np.zeros(256, bool)
 WORD_CHARS[[0x27, *range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+# Characters of scripts written without blanks: Thai, Lao, Myanmar, Khmer, Tai, kana, Bopomofo and ideographs.
+_SINGLE = [
+    (0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x19E0), (0x1A20, 0x1AB0), (0x2E80, 0x2FE0),
+    (0x3005, 0x3008), (0x3021, 0x302A), (0x3031, 0x3130), (0x31A0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000),
+    (0xA9E0, 0xAA00), (0xAA60, 0xAAE0), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x16FE0, 0x18D80), (0x1AFF0, 0x1B300), (0x20000, 0x32400),
+]
+_JOINS, _BORDER, _ALONE = 0, 1, 2
+# Marks inside words: soft hyphen, joiners, the curly apostrophe.
+_INNER = [0xAD, 0x200C, 0x200D, 0x2019]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,6 +110,39 @@ def bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Per code point whether it joins a word, ends it or is a word of its own."""
+    kinds = np.full(0x110000, _JOINS, np.uint8)
+    for low, high in _SINGLE:
+        kinds[low:high] = _ALONE
+    for point in [*range(0x80, 0x33000), *range(0xE0000, 0xE0200)]:
+        if unicodedata.category(chr(point))[0] in "PSZ" or unicodedata.category(chr(point)) in ("Cc", "Cf"):
+            kinds[point] = _BORDER
+    kinds[0x2E80:0x2FE0] = _ALONE  # radicals count as symbols
+    kinds[_INNER] = _JOINS
+    return kinds
+
+
+def script_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word: a run of letters and digits, or one character of a script without blanks."""
+    inside, cuts = WORD_CHARS[data], [offsets]
+    lead = np.flatnonzero(data >= 0xC2)
+    if len(lead):
+        last = len(data) - 1
+        more = 1 + (data[lead] >= 0xE0).astype(np.int64) + (data[lead] >= 0xF0)
+        point = data[lead].astype(np.int64) & (0x3F >> more)
+        for k in (1, 2, 3):
+            point = np.where(more >= k, point << 6 | (data[np.minimum(lead + k, last)] & 0x3F), point)
+        kind = _kinds()[np.minimum(point, 0x10FFFF)]
+        border = kind == _BORDER
+        for k in range(4):
+            inside[np.minimum(lead[border & (more >= k)] + k, last)] = False
+        alone = kind == _ALONE
+        cuts += [lead[alone], np.minimum(lead[alone] + more[alone] + 1, last + 1)]
+    return bounds(inside, np.concatenate(cuts))
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
     """64-bit hash of each byte range, A-Z read as a-z."""
     powers.reach(len(data) + 1)

@@ -163,6 +163,21 @@ def test_leaks_of_any_length(spark):
     assert want == {(d, i) for d, i in got if i in {x for x, _ in short}}
 
 
+def test_leaks_in_scripts_without_blanks(spark):
+    zh, ja, th = "北京是中华人民共和国的首都，也是全国的政治中心。", "東京は日本の首都です。人口は約千四百万人。", "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"
+    items = [(1, zh), (2, ja), (3, th), (4, "what is “the capital city” of France — Paris"), (5, "Golden Gate"), (6, "golden  gate!"), (7, "水门")]
+    docs = [
+        (1, f"众所周知{zh}这一点没有疑问"), (2, f"実は{ja[:8]}{ja[9:]}とのこと"), (3, f"ว่า{th}และ"),
+        (4, "He asked:what is the capital city of france…Paris"), (5, "The golden-gate bridge, golden gate"), (6, "golden\nhen gate"),
+        (7, "北京是一个城市，首都在这里，政治很重要"), (8, "大水门桥"), (9, "golden"), (10, "gate"), (11, zh.replace("首都", "城市").replace("全国", "我国")),
+    ]
+    frames = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.item_words, r.end) for r in decontaminate.find_leaks(*frames).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(1, 1): 0, (2, 2): 1, (3, 3): 0, (4, 4): 0, (5, 5): 0, (5, 6): 0, (8, 7): 0, (11, 1): 3}
+    assert got[5, 5] == (0, 2, 15) and got[8, 7] == (0, 2, 9)
+    assert decontaminate.drop_leaks(*frames).count() == 4
+
+
 def test_leak_edges(spark, edge_docs, empty):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, None), (3, ""), (None, "x y z"), (4, "one"), (5, "no id here at all")], "item_id long, text string")
     got = sorted((r.doc_id or -1, r.item_id) for r in decontaminate.find_leaks(edge_docs, items).collect())
