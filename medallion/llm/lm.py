@@ -3,7 +3,7 @@
 Counts of all training words are exact and stay distributed. The most frequent words are clustered by the company
 they keep and binned by frequency into classes; other words have classes by their form. A recurrent network
 gives the probability of the next word's class; inside a class a word's softmax logit is the log of its count.
-The network is trained in parallel on a fixed share of the training documents; tasks' weights are averaged.
+The network is trained in parallel on all training documents; tasks' weights are averaged.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ HEAD, INPUTS, COMMON = 16_384, 4_096, 200_000
 CLUSTERS, BINS = 6, 6
 SHAPES = 48
 PROFILE = 64
-#: One of SHARE training documents trains the network, each in one of ROUNDS rounds.
-SHARE, ROUNDS = 4, 3
+#: Each training document trains the network in one of as many rounds.
+ROUNDS = 3
 COUNTED = 3_000_000
 SCORED_BYTES = 1 << 23
 END = np.uint64(0x5851F42D4C957F2D)
@@ -144,7 +144,8 @@ _ROW = "task long, weight double, vector binary"
 
 
 def summed(rows: DataFrame, size: int, merge: int = 64) -> tuple[np.ndarray, float]:
-    """Sum of the tasks' vectors, in steps: ``merge`` rows per task, until few enough are left for the driver."""
+    """Sum of the tasks' vectors, in steps: at most ``merge`` rows and 64 MB per task, until so few are left for the driver."""
+    merge = max(2, min(merge, (1 << 23) // size))
     rows = stored(rows, "vectors")
     left = rows.count()
     while left > merge:
@@ -168,9 +169,8 @@ def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             profile = np.bincount(ranks[ranks < PROFILE], minlength=PROFILE).astype(float)
             norm = np.sqrt((profile**2).sum())
             if norm:
-                count = np.bincount(ranks[ranks < HEAD], minlength=HEAD)
-                seen = np.flatnonzero(count)
-                total[seen] += count[seen, None] * (profile / norm)
+                seen, count = np.unique(ranks[ranks < HEAD], return_counts=True)
+                total[seen] += count[:, None] * (profile / norm)
     yield _row(TaskContext.get().partitionId(), 1.0, total.ravel())
 
 
@@ -248,9 +248,8 @@ def learn(docs: DataFrame) -> Model:
     order = np.argsort(hashes)
     known = Words(hashes[order], n[order], order, np.zeros(0, np.int64), np.zeros(0), 0)
 
-    turn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(SHARE * ROUNDS))
-    share = training.withColumn("turn", turn.cast("int")).filter(F.col("turn") < ROUNDS).select("turn", "text")
-    ids = stored(share.mapInArrow(lambda b: _ids(b, known), "turn int, ids array<int>"), "ids")
+    turn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(ROUNDS)).cast("int").alias("turn")
+    ids = stored(training.select(turn, "text").mapInArrow(lambda b: _ids(b, known), "turn int, ids array<int>"), "ids")
     company, _ = summed(ids.mapInArrow(_company, _ROW), HEAD * PROFILE)
     head = min(HEAD, len(n))
     classes, own = cluster_words(company.reshape(HEAD, PROFILE), n[:head]) if head else (np.zeros(0, np.int64), 0)

@@ -65,6 +65,19 @@ def test_probabilities_sum_to_one(spark):
     assert share.sum() == pytest.approx(1, abs=1e-5) and inside.max() <= 1 + 1e-9
 
 
+def test_every_training_document_is_learnt_from(spark, monkeypatch):
+    """A word that one document alone holds has a profile and an embedding moved by training."""
+    seen = []
+    monkeypatch.setattr(lm, "cluster_words", lambda company, counts, real=lm.cluster_words: seen.append(company.copy()) or real(company, counts))
+    docs = spark.createDataFrame([(i, f"only{i} the and only{i} of") for i in range(200)], "doc_id long, text string")
+    model = lm.learn(docs.repartition(3))
+    n = len(model.words.common)
+    assert n == 4 + sum(not held(i) for i in range(200))
+    assert (np.linalg.norm(seen[0][:n], axis=1) > 0).all()
+    start = gru.initial(lm.INPUTS + lm.SHAPES + 1, np.ones(model.words.own + lm.SHAPES))["embed"]
+    assert (model.network["embed"][4:n] != start[4:n]).any(axis=1).all()  # after the four that all documents hold
+
+
 def test_gradients_and_carried_state():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in gru.initial(20, rng.integers(1, 50, 7)).items()}
