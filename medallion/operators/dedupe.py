@@ -30,6 +30,16 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str], salts: int = 8) -> DataFra
     return df.dropDuplicates(list(keys))
 
 
+def dedupe_first_stream(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """First row per key in the given total order, whatever the order of arrival. Run in complete mode.
+
+    Each map task sends on one row per key. The survivor is replaced when an earlier one comes.
+    """
+    rest = [c for c in df.columns if c not in {*keys, *order_by}]
+    first = F.min(F.struct(*order_by, *rest)).alias("_first")
+    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Ordered dedupe on a batch frame, first-seen dedupe on a stream."""
     return dedupe_stream(df, keys) if df.isStreaming else dedupe_first(df, keys, order_by)

@@ -24,7 +24,7 @@ from medallion.functions.cleaning import (
     safe_timestamp,
     violates_order,
 )
-from medallion.operators.dedupe import dedupe
+from medallion.operators.dedupe import dedupe, dedupe_first_stream
 from medallion.operators.joins import lookup_expand
 from medallion.plans.rulebook import INJURY_LIMIT, KM_LIMIT
 
@@ -86,6 +86,12 @@ def clean_customers(bronze: DataFrame, region_mapper: DataFrame) -> DataFrame:
     return dedupe(unify_customers(bronze, region_mapper), ["customer_id"], order)
 
 
+def first_customers(bronze: DataFrame, region_mapper: DataFrame) -> DataFrame:
+    """On a stream in complete mode, the customers that ``clean_customers`` keeps in batch."""
+    order = ["source_file", *CUSTOMER_COLUMNS[1:]]
+    return dedupe_first_stream(unify_customers(bronze, region_mapper), ["customer_id"], order)
+
+
 def clean_cars(bronze: DataFrame) -> DataFrame:
     km = safe_cast("km_driven", "bigint")
     return conform(

@@ -578,4 +578,12 @@ _QUERIES |= {
     "SELECT 'quarantine' AS kind, claim_id, _dq_rule FROM bad_claims",
 }
 
+# Streams over all five entities give what the batch gives.
+_QUERIES |= {
+    "stream_survivors": _QUERIES["clean_customers"],
+    "stream_quality_log_all": _QUERIES["quality_log"],
+    "stream_issue_stats_all": _QUERIES["issue_stats"],
+    "stream_enrich_issues_all": _QUERIES["enrich_issues"],
+}
+
 ORACLES: dict[str, str] = {name: _compose(sql) for name, sql in _QUERIES.items()}

@@ -434,6 +434,43 @@ def stream_enrich_issues(spark: SparkSession, sf: str) -> DataFrame:
     return portable(read_table(spark, appended(spark, enriched, "issues")))
 
 
+def survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream of the customers kept, in complete mode."""
+    return entities.first_customers(bronze(spark, sf, "customers", stream=True), region_mapper(spark))
+
+
+def stream_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers kept on a stream, all columns: the same rows as in batch."""
+    return portable(snapshot(spark, survivors(spark, sf), "survivors"))
+
+
+def streamed_logs(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Event logs of all entities: one that grows, and that of customers, whose survivors may still change."""
+    rejects = quarantine(survivors(spark, sf), "customers", QUARANTINE["customers"])
+    path = fresh_dir(spark, "customer-log")
+    snapshot(spark, dq_log.quality_log({"customers": rejects}), "customer-events").write.parquet(path)
+    return streamed_log(spark, sf), path
+
+
+def stream_quality_log_all(spark: SparkSession, sf: str) -> DataFrame:
+    return portable(union_all([read_table(spark, p) for p in streamed_logs(spark, sf)]))
+
+
+def stream_issue_stats_all(spark: SparkSession, sf: str) -> DataFrame:
+    events = union_all([stream_table(spark, p) for p in streamed_logs(spark, sf)])
+    totals = counts_of(parsed_all(spark, sf))
+    live = dq_log.issue_stats(events, dq_log.rule_bridge(spark), totals, issue_catalogue(spark))
+    return portable(snapshot(spark, live, "stats"))
+
+
+def stream_enrich_issues_all(spark: SparkSession, sf: str) -> DataFrame:
+    paths = streamed_logs(spark, sf)
+    bridge, catalogue = dq_log.rule_bridge(spark), issue_catalogue(spark)
+    numbers = dq_log.issue_stats(union_all([read_table(spark, p) for p in paths]), bridge, counts_of(parsed_all(spark, sf)), catalogue)
+    enriched = dq_log.enrich_issues(union_all([stream_table(spark, p) for p in paths]), bridge, numbers, catalogue)
+    return portable(read_table(spark, appended(spark, enriched, "issues")))
+
+
 def stream_split_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Clean and quarantined claims written from one pass over the stream."""
     target = fresh_dir(spark, "claims")
@@ -504,4 +541,8 @@ QUERIES: dict[str, Query] = {
     "stream_issue_stats": stream_issue_stats,
     "stream_enrich_issues": stream_enrich_issues,
     "stream_split_quality": stream_split_quality,
+    "stream_survivors": stream_survivors,
+    "stream_quality_log_all": stream_quality_log_all,
+    "stream_issue_stats_all": stream_issue_stats_all,
+    "stream_enrich_issues_all": stream_enrich_issues_all,
 }

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from medallion.operators.dedupe import dedupe_stream, streaming_exact_distinct
+from medallion.operators.dedupe import dedupe_first_stream, dedupe_stream, streaming_exact_distinct
 from medallion.operators.quality import observe_expectations
 from medallion.plans.rulebook import ENTITIES, EXPECTATIONS
 from medallion.sources.tables import stream_table
@@ -47,6 +47,14 @@ def test_dedupe_remembers_earlier_runs(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(target).collect()) == [1, 2]
 
 
+def test_survivor_does_not_depend_on_arrival(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("s", "t", "c"))
+    for batch in ([(1, "c", 1), (1, "b", 2), (None, "z", 3)], [(1, None, 4), (2, "d", 5)], [(None, "a", 6), (2, "e", 7)]):
+        spark.createDataFrame(batch, "k int, v string, w int").write.mode("append").parquet(source)
+        run_complete(dedupe_first_stream(stream_table(spark, source), ["k"], ["v"]), target, checkpoint)
+    assert set(map(tuple, read_snapshot(spark, target).collect())) == {(1, None, 4), (2, "d", 5), (None, "a", 6)}
+
+
 def test_failures_are_observed_on_a_stream(spark, sf_dir, tmp_path):
     claims = clean(spark, sf_dir, "claims", stream=True)
     query = run_append(observe_expectations(claims, EXPECTATIONS["claims"], "checks"), str(tmp_path / "t"), str(tmp_path / "c"))
