@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, and reference SQL where SQL can express them."""
+"""The operators as queries over whole tables, and reference SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontaminate, jaccard, lm, neardup, packing, pii, quality, toxicity, urls, warc
+from medallion.llm import decontaminate, jaccard, lm, merkle, neardup, packing, pii, quality, rules, toxicity, urls, vectorcodes, warc
+from medallion.llm.oracles import ORACLES as _MORE
 from medallion.llm.tables import held_out, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,10 +83,45 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+#: Order in which a document's columns enter its leaf.
+_LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    lowered = {"text": F.translate(docs["text"], _CAPITALS, _SMALL)}
+    touched = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(touched, F.unhex(merkle.row_digest(docs, _LEAF, lowered)))
+    proofs = merkle.manifest(docs, _LEAF, keep={"tampered": tampered})
+    now = F.coalesce(F.lower(F.hex("tampered")), F.col("leaf"))
+    folded = proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        merkle.folded(now, F.col("siblings")).alias("folded_root"),
+    )
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.keep_good(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(F.col("id").alias("doc_id"), *counts, "base_failed", "kept")
+
+
+def op13_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vectorcodes.compress(load(spark, sf_dir, "embeddings"))
+    return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality, op2_pii, op3_lm, op4_jaccard, op5_decontaminate, op6_toxicity, op7_neardup, op8_warc, op9_urls, op10_packing,
+        op11_merkle, op12_rules, op13_vectorcodes,
     )
 }
 
@@ -140,4 +176,5 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = whole THEN 'r
   CASE WHEN page_id = whole THEN NULL ELSE whole END AS refers_to
 FROM b
 """,
+    **_MORE,
 }
