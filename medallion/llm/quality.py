@@ -71,9 +71,11 @@ class Layout:
 def _filters(p: Params, at: Layout) -> tuple[np.ndarray, np.ndarray]:
     """Embedded rows of four bytes, and the filters' outputs at every window."""
     rows = p["embed"][at.bytes].reshape(-1, EMBED * STRIDE)
-    z = rows @ p["conv"][0]
+    # One product of fixed shape per block: how a sum is rounded must not depend on a text's place in the batch.
+    blocks = rows.reshape(-1, _WINDOWS, EMBED * STRIDE)
+    z = (blocks @ p["conv"][0]).reshape(-1, FILTERS)
     for tap in range(1, TAPS):
-        z[:-tap] += rows[tap:] @ p["conv"][tap]
+        z[:-tap] += (blocks @ p["conv"][tap]).reshape(-1, FILTERS)[tap:]
     z += p["conv_bias"]
     np.maximum(z, 0, out=z)
     z[at.spill] = 0
@@ -87,12 +89,12 @@ def forward(p: Params, at: Layout) -> np.ndarray:
     chunk = block[at.chunk_blocks[0]]
     for index in at.chunk_blocks[1:]:
         np.maximum(chunk, block[index], out=chunk)
-    hidden = np.maximum(chunk @ p["dense"] + p["dense_bias"], 0)
+    hidden = np.maximum((chunk[:, None, :] @ p["dense"])[:, 0] + p["dense_bias"], 0)
     starts = at.first_chunk[:-1]
     pooled = np.concatenate(
         [np.maximum.reduceat(hidden, starts), np.add.reduceat(hidden, starts) / at.counts[:, None]], axis=1
     )
-    return pooled @ p["out"] + p["out_bias"][0]
+    return (pooled * p["out"]).sum(axis=1, dtype=np.float64) + p["out_bias"][0]
 
 
 def gradients(p: Params, at: Layout, y: np.ndarray, weight: np.ndarray) -> tuple[float, Params]:

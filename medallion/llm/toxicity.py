@@ -55,8 +55,10 @@ def _softplus(x: np.ndarray) -> np.ndarray:
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of consecutive groups; ``first`` ends with the number of values. Empty groups sum to zero."""
-    total = np.concatenate([[0.0], np.cumsum(values)])
-    return total[first[1:]] - total[first[:-1]]
+    sums, filled = np.zeros(len(first) - 1), np.diff(first) > 0
+    if filled.any():  # each group is summed alone, so its sum does not depend on the others
+        sums[filled] = np.add.reduceat(values, first[:-1][filled])
+    return sums
 
 
 def fit_noisy_or(

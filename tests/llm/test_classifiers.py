@@ -51,6 +51,16 @@ def test_quality_does_not_depend_on_the_batch():
     assert np.allclose(whole, alone, atol=1e-5)
 
 
+def test_repeated_rows_score_alike(spark, labels):
+    """Each document three times among others, in other partitions: one score, to the last bit."""
+    docs = load(spark, "/root/testdata/sf0.001", "documents")
+    marks = load(spark, "/root/testdata/sf0.01", "labels")
+    again = docs.unionByName(docs.orderBy(F.desc("doc_id"))).unionByName(docs.repartition(7))
+    for module, fit, score in ((quality, quality.fit, quality.score_quality), (toxicity, toxicity.fit, toxicity.score_toxicity)):
+        scores = score(again, fit(docs, marks)).groupBy("doc_id").agg(F.countDistinct("score").alias("n"), F.count("*").alias("rows"))
+        assert scores.filter("n <> 1 or rows <> 3").count() == 0
+
+
 def test_noisy_or_locates_the_sentence(spark):
     clean = "It was a day like any. We went out. Then home!"
     rows = [(i, clean + (" You utter scumbag! Bye." if i % 2 else " Bye."), i % 2) for i in range(200)]
