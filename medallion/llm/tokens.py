@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -82,7 +83,10 @@ class PieceTokenizer:
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         self.short = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=merges, special_tokens={})
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        # Strings of the vocabulary's added tokens are one id each wherever they occur.
+        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.added_pattern = re.compile(b"|".join(re.escape(t.encode()) for t in longest)) if longest else None
         self.kinds = character_classes()
         self.values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
         self.powers = Powers()
@@ -96,7 +100,10 @@ class PieceTokenizer:
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         short, whole = self.short.encode_ordinary, self.tokenizer.encode
-        ids = [short(p) if len(p) <= SHORT_PIECE else whole(p, add_special_tokens=False).ids for p in pieces]
+        ids = [
+            [self.added[p]] if p in self.added else short(p) if len(p) <= SHORT_PIECE else whole(p, add_special_tokens=False).ids
+            for p in pieces
+        ]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         starts = len(self.ids) + np.concatenate([[0], np.cumsum(counts)[:-1]])
         flat = np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))
@@ -107,13 +114,33 @@ class PieceTokenizer:
         self.starts = np.concatenate([self.starts, starts])[order]
         self.counts = np.concatenate([self.counts, counts])[order]
 
+    def _added_spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds of all strings of added tokens, row by row where there are any."""
+        begins, stops = [], []
+        if self.added_pattern:
+            raw = data.tobytes()
+            at = self.added_pattern.search(raw)
+            while at:
+                row = int(np.searchsorted(offsets, at.start(), side="right")) - 1
+                end = int(offsets[row + 1])
+                for hit in self.added_pattern.finditer(raw, int(offsets[row]), end):
+                    begins.append(hit.start())
+                    stops.append(hit.end())
+                at = self.added_pattern.search(raw, end)
+        return np.array(begins, np.int64), np.array(stops, np.int64)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and ``rows + 1`` offsets into them."""
         if len(data) == 0:
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         symbols = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         at_byte = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        starts = at_byte[piece_starts(symbols, np.searchsorted(at_byte, offsets), self.kinds)]
+        begins, stops = self._added_spans(data, offsets)
+        edges = np.sort(np.concatenate([offsets, begins, stops]))
+        starts = at_byte[piece_starts(symbols, np.searchsorted(at_byte, edges), self.kinds)]
+        if len(begins):
+            span = np.searchsorted(begins, starts, side="left") - 1  # the last that begins before
+            starts = starts[(span < 0) | (starts >= stops[np.maximum(span, 0)])]
         ends = np.append(starts[1:], len(data))
         self.powers.reach(len(data) + 1)
         total = np.zeros(len(data) + 1, np.uint64)
