@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -110,9 +109,13 @@ def bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
-@lru_cache(maxsize=1)
+_KINDS: list[np.ndarray] = []  # filled where it is needed; travels with functions that use it
+
+
 def _kinds() -> np.ndarray:
     """Per code point whether it joins a word, ends it or is a word of its own."""
+    if _KINDS:
+        return _KINDS[0]
     kinds = np.full(0x110000, _JOINS, np.uint8)
     for low, high in _SINGLE:
         kinds[low:high] = _ALONE
@@ -121,6 +124,7 @@ def _kinds() -> np.ndarray:
             kinds[point] = _BORDER
     kinds[0x2E80:0x2FE0] = _ALONE  # radicals count as symbols
     kinds[_INNER] = _JOINS
+    _KINDS.append(kinds)
     return kinds
 
 
