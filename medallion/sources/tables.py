@@ -1,4 +1,7 @@
-"""Table readers and writers. A target with a slash is a parquet path, otherwise a catalog table."""
+"""Table readers and writers. A target with a slash is a parquet path, otherwise a catalog table.
+
+A path that was written as a whole holds versions (see ``versions``); readers get the published one.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medallion.sources import versions
+
 
 def read_table(spark: SparkSession, source: str, evolving: bool = False) -> DataFrame:
     """Static snapshot of a table.
@@ -13,7 +18,7 @@ def read_table(spark: SparkSession, source: str, evolving: bool = False) -> Data
     ``evolving`` reads columns that only some files hold (NULL elsewhere), for which it looks at every file's footer.
     """
     if "/" in source:
-        return spark.read.option("mergeSchema", evolving).parquet(source)
+        return spark.read.option("mergeSchema", evolving).parquet(versions.current(spark, source) or source)
     return spark.table(source)
 
 
@@ -21,8 +26,7 @@ def table_exists(spark: SparkSession, source: str) -> bool:
     """Whether anything was ever written to a table, on any file system Spark can read."""
     if "/" not in source:
         return spark.catalog.tableExists(source)
-    path = spark._jvm.org.apache.hadoop.fs.Path(source)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return versions.exists(spark, source)
 
 
 def stream_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
@@ -34,20 +38,20 @@ def stream_table(spark: SparkSession, path: str, evolving: bool = False) -> Data
     return spark.readStream.schema(schema).parquet(path)
 
 
-def _write(df: DataFrame, target: str, mode: str) -> None:
-    writer = df.write.mode(mode)
+def write_overwrite(df: DataFrame, target: str) -> None:
+    """Replace a table. A path gets a new version, published when it is whole; ``df`` may read the table itself."""
     if "/" in target:
-        writer.parquet(target)
+        versions.publish(df, target)
     else:
-        writer.saveAsTable(target)
-
-
-def write_overwrite(df: DataFrame, target: str) -> None:
-    _write(df, target, "overwrite")
+        df.write.mode("overwrite").saveAsTable(target)
 
 
 def write_append(df: DataFrame, target: str) -> None:
-    _write(df, target, "append")
+    """Add rows to a table; to its current version, if it has versions."""
+    if "/" in target:
+        df.write.mode("append").parquet(versions.current(df.sparkSession, target) or target)
+    else:
+        df.write.mode("append").saveAsTable(target)
 
 
 def refresh_view(spark: SparkSession, target: str, build: Callable[[SparkSession], DataFrame]) -> DataFrame:
