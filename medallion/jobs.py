@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.operators.enrich import MakeFunction
 from medallion.operators.quality import CLEAN
@@ -18,10 +19,11 @@ from medallion.operators.quality import QUARANTINE as QUARANTINE_TABLE
 from medallion.plans import anomaly, dq_log, entities, explain, kpi, star, views
 from medallion.plans.catalogue import issue_catalogue
 from medallion.plans.rulebook import ENTITIES, EXPECTATIONS, QUARANTINE
-from medallion.sources.files import ENTITY_GLOBS, any_file, read_json
+from medallion.sources.files import ENTITY_GLOBS, any_file
 from medallion.sources.lookups import region_mapper
+from medallion.sources.schemas import SchemaHistory
 from medallion.sources.tables import read_table, refresh_view, stream_table, table_exists, write_overwrite
-from medallion.streaming.jobs import ingest_csv, read_snapshot, read_split, run_append, run_complete, run_split
+from medallion.streaming.jobs import ingest_feed, read_snapshot, read_split, run_append, run_complete, run_split
 
 
 @dataclass(frozen=True)
@@ -44,7 +46,19 @@ class Lake:
         """Entities whose feed has brought something so far."""
         return [e for e in ENTITIES if self.has(layer, e)]
 
+    def schemas(self, entity: str) -> SchemaHistory:
+        """Schema versions of a raw feed."""
+        return SchemaHistory(self.spark, self.table("schemas", entity))
+
+    def bronze_schema(self, entity: str) -> T.StructType | None:
+        """Schema of a raw table; none for one that was written without a history."""
+        history = self.schemas(entity)
+        return history.table_schema() if history.rows() else None
+
     def read(self, layer: str, name: str) -> DataFrame:
+        known = self.bronze_schema(name) if layer == "bronze" else None
+        if known:
+            return self.spark.read.schema(known).parquet(self.table(layer, name))
         return read_table(self.spark, self.table(layer, name), evolving=layer == "bronze")
 
     def stream(self, entity: str, kind: str) -> DataFrame:
@@ -70,10 +84,7 @@ def ingest_bronze(lake: Lake, raw: str, max_files: int = 1000) -> None:
         if not any_file(lake.spark, raw, glob):
             continue
         target, checkpoint = lake.table("bronze", entity), lake.checkpoint(f"bronze-{entity}")
-        if glob.endswith(".json"):
-            run_append(read_json(lake.spark, raw, glob, stream=True), target, checkpoint)
-        else:
-            ingest_csv(lake.spark, raw, glob, target, checkpoint, max_files=max_files)
+        ingest_feed(lake.spark, raw, glob, target, checkpoint, lake.schemas(entity), max_files=max_files)
 
 
 def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFrame:
@@ -92,7 +103,8 @@ def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFra
 def build_silver(lake: Lake) -> None:
     """New bronze rows into the clean and quarantine tables, one pass per entity."""
     for entity in lake.entities("bronze"):
-        bronze = stream_table(lake.spark, lake.table("bronze", entity), evolving=True)
+        known = lake.bronze_schema(entity)
+        bronze = stream_table(lake.spark, lake.table("bronze", entity), evolving=True, schema=known)
         run_split(
             clean_entity(lake.spark, entity, bronze),
             entity,

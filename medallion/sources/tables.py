@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from medallion.sources import versions
 
@@ -29,12 +30,13 @@ def table_exists(spark: SparkSession, source: str) -> bool:
     return versions.exists(spark, source)
 
 
-def stream_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, evolving: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """A folder of parquet files as a stream of newly arriving rows.
 
-    ``path`` may be a pattern. ``evolving`` looks at all files for columns, not just at one.
+    ``path`` may be a pattern. With a ``schema`` no file is opened for its columns; otherwise ``evolving`` looks at all
+    files, not just at one.
     """
-    schema = spark.read.option("mergeSchema", evolving).parquet(path).schema
+    schema = schema or spark.read.option("mergeSchema", evolving).parquet(path).schema
     return spark.readStream.schema(schema).parquet(path)
 
 

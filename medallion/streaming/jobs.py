@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from medallion.operators.quality import CLEAN, QUARANTINE, Expectation, QuarantineRule, tag_quality
 from medallion.sources.files import new_file_stream, read_csv_by_header
+from medallion.sources.schemas import SchemaHistory, fit, numbers_in_texts, raw_csv, raw_json
 
 BATCH = "_batch"
 
@@ -133,3 +134,35 @@ def ingest_csv(
             _write_batch(read_csv_by_header(spark, paths, glob, infer), target, batch_id)
 
     return run_batches(new_file_stream(spark, path, glob, max_files), write, checkpoint)
+
+
+def ingest_feed(
+    spark: SparkSession,
+    path: str,
+    glob: str,
+    target: str,
+    checkpoint: str,
+    history: SchemaHistory,
+    infer: bool = False,
+    multi_line: bool = True,
+    max_files: int = 1000,
+) -> StreamingQuery:
+    """Load new CSV or JSON files (by the pattern's ending) under a schema that grows with them.
+
+    The schema is extended before the batch is written, so a table file never holds a column that the history does not know.
+    Read the table with ``history.table_schema()``. ``infer`` gives CSV columns types; ``multi_line`` tells
+    JSON documents from JSON lines, which large files should use because they can be split.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = [row["path"] for row in batch.collect()]
+        if not paths:
+            return
+        if glob.endswith(".json"):
+            raw, found = raw_json(spark, paths, multi_line)
+        else:
+            raw, found = raw_csv(spark, paths, glob, infer)
+        found = numbers_in_texts(raw, found, history.latest())
+        _write_batch(fit(raw, history.extend(found), found), target, batch_id)
+
+    return run_batches(new_file_stream(spark, path, glob, max_files), write, checkpoint)
