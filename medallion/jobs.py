@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.enrich import MakeFunction
-from medallion.operators.quality import CLEAN
+from medallion.operators.joins import union_all
+from medallion.operators.quality import CLEAN, expect_or_drop, expectation_metrics, observe_expectations, quarantine
 from medallion.operators.quality import QUARANTINE as QUARANTINE_TABLE
 from medallion.plans import anomaly, dq_log, entities, explain, kpi, star, views
 from medallion.plans.catalogue import issue_catalogue
@@ -23,7 +24,14 @@ from medallion.sources.files import ENTITY_GLOBS, any_file
 from medallion.sources.lookups import region_mapper
 from medallion.sources.schemas import SchemaHistory
 from medallion.sources.tables import read_table, refresh_view, stream_table, table_exists, write_overwrite
+from medallion.streaming import metrics
 from medallion.streaming.jobs import ingest_feed, read_snapshot, read_split, run_append, run_complete, run_split
+from medallion.streaming.upserts import CHANGED, read_upserts, run_upserts
+
+# Entities of which a late file may replace a row that has been taken already, and their keys.
+RETRACTING = {"customers": ["customer_id"]}
+# Tables that are an append log for the other entities, and for these a table of what holds now.
+_LOGS = ("quality_issues_log", "dq_issues")
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,9 @@ class Lake:
         known = self.bronze_schema(name) if layer == "bronze" else None
         if known:
             return self.spark.read.schema(known).parquet(self.table(layer, name))
+        if layer == "silver" and name in _LOGS:
+            parts = [t for t in (name, f"{name}_current") if self.has("silver", t)]
+            return union_all([read_table(self.spark, self.table("silver", t)) for t in parts])
         return read_table(self.spark, self.table(layer, name), evolving=layer == "bronze")
 
     def stream(self, entity: str, kind: str) -> DataFrame:
@@ -66,16 +77,43 @@ class Lake:
         which files count; a batch that failed and was repeated is taken once."""
         return stream_table(self.spark, self.table("silver", entity)).filter(F.col("_table") == kind).drop("_table")
 
+    def present(self, entity: str) -> DataFrame:
+        """Rows of a retracting entity as they are now, clean or not, with the time of their last change."""
+        return read_upserts(self.spark, self.table("silver", entity), RETRACTING[entity])
+
     def silver(self, entity: str) -> DataFrame:
+        if entity in RETRACTING:
+            return expect_or_drop(self.present(entity).drop(CHANGED), EXPECTATIONS[entity])
         return read_split(self.spark, self.table("silver", entity))[0]
 
     def quarantine(self, entity: str) -> DataFrame:
+        if entity in RETRACTING:
+            bad = quarantine(self.present(entity), entity, QUARANTINE[entity])
+            return bad.withColumn("_dq_detected_at", F.col(CHANGED)).drop(CHANGED)
         return read_split(self.spark, self.table("silver", entity))[1]
 
+    def retracting(self) -> list[str]:
+        return [e for e in RETRACTING if self.has("silver", e)]
+
     def stats(self) -> DataFrame:
-        """Issue counters of the latest snapshot against the row counts of the latest run."""
-        counters = read_snapshot(self.spark, self.table("silver", "live_issue_counters"))
-        return dq_log.with_totals(counters, self.read("silver", "silver_entity_counts"), issue_catalogue(self.spark))
+        """Issue counters, of the latest snapshot and of what holds now, against the row counts of the latest run."""
+        counters = []
+        if self.has("silver", "live_issue_counters"):
+            counters.append(read_snapshot(self.spark, self.table("silver", "live_issue_counters")))
+        if self.has("silver", "quality_issues_log_current"):
+            events = read_table(self.spark, self.table("silver", "quality_issues_log_current"))
+            counters.append(dq_log.issue_counters(events, dq_log.rule_bridge(self.spark)))
+        counts = self.read("silver", "silver_entity_counts")
+        return dq_log.with_totals(union_all(counters), counts, issue_catalogue(self.spark))
+
+    def expectations(self) -> DataFrame:
+        """Per entity and rule, how many rows met it and how many did not, over all that has come."""
+        parts = []
+        if self.has("silver", "expectation_metrics"):
+            parts.append(metrics.totals(self.spark, self.table("silver", "expectation_metrics")))
+        if self.has("silver", "expectation_metrics_current"):
+            parts.append(self.read("silver", "expectation_metrics_current"))
+        return union_all(parts)
 
 
 def ingest_bronze(lake: Lake, raw: str, max_files: int = 1000) -> None:
@@ -88,8 +126,12 @@ def ingest_bronze(lake: Lake, raw: str, max_files: int = 1000) -> None:
 
 
 def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFrame:
-    """The cleaning plan of an entity, on a batch frame or a stream."""
-    with_regions: dict[str, Callable] = {"customers": entities.clean_customers, "sales": entities.clean_sales}
+    """The cleaning plan of an entity, on a batch frame or a stream.
+
+    A stream of customers is to be run in update mode: the first by file name is kept, whenever its file comes.
+    """
+    customers = entities.first_customers if bronze.isStreaming else entities.clean_customers
+    with_regions: dict[str, Callable] = {"customers": customers, "sales": entities.clean_sales}
     alone: dict[str, Callable] = {
         "cars": entities.clean_cars,
         "claims": entities.clean_claims,
@@ -101,42 +143,65 @@ def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFra
 
 
 def build_silver(lake: Lake) -> None:
-    """New bronze rows into the clean and quarantine tables, one pass per entity."""
+    """New bronze rows into the clean and quarantine tables, one pass per entity, and counts of the expectations.
+
+    Customers go to a table of the rows that are kept now, from which clean and quarantined ones are read.
+    """
+    numbers = lake.table("silver", "expectation_metrics")
     for entity in lake.entities("bronze"):
         known = lake.bronze_schema(entity)
         bronze = stream_table(lake.spark, lake.table("bronze", entity), evolving=True, schema=known)
-        run_split(
-            clean_entity(lake.spark, entity, bronze),
-            entity,
-            EXPECTATIONS[entity],
-            QUARANTINE[entity],
-            lake.table("silver", entity),
-            lake.checkpoint(f"silver-{entity}"),
-        )
+        cleaned, rules = clean_entity(lake.spark, entity, bronze), EXPECTATIONS[entity]
+        target, checkpoint = lake.table("silver", entity), lake.checkpoint(f"silver-{entity}")
+        if entity in RETRACTING:
+            run_upserts(cleaned, target, checkpoint, RETRACTING[entity])
+            continue
+        with metrics.observing(lake.spark, rules, numbers, entity) as store:
+            observed = observe_expectations(cleaned, rules, metrics.OBSERVED)
+            store(run_split(observed, entity, rules, QUARANTINE[entity], target, checkpoint))
+    now = [
+        expectation_metrics(lake.present(e), EXPECTATIONS[e]).select(F.lit(e).alias("entity"), "*") for e in lake.retracting()
+    ]
+    if now:
+        write_overwrite(union_all(now), lake.table("silver", "expectation_metrics_current"))
 
 
 def log_issues(lake: Lake) -> None:
-    """New quarantined rows into the event log, live statistics per issue, enriched events."""
+    """New quarantined rows into the event log, live statistics per issue, enriched events.
+
+    Events of retracting entities are not appended but stored as they are now, so an event whose row was replaced goes.
+    """
     spark = lake.spark
     known = lake.entities("silver")
-    bad = {e: lake.stream(e, QUARANTINE_TABLE) for e in known}
+    bad = {e: lake.stream(e, QUARANTINE_TABLE) for e in known if e not in RETRACTING}
     log_path = lake.table("silver", "quality_issues_log")
-    run_append(dq_log.quality_log(bad), log_path, lake.checkpoint("quality-log"))
+    if bad:
+        run_append(dq_log.quality_log(bad), log_path, lake.checkpoint("quality-log"))
+    if lake.retracting():
+        events = dq_log.quality_log({e: lake.quarantine(e) for e in lake.retracting()})
+        write_overwrite(events, lake.table("silver", "quality_issues_log_current"))
 
     counts_path = lake.table("silver", "silver_entity_counts")
     write_overwrite(dq_log.entity_counts({e: lake.silver(e) for e in known}), counts_path)
 
     # Only counters live in the stream: totals and statuses change with clean rows too, so they are joined on reading.
     bridge = dq_log.rule_bridge(spark)
-    counters = dq_log.issue_counters(stream_table(spark, log_path), bridge)
-    run_complete(counters, lake.table("silver", "live_issue_counters"), lake.checkpoint("issue-counters"))
-
-    enriched = dq_log.enrich_issues(stream_table(spark, log_path), bridge, lake.stats(), issue_catalogue(spark))
-    run_append(enriched, lake.table("silver", "dq_issues"), lake.checkpoint("dq-issues"))
+    if bad:
+        counters = dq_log.issue_counters(stream_table(spark, log_path), bridge)
+        run_complete(counters, lake.table("silver", "live_issue_counters"), lake.checkpoint("issue-counters"))
+        enriched = dq_log.enrich_issues(stream_table(spark, log_path), bridge, lake.stats(), issue_catalogue(spark))
+        run_append(enriched, lake.table("silver", "dq_issues"), lake.checkpoint("dq-issues"))
+    if lake.retracting():
+        events = read_table(spark, lake.table("silver", "quality_issues_log_current"))
+        enriched = dq_log.enrich_issues(events, bridge, lake.stats(), issue_catalogue(spark))
+        write_overwrite(enriched, lake.table("silver", "dq_issues_current"))
 
 
 def build_gold(lake: Lake) -> None:
-    """New clean rows into dimensions and facts, as far as their feeds have come."""
+    """New clean rows into dimensions and facts, as far as their feeds have come.
+
+    A dimension over a retracting entity is replaced by what holds now.
+    """
 
     def owners() -> DataFrame:
         if lake.has("silver", "policy"):
@@ -151,7 +216,9 @@ def build_gold(lake: Lake) -> None:
         "fact_sales": ("sales", star.fact_sales),
     }
     for name, (entity, build) in tables.items():
-        if lake.has("silver", entity):
+        if entity in RETRACTING and lake.has("silver", entity):
+            write_overwrite(build(lake.silver(entity)), lake.table("gold", name))
+        elif lake.has("silver", entity):
             run_append(build(lake.stream(entity, CLEAN)), lake.table("gold", name), lake.checkpoint(name))
 
 

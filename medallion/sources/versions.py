@@ -18,20 +18,20 @@ _LOG, _PREFIX = "_published", "version-"
 KEEP = 2
 
 
-def _system(spark: SparkSession, path: str) -> tuple[Any, Any]:
+def file_system(spark: SparkSession, path: str) -> tuple[Any, Any]:
     """A path and its file system, whichever Spark can read."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    place, system = _system(spark, path)
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    place, system = file_system(spark, path)
     return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
 
 
 def published(spark: SparkSession, target: str) -> list[str]:
     """Names of published versions, oldest first. Of two refreshes that ran at once the larger id counts as the later."""
-    return _names(spark, f"{target}/{_LOG}")
+    return folder_names(spark, f"{target}/{_LOG}")
 
 
 def current(spark: SparkSession, target: str) -> str | None:
@@ -44,8 +44,8 @@ def exists(spark: SparkSession, target: str) -> bool:
     """Whether there is something to read: a published version, or files written without versions."""
     if current(spark, target):
         return True
-    place, system = _system(spark, target)
-    return system.exists(place) and not any(n.startswith(_PREFIX) for n in _names(spark, target))
+    place, system = file_system(spark, target)
+    return system.exists(place) and not any(n.startswith(_PREFIX) for n in folder_names(spark, target))
 
 
 def publish(df: DataFrame, target: str, keep: int = KEEP) -> str:
@@ -58,7 +58,7 @@ def publish(df: DataFrame, target: str, keep: int = KEEP) -> str:
     number = int(done[-1].split("-")[0]) + 1 if done else 0
     name = f"{number:012}-{uuid.uuid4().hex}"
     df.write.parquet(f"{target}/{_PREFIX}{name}")
-    entry, system = _system(spark, f"{target}/{_LOG}/{name}")
+    entry, system = file_system(spark, f"{target}/{_LOG}/{name}")
     system.createNewFile(entry)
     _remove_old(spark, target, keep)
     return f"{target}/{_PREFIX}{name}"
@@ -70,9 +70,9 @@ def _remove_old(spark: SparkSession, target: str, keep: int) -> None:
         return
     oldest = done[-keep]
     for name in done[:-keep]:  # first out of the log, so that no reader is sent to a folder that is going
-        entry, system = _system(spark, f"{target}/{_LOG}/{name}")
+        entry, system = file_system(spark, f"{target}/{_LOG}/{name}")
         system.delete(entry, False)
-    for name in _names(spark, target):
+    for name in folder_names(spark, target):
         if name.startswith(_PREFIX) and name.removeprefix(_PREFIX) < oldest and name.removeprefix(_PREFIX) not in done[-keep:]:
-            folder, system = _system(spark, f"{target}/{name}")
+            folder, system = file_system(spark, f"{target}/{name}")
             system.delete(folder, True)

@@ -108,7 +108,10 @@ def run_split(
     target: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Feed the clean and the quarantine table of an entity from one pass over a parsed stream."""
+    """Feed the clean and the quarantine table of an entity from one pass over a parsed stream.
+
+    ``parsed`` may count its expectations on the way (``observe_expectations``).
+    """
     return run_append(tag_quality(parsed, entity, expectations, rules), target, checkpoint, ["_table"])
 
 
