@@ -586,4 +586,16 @@ _QUERIES |= {
     "stream_enrich_issues_all": _QUERIES["enrich_issues"],
 }
 
+# Feeds that drift, files that come late and counts taken on the way give what the batch over all rows gives.
+_QUERIES |= {
+    "raw_to_silver": _plain(_OUT["claims"].removesuffix(", source_file"), "silver_claims"),
+    "rescued_values": "SELECT ClaimID AS claim_id, 'vehicle' AS column_name, vehicle AS raw_value FROM bronze_claims "
+    "WHERE ClaimID % 3 <> 0 AND vehicle = 'NULL'",
+    "late_customers": _QUERIES["clean_customers"],
+    "late_customer_events": "SELECT * FROM log WHERE entity = 'customers'",
+    "stream_expectations": " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, rule, action, passed, failed FROM ({_QUERIES[f'expectations_{e}']})" for e in ALL
+    ),
+}
+
 ORACLES: dict[str, str] = {name: _compose(sql) for name, sql in _QUERIES.items()}

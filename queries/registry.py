@@ -16,15 +16,18 @@ from medallion.functions.text import chunk_text, parse_text_blocks
 from medallion.operators.dedupe import streaming_exact_distinct
 from medallion.operators.joins import union_all
 from medallion.operators.knn import knn_l2
-from medallion.operators.quality import expect_or_drop, expectation_metrics, quarantine
+from medallion.operators.quality import expect_or_drop, expectation_metrics, observe_expectations, quarantine
 from medallion.plans import anomaly, dq_log, entities, explain, kpi, retrieval, star, views
 from medallion.plans.catalogue import issue_catalogue
 from medallion.plans.rulebook import ENTITIES, EXPECTATIONS, QUARANTINE
 from medallion.session import fresh_dir
 from medallion.sources.files import evolve, read_csv_by_header
 from medallion.sources.lookups import region_mapper
+from medallion.sources.schemas import RESCUED, SchemaHistory
 from medallion.sources.tables import read_table, refresh_view, stream_table, write_overwrite
-from medallion.streaming.jobs import read_snapshot, read_split, run_append, run_complete, run_split
+from medallion.streaming import metrics
+from medallion.streaming.jobs import ingest_feed, read_snapshot, read_split, run_append, run_complete, run_split
+from medallion.streaming.upserts import CHANGED, read_upserts, run_upserts
 from queries.bronze import base_table, bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,6 +486,75 @@ def stream_split_quality(spark: SparkSession, sf: str) -> DataFrame:
     return union_all([kept, bad.select(F.lit("quarantine").alias("kind"), "claim_id", "_dq_rule")])
 
 
+def drifting_claims(spark: SparkSession, sf: str) -> tuple[str, SchemaHistory]:
+    """Raw table of claims that came as JSON lines in three deliveries: amounts as numbers, as text, and with a new column."""
+    raw = bronze(spark, sf, "claims").drop("source_file", "ingestion_timestamp")
+    folder, target = fresh_dir(spark, "claim-files"), fresh_dir(spark, "claims-raw")
+    history, checkpoint = SchemaHistory(spark, fresh_dir(spark, "claims-schema")), fresh_dir(spark, "claims-ingest")
+    delivery = F.coalesce(F.col("ClaimID") % 3, F.lit(0))
+    numbers = {c: F.col(c).try_cast("bigint" if c == "injury" else "double") for c in ("injury", "property", "vehicle")}
+    forms = (numbers, {}, {"adjuster": F.concat(F.lit("desk "), F.col("witnesses"))})
+    for n, form in enumerate(forms):
+        raw.filter(delivery == n).withColumns(form).write.json(f"{folder}/{n}")
+        ingest_feed(spark, folder, "part-*.json", target, checkpoint, history, multi_line=False)
+    return target, history
+
+
+def raw_to_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean claims of feeds whose types drifted: the same as of the feed that did not."""
+    path, history = drifting_claims(spark, sf)
+    stream = stream_table(spark, path, schema=history.table_schema())
+    target, checkpoint = fresh_dir(spark, "claims"), fresh_dir(spark, "claims-checkpoint")
+    run_split(entities.clean_claims(stream), "claims", EXPECTATIONS["claims"], QUARANTINE["claims"], target, checkpoint)
+    return portable(read_split(spark, target)[0].drop("source_file"))
+
+
+def rescued_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of the claims that did not fit their column's type, one row each."""
+    path, history = drifting_claims(spark, sf)
+    rows = spark.read.schema(history.table_schema()).parquet(path).filter(F.col(RESCUED).isNotNull())
+    values = F.from_json(RESCUED, "map<string,string>")
+    return rows.select("ClaimID", F.explode(values).alias("column_name", "raw_value")).filter("column_name <> '_file_path'").select(
+        F.col("ClaimID").cast("bigint").alias("claim_id"), "column_name", "raw_value"
+    )
+
+
+def late_survivors(spark: SparkSession, sf: str) -> str:
+    """Table of the customers kept, whose files came in three deliveries, the first ones last."""
+    raw = bronze(spark, sf, "customers")
+    folder, target, checkpoint = (fresh_dir(spark, f"late-{k}") for k in ("files", "customers", "checkpoint"))
+    number = F.regexp_extract("source_file", "([0-9])", 1).cast("int")
+    for wanted in ((5, 6, 7), (3, 4), (1, 2)):
+        raw.filter(number.isin(*wanted)).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(raw.schema).parquet(folder)
+        run_upserts(entities.first_customers(stream, region_mapper(spark)), target, checkpoint, ["customer_id"], cores(spark), fold_after=1)
+    return target
+
+
+def late_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers after late deliveries: the rows that batch cleaning keeps."""
+    return portable(read_upserts(spark, late_survivors(spark, sf), ["customer_id"]).drop(CHANGED))
+
+
+def late_customer_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of the customers after late deliveries; those of replaced rows are gone."""
+    rows = read_upserts(spark, late_survivors(spark, sf), ["customer_id"])
+    return portable(dq_log.quality_log({"customers": quarantine(rows, "customers", QUARANTINE["customers"])}))
+
+
+def stream_expectations(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of the expectations, taken from the streams that feed the clean and quarantine tables."""
+    numbers = fresh_dir(spark, "expectation-metrics")
+    for entity in STATELESS:
+        rules, target = EXPECTATIONS[entity], fresh_dir(spark, entity)
+        with metrics.observing(spark, rules, numbers, entity) as store:
+            observed = observe_expectations(clean(spark, sf, entity, stream=True), rules, metrics.OBSERVED)
+            store(run_split(observed, entity, rules, QUARANTINE[entity], target, fresh_dir(spark, f"{entity}-checkpoint")))
+    kept = snapshot(spark, survivors(spark, sf), "survivors")
+    now = expectation_metrics(kept, EXPECTATIONS["customers"]).select(F.lit("customers").alias("entity"), "*")
+    return union_all([metrics.totals(spark, numbers), now])
+
+
 def _per_entity() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for entity in ENTITIES:
@@ -545,4 +617,9 @@ QUERIES: dict[str, Query] = {
     "stream_quality_log_all": stream_quality_log_all,
     "stream_issue_stats_all": stream_issue_stats_all,
     "stream_enrich_issues_all": stream_enrich_issues_all,
+    "raw_to_silver": raw_to_silver,
+    "rescued_values": rescued_values,
+    "late_customers": late_customers,
+    "late_customer_events": late_customer_events,
+    "stream_expectations": stream_expectations,
 }
