@@ -14,7 +14,7 @@ from medallion.plans.explain import ISSUE_PROMPT
 from medallion.plans.kpi import SUMMARY_PROMPT
 from medallion.plans.rulebook import RULE_BRIDGE
 from queries.bronze import BRONZE_SQL
-from queries.registry import AS_OF, POLICY_QUESTIONS
+from queries.registry import AS_OF, POLICY_QUESTIONS, STATE_QUESTIONS
 
 # -- small SQL builders ---------------------------------------------------------------------------
 
@@ -438,6 +438,70 @@ STEPS["neighbours"] = """
 SELECT *, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS rank FROM (
   SELECT c.label, vec_id, pow(list_distance(CAST(embedding AS DOUBLE[]), centre), 2) AS distance
   FROM centres c CROSS JOIN (SELECT vec_id, embedding FROM embeddings) e) QUALIFY rank <= 5"""
+def _embedded(name: str, source: str, key: str, text: str) -> None:
+    """Steps that end in ``<name>_vectors``: a key and 256 floats, counts of its terms by md5, at unit length."""
+    terms = f"regexp_extract_all(lower(coalesce({text}, '')), '[\\p{{L}}\\p{{N}}]+')"
+    STEPS[f"{name}_terms"] = (
+        f"SELECT key, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 256 AS place FROM "
+        f"(SELECT {key} AS key, unnest({terms}) AS t FROM {source})"
+    )
+    STEPS[f"{name}_counts"] = f"SELECT key, place, count(*) AS c FROM {name}_terms GROUP BY ALL"
+    STEPS[f"{name}_lengths"] = f"SELECT key, sqrt(CAST(sum(c * c) AS DOUBLE)) AS n FROM {name}_counts GROUP BY key"
+    STEPS[f"{name}_vectors"] = (
+        f"SELECT g.key, list(CAST(coalesce(c / n, 0) AS FLOAT) ORDER BY g.place) AS vec "
+        f"FROM (SELECT {key} AS key, unnest(range(256)) AS place FROM {source}) g "
+        f"LEFT JOIN {name}_counts c ON c.key = g.key AND c.place = g.place LEFT JOIN {name}_lengths l ON l.key = g.key GROUP BY g.key"
+    )
+
+
+STEPS["policy_chunks"] = """
+SELECT policy_number || '-' || CAST(start_at / 150 AS BIGINT) AS chunk_id, substring(policy_doc, CAST(start_at + 1 AS BIGINT), 200) AS chunk
+FROM (SELECT policy_number, policy_doc, unnest(range(0, length(policy_doc), 150)) AS start_at FROM docs)"""
+STEPS["state_questions"] = " UNION ALL ".join(
+    f"SELECT {_fill(q.replace('{}', '{policy_state}'))} AS question, '{form}' AS form "
+    "FROM (SELECT DISTINCT policy_state FROM dim_policy WHERE policy_state IS NOT NULL)"
+    for q, form in zip(STATE_QUESTIONS, ("state", "deductible", "umbrella", "compare", "default"), strict=True)
+)
+_embedded("document", "documents", "doc_id", "text")
+_embedded("chunk", "policy_chunks", "chunk_id", "chunk")
+_embedded("question", "state_questions", "question", "question")
+STEPS["hits"] = """
+SELECT *, row_number() OVER (PARTITION BY question ORDER BY distance, chunk_id) AS rank FROM (
+  SELECT q.key AS question, c.key AS chunk_id, round(pow(list_distance(CAST(q.vec AS DOUBLE[]), CAST(c.vec AS DOUBLE[])), 2), 10) AS distance
+  FROM question_vectors q CROSS JOIN (SELECT key, vec FROM chunk_vectors) c) QUALIFY rank <= 5"""
+_FIELDS = {
+    "policy": "Policy Number",
+    "umbrella": "Umbrella Coverage",
+    "deductible": "Deductible",
+    "coverage": "Coverage Tier",
+    "state": "Policy State",
+}
+STEPS["sources"] = (
+    "SELECT h.*, q.form, chunk, "
+    + ", ".join(f"nullif(regexp_extract(chunk, '{label}:\\s*(\\S+)', 1), '') AS {name}" for name, label in _FIELDS.items())
+    + " FROM hits h JOIN policy_chunks p ON p.chunk_id = h.chunk_id JOIN state_questions q ON q.question = h.question"
+)
+
+
+def _each(text: str, kept: str, between: str) -> str:
+    return f"coalesce(string_agg({text}, {between} ORDER BY rank) FILTER (WHERE {kept}), '')"
+
+
+_QUOTED = "chr(39) || coalesce(policy, 'None') || chr(39)"
+_COVERS = "umbrella = 'Yes' OR try_cast(umbrella AS DOUBLE) > 0"
+_PER_POLICY = {
+    "deductible": "' has deductible ' || coalesce(deductible, 'None')",
+    "compare": "' has ' || coalesce(coverage, 'None') || ' coverage'",
+    "default": "''",
+}
+_LINES = {form: _each(f"'Policy ' || policy || {text}", "policy IS NOT NULL", "chr(10)") for form, text in _PER_POLICY.items()}
+STEPS["state_answers"] = f"""
+SELECT question, CASE form WHEN 'umbrella' THEN 'Policies with umbrella coverage: [' || {_each(_QUOTED, _COVERS, "', '")} || ']'
+    WHEN 'deductible' THEN {_LINES["deductible"]} WHEN 'compare' THEN {_LINES["compare"]}
+    WHEN 'state' THEN 'Policies found: [' || {_each(_QUOTED, "state IS NOT NULL", "', '")} || ']'
+    ELSE 'Relevant policies:' || chr(10) || {_LINES["default"]} END AS answer,
+  round(1 / (1 + min(distance)), 6) + 0.0::DOUBLE AS confidence_score, string_agg(chunk, ' | ' ORDER BY rank) AS source_policies
+FROM sources GROUP BY question, form"""
 STEPS["responses"] = """
 SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN text
   WHEN 1 THEN CAST(to_json([{'type': 'reasoning', 'text': role}, {'type': 'text', 'text': text}]) AS VARCHAR)
@@ -586,6 +650,12 @@ _QUERIES |= {
     "stream_enrich_issues_all": _QUERIES["enrich_issues"],
 }
 
+_QUERIES |= {
+    "embed_documents": "SELECT key AS doc_id, vec AS embedding FROM document_vectors",
+    "retrieve_answers": "SELECT * FROM state_answers",
+    "query_history": "SELECT * FROM state_answers",
+}
+
 # Feeds that drift, files that come late and counts taken on the way give what the batch over all rows gives.
 _QUERIES |= {
     "raw_to_silver": _plain(_OUT["claims"].removesuffix(", source_file"), "silver_claims"),

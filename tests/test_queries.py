@@ -7,9 +7,6 @@ from queries.oracles import ORACLES
 from queries.registry import QUERIES
 from tools.check_oracles import compare, connect
 
-# Answers rest on hashed word vectors, which SQL has no function for; see test_search_and_text.py.
-ROWS_ONLY = {"retrieve_answers", "query_history", "embed_documents"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -17,7 +14,7 @@ def con(sf_dir):
 
 
 def test_registry():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 

@@ -39,6 +39,29 @@ def test_nearest_neighbours_against_brute_force(spark, block):
         assert [d for _, d in got[q]] == pytest.approx([d for _, d in expected[q]])
 
 
+def test_many_queries_against_brute_force_with_one_scan_of_the_corpus(spark):
+    """5,000 queries in blocks against a corpus of which a third is one repeated point."""
+    rng = np.random.default_rng(4)
+    corpus = rng.normal(size=(3000, 8)).astype(np.float32)
+    corpus[:1000] = corpus[0]
+    queries = rng.normal(size=(5000, 8)).astype(np.float32)
+    scanned = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            scanned.add(batch.num_rows)
+            yield batch
+
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "q int, qv array<float>")
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "c bigint, cv array<float>")
+    found = knn_l2(q, c.repartition(3).mapInArrow(counted, c.schema), 3, "q", "qv", "c", "cv", corpus_block=700).collect()
+    assert scanned.value == len(corpus)
+    got = {}
+    for r in sorted(found, key=lambda r: (r.q, r["rank"])):
+        got.setdefault(r.q, []).append(r.c)
+    assert got == {i: [j for j, _ in v] for i, v in brute_force(queries, corpus, 3).items()}
+
+
 def test_ties_go_to_the_smallest_id_even_when_a_third_of_the_corpus_is_one_point(spark):
     corpus = np.ones((300, 4), np.float32)
     corpus[100:] = np.random.default_rng(2).normal(size=(200, 4)) + 5
@@ -175,6 +198,17 @@ def test_embedding_is_a_unit_vector_of_words(rows):
     assert not got[""].any() and not got[None].any() and len(got[None]) == 64
 
 
+def test_embedding_places_are_md5(rows):
+    import hashlib
+
+    place = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 32
+    got = np.array(embed(rows([("Élan élan x2 été",)], "t string"), "t", "e", 32).first().e)
+    counts = np.zeros(32)
+    for term in ("élan", "élan", "x2", "été"):
+        counts[place(term)] += 1
+    assert got == pytest.approx(counts / np.linalg.norm(counts), abs=1e-7)
+
+
 def test_retrieval_end_to_end_against_brute_force(spark, rows):
     docs = rows([(i, f"\nPolicy Number: {i}\nDeductible: {500 * (i % 4)}\nPolicy State: S{i % 3}\n") for i in range(60)], "p bigint, d string")
     chunks = retrieval.document_chunks(docs, "p", "d")
