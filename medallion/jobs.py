@@ -18,10 +18,10 @@ from medallion.operators.joins import union_all
 from medallion.operators.quality import CLEAN, expect_or_drop, expectation_metrics, observe_expectations, quarantine
 from medallion.operators.quality import QUARANTINE as QUARANTINE_TABLE
 from medallion.plans import anomaly, dq_log, entities, explain, kpi, star, views
-from medallion.plans.catalogue import issue_catalogue
+from medallion.plans.catalogue import ISSUE_SCHEMA, issue_catalogue
 from medallion.plans.rulebook import ENTITIES, EXPECTATIONS, QUARANTINE
 from medallion.sources.files import ENTITY_GLOBS, any_file
-from medallion.sources.lookups import region_mapper
+from medallion.sources.lookups import REGION_SCHEMA, region_mapper, store_lookup, stored_lookup
 from medallion.sources.schemas import SchemaHistory
 from medallion.sources.tables import read_table, refresh_view, stream_table, table_exists, write_overwrite
 from medallion.streaming import metrics
@@ -30,6 +30,12 @@ from medallion.streaming.upserts import CHANGED, read_upserts, run_upserts
 
 # Entities of which a late file may replace a row that has been taken already, and their keys.
 RETRACTING = {"customers": ["customer_id"]}
+# Lookups that analysts may change: rows to begin with, declared columns, keys.
+LOOKUPS: dict[str, tuple[Callable[[SparkSession], DataFrame], T.StructType, list[str]]] = {
+    "region_mapper": (region_mapper, REGION_SCHEMA, ["reg_coded"]),
+    "dq_rule_mapping": (dq_log.rule_bridge, dq_log.BRIDGE_SCHEMA, ["entity", "_dq_rule"]),
+    "dq_issue_catalogue": (issue_catalogue, ISSUE_SCHEMA, ["issue_id"]),
+}
 # Tables that are an append log for the other entities, and for these a table of what holds now.
 _LOGS = ("quality_issues_log", "dq_issues")
 
@@ -54,6 +60,17 @@ class Lake:
         """Entities whose feed has brought something so far."""
         return [e for e in ENTITIES if self.has(layer, e)]
 
+    def lookup(self, name: str) -> DataFrame:
+        """A stored lookup, filled with the rows written in code when it is first asked for."""
+        first_rows, schema, keys = LOOKUPS[name]
+        if not self.has("lookups", name):
+            store_lookup(first_rows(self.spark), self.table("lookups", name), schema, keys)
+        return stored_lookup(self.spark, self.table("lookups", name), keys)
+
+    def set_lookup(self, name: str, rows: DataFrame) -> None:
+        """Replace a lookup's rows; refused if a declared column is missing or NULL or a key stands twice."""
+        store_lookup(rows, self.table("lookups", name), *LOOKUPS[name][1:])
+
     def schemas(self, entity: str) -> SchemaHistory:
         """Schema versions of a raw feed."""
         return SchemaHistory(self.spark, self.table("schemas", entity))
@@ -102,9 +119,9 @@ class Lake:
             counters.append(read_snapshot(self.spark, self.table("silver", "live_issue_counters")))
         if self.has("silver", "quality_issues_log_current"):
             events = read_table(self.spark, self.table("silver", "quality_issues_log_current"))
-            counters.append(dq_log.issue_counters(events, dq_log.rule_bridge(self.spark)))
+            counters.append(dq_log.issue_counters(events, self.lookup("dq_rule_mapping")))
         counts = self.read("silver", "silver_entity_counts")
-        return dq_log.with_totals(union_all(counters), counts, issue_catalogue(self.spark))
+        return dq_log.with_totals(union_all(counters), counts, self.lookup("dq_issue_catalogue"))
 
     def expectations(self) -> DataFrame:
         """Per entity and rule, how many rows met it and how many did not, over all that has come."""
@@ -125,7 +142,7 @@ def ingest_bronze(lake: Lake, raw: str, max_files: int = 1000) -> None:
         ingest_feed(lake.spark, raw, glob, target, checkpoint, lake.schemas(entity), max_files=max_files)
 
 
-def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFrame:
+def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """The cleaning plan of an entity, on a batch frame or a stream.
 
     A stream of customers is to be run in update mode: the first by file name is kept, whenever its file comes.
@@ -138,7 +155,7 @@ def clean_entity(spark: SparkSession, entity: str, bronze: DataFrame) -> DataFra
         "policy": entities.clean_policy,
     }
     if entity in with_regions:
-        return with_regions[entity](bronze, region_mapper(spark))
+        return with_regions[entity](bronze, region_mapper(spark) if regions is None else regions)
     return alone[entity](bronze)
 
 
@@ -151,7 +168,7 @@ def build_silver(lake: Lake) -> None:
     for entity in lake.entities("bronze"):
         known = lake.bronze_schema(entity)
         bronze = stream_table(lake.spark, lake.table("bronze", entity), evolving=True, schema=known)
-        cleaned, rules = clean_entity(lake.spark, entity, bronze), EXPECTATIONS[entity]
+        cleaned, rules = clean_entity(lake.spark, entity, bronze, lake.lookup("region_mapper")), EXPECTATIONS[entity]
         target, checkpoint = lake.table("silver", entity), lake.checkpoint(f"silver-{entity}")
         if entity in RETRACTING:
             run_upserts(cleaned, target, checkpoint, RETRACTING[entity])
@@ -185,15 +202,15 @@ def log_issues(lake: Lake) -> None:
     write_overwrite(dq_log.entity_counts({e: lake.silver(e) for e in known}), counts_path)
 
     # Only counters live in the stream: totals and statuses change with clean rows too, so they are joined on reading.
-    bridge = dq_log.rule_bridge(spark)
+    bridge, catalogue = lake.lookup("dq_rule_mapping"), lake.lookup("dq_issue_catalogue")
     if bad:
         counters = dq_log.issue_counters(stream_table(spark, log_path), bridge)
         run_complete(counters, lake.table("silver", "live_issue_counters"), lake.checkpoint("issue-counters"))
-        enriched = dq_log.enrich_issues(stream_table(spark, log_path), bridge, lake.stats(), issue_catalogue(spark))
+        enriched = dq_log.enrich_issues(stream_table(spark, log_path), bridge, lake.stats(), catalogue)
         run_append(enriched, lake.table("silver", "dq_issues"), lake.checkpoint("dq-issues"))
     if lake.retracting():
         events = read_table(spark, lake.table("silver", "quality_issues_log_current"))
-        enriched = dq_log.enrich_issues(events, bridge, lake.stats(), issue_catalogue(spark))
+        enriched = dq_log.enrich_issues(events, bridge, lake.stats(), catalogue)
         write_overwrite(enriched, lake.table("silver", "dq_issues_current"))
 
 
@@ -226,7 +243,7 @@ def refresh_reports(lake: Lake, as_of: str) -> None:
     """Views and claim risk report, recomputed as a whole where their tables exist."""
 
     def bronze_customers(spark: SparkSession) -> DataFrame:
-        return entities.unify_customers(lake.read("bronze", "customers"), region_mapper(spark))
+        return entities.unify_customers(lake.read("bronze", "customers"), lake.lookup("region_mapper"))
 
     def gold(name: str) -> DataFrame:
         return lake.read("gold", name)

@@ -14,14 +14,14 @@ from medallion.operators.joins import union_all
 from medallion.plans.rulebook import RECORD_ID, RULE_BRIDGE
 from medallion.sources.lookups import seed_rows
 
-_BRIDGE_SCHEMA = T.StructType([T.StructField(n, T.StringType(), False) for n in ("entity", "_dq_rule", "issue_id")])
+BRIDGE_SCHEMA = T.StructType([T.StructField(n, T.StringType(), False) for n in ("entity", "_dq_rule", "issue_id")])
 
 # Statuses set by a person that a run must never clear.
 STICKY_STATUS = ("UNRESOLVABLE", "PARTIAL", "FLAGGED")
 
 
 def rule_bridge(spark: SparkSession) -> DataFrame:
-    return seed_rows(spark, RULE_BRIDGE, _BRIDGE_SCHEMA)
+    return seed_rows(spark, RULE_BRIDGE, BRIDGE_SCHEMA)
 
 
 def quality_log(quarantines: Mapping[str, DataFrame], ids: Mapping[str, str] = RECORD_ID) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.functions.embedding import embed
 from medallion.functions.text import as_text, chunk_text, extract_fields, render
 from medallion.operators.knn import knn_l2
-from medallion.sources.tables import write_append
 
 POLICY_TEXT = (
     "\nPolicy Number: {policy_number}\nDeductible: {policy_deductable}\n"
@@ -32,6 +32,7 @@ ROUTES = (
     ("state", ("california", "state")),
 )
 TOP_K = 5
+RUN = "_run"
 
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
@@ -138,6 +139,14 @@ def answer_questions(
     )
 
 
-def log_queries(answers: DataFrame, target: str) -> None:
-    """Append answered questions to the query history."""
-    write_append(answers, target)
+def log_queries(answers: DataFrame, target: str, run_id: str | None = None) -> None:
+    """Append answered questions to the query history.
+
+    Rows of a run lie in a folder named after ``run_id``, so a run that is repeated replaces its own rows.
+    """
+    answers.write.mode("overwrite").parquet(f"{target}/{RUN}={run_id or uuid.uuid4().hex}")
+
+
+def query_history(spark: SparkSession, target: str) -> DataFrame:
+    """All answered questions, with the run that answered them."""
+    return spark.read.parquet(target).withColumn(RUN, F.col(RUN).cast("string"))

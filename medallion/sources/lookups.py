@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from medallion.operators.joins import checked_lookup
+from medallion.sources.tables import read_table, write_overwrite
+
 # Region codes and the names they stand for.
 REGION_ROWS = (
     ("W", "West"),
@@ -56,3 +59,30 @@ def fill_lookup(spark: SparkSession, name: str, rows: Sequence[tuple], schema: T
     """Insert rows written in code; columns that are not given take their default."""
     names = ", ".join(schema.fieldNames())
     spark.sql(f"INSERT INTO {name} ({names}) SELECT {names} FROM {{rows}}", rows=seed_rows(spark, rows, schema))
+
+
+def store_lookup(
+    rows: DataFrame, target: str, schema: T.StructType, keys: Sequence[str], created: str = "md_created_datetime"
+) -> None:
+    """Replace a stored lookup that jobs read, after checking what a table definition would: declared columns, NOT NULL, unique keys.
+
+    The load time is filled where it is absent or NULL. Runs that have begun keep the rows they began with.
+    """
+    missing = [f.name for f in schema.fields if f.name not in rows.columns]
+    if missing:
+        raise ValueError(f"lookup columns {missing} are missing")
+    given = F.col(created) if created in rows.columns else F.lit(None).cast("timestamp")
+    typed = rows.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], F.coalesce(given, F.current_timestamp()).alias(created)
+    )
+    strict = [f.name for f in schema.fields if not f.nullable]
+    nulls = typed.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in strict]).first().asDict() if strict else {}
+    if any(nulls.values()):
+        raise ValueError(f"lookup columns {[c for c, n in nulls.items() if n]} must not be NULL")
+    checked_lookup(typed, keys)
+    write_overwrite(typed, target)
+
+
+def stored_lookup(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """A stored lookup with its keys proved unique, marked for broadcast if its rows were counted to be few."""
+    return checked_lookup(read_table(spark, target), keys)

@@ -230,5 +230,14 @@ def test_history_grows(spark, rows, tmp_path):
     assert spark.read.parquet(str(tmp_path / "history")).count() == 2
 
 
+def test_repeated_run_replaces_its_own_history(spark, rows, tmp_path):
+    schema, target = "question string, answer string, confidence_score double, source_policies string", str(tmp_path / "history")
+    retrieval.log_queries(rows([("q", "old", 0.5, "s"), ("r", "old", 0.5, "s")], schema), target, "2024-01-01")
+    retrieval.log_queries(rows([("q", "other", 0.5, "s")], schema), target, "2024-01-02")
+    retrieval.log_queries(rows([("q", "new", 0.5, "s")], schema), target, "2024-01-01")
+    got = {(r[retrieval.RUN], r.question, r.answer) for r in retrieval.query_history(spark, target).collect()}
+    assert got == {("2024-01-01", "q", "new"), ("2024-01-02", "q", "other")}
+
+
 def test_json_keeps_null(rows):
     assert rows([(1, None)], "a int, b double").select(row_json("a", "b")).first()[0] == '{"a":1,"b":null}'
