@@ -1,9 +1,12 @@
 """Benchmark items found in documents, up to a share of edited words.
 
-An item that may have ``e`` edited words gets at least ``e + 1`` disjoint three-word runs as seeds: an edit spoils one of
-them at most, so every match holds a whole seed. Seeds are chosen to be rare among the items. Where a document shows
-one, the words around it must hold as many of the item's three-word runs as the edits leave whole, and are then
-compared with the item by exact edit distance. Nothing is sampled: all matches are found, whatever the item's length.
+Items are cut into parts of at most 60 words; if an item matches, some part matches with its share of the edits. Parts, and
+windows of documents as long, are embedded by random walks (CGK): each step emits the word under a pointer, which moves on
+or stays by a random bit of that word, so walks over texts of small edit distance fall into step and emit mostly equal
+words: edit distance becomes Hamming distance. Words sampled from the emitted sequence are the key of a hash table. How many walks
+a length needs for the recall wanted is found by embedding random edited texts of that length. Windows begin at
+every word near which enough three-word runs of items stand for a match. Where a window meets a part, the words
+around must hold as many of the item's runs as the edits leave whole, and are compared with the whole item by exact edit distance.
 """
 
 from __future__ import annotations
@@ -25,9 +28,17 @@ EDITS = 0.2
 #: Items with fewer words are too short to be told from ordinary text.
 MIN_WORDS = 2
 RUN = 3
-#: Longer items choose their seeds in parts of this many words.
-PART_WORDS = 128
-#: Cells of a table held at once: seed matches, words of regions.
+#: Longer items are sought by parts of this many words at most.
+PART_WORDS = 60
+#: Share of edited parts that the walks must find; parts of long items are many, so items are found more often.
+RECALL = 0.9995
+#: Keys of a walk, emitted words of a key.
+SAMPLES, KEY_WORDS = 16, 2
+#: Random texts that tell how many walks a length needs, and walks tried on each.
+TRIALS, TRIED_WALKS = 400, 48
+#: Window lengths grow by this factor; a part is sought with the nearest one.
+GROWTH = 1.1
+#: Cells of a table held at once: keys of windows, words of regions.
 CELLS = 1 << 21
 #: Items searched for in one pass over the documents.
 BLOCK_ITEMS = 20_000
@@ -37,18 +48,28 @@ def allowed_edits(words: np.ndarray | int):
     return np.where(np.asarray(words) >= 6, np.floor(EDITS * np.asarray(words) + 1e-9), 0).astype(np.int64)
 
 
+@dataclass(frozen=True)
+class Parts:
+    """Parts of items of one window length."""
+
+    window: int
+    walks: int
+    least: int  # item runs that a match leaves whole, at least
+    keys: np.ndarray  # sorted keys of all tables
+    item: np.ndarray  # per key its item, and the part's place in it
+    at: np.ndarray
+
+
 @dataclass(frozen=True)
 class Items:
-    """Items in a row, and where their runs and seeds are."""
+    """Items in a row, and how they are found."""
 
     ids: np.ndarray
     words: np.ndarray
     first: np.ndarray  # items + 1
     edits: np.ndarray
     runs: np.ndarray  # sorted hashes of all runs
-    seeded: np.ndarray  # per run its first seed (runs + 1)
-    seed_item: np.ndarray
-    seed_at: np.ndarray  # place in the item
+    parts: list[Parts]
     members: np.ndarray  # sorted hashes of a run and its item
     pairs: np.ndarray  # sorted hashes of the items of two words
     pair_item: np.ndarray
@@ -72,27 +93,70 @@ def _member(runs: np.ndarray, item: np.ndarray) -> np.ndarray:
     return mix(runs + mix(item.astype(np.uint64) + np.uint64(1)))
 
 
-def disjoint_runs(cost: np.ndarray, parts: int) -> np.ndarray:
-    """Per row the places of ``parts`` runs that share no word, at the least total cost."""
-    rows, n = len(cost), cost.shape[1] + RUN - 1
-    least = [np.full((rows, parts + 1), np.inf) for _ in range(RUN)]
-    for x in least:
-        x[:, 0] = 0
-    taken = np.zeros((n + 1, rows, parts), bool)
-    for j in range(RUN, n + 1):
-        now, take = least[-1].copy(), least[-RUN][:, :-1] + cost[:, j - RUN, None]
-        taken[j] = take < now[:, 1:]
-        now[:, 1:] = np.minimum(now[:, 1:], take)
-        least = [*least[1:], now]
-    at, left, places = np.full(rows, n), np.full(rows, parts), np.zeros((rows, parts), np.int64)
-    every = np.arange(rows)
-    for j in range(n, RUN - 1, -1):
-        here = at == j
-        use = here & (left > 0) & taken[j, every, np.maximum(left - 1, 0)]
-        left = left - use
-        places[every[use], left[use]] = j - RUN
-        at = np.where(use, j - RUN, np.where(here, j - 1, at))
-    return places
+def _steps(window: int, walks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random multipliers (walks x steps) and sampled steps (walks x samples x key words) of a window length."""
+    multipliers, sampled = [], []
+    for walk in range(walks):
+        rng = np.random.default_rng((window, walk))
+        multipliers.append(rng.integers(1, 1 << 62, 2 * window, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        sampled.append(rng.integers(0, max(1, int(1.9 * window)), (SAMPLES, KEY_WORDS)))
+    return np.array(multipliers), np.array(sampled)
+
+
+def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, walks: int) -> np.ndarray:
+    """Keys (ranges x walks * samples) of word ranges: what random walks over each range show at the sampled steps."""
+    multipliers, sampled = _steps(window, walks)
+    padded = np.append(words, np.uint64(0))
+    keys = np.empty((len(starts), walks * SAMPLES), np.uint64)
+    for w in range(walks):
+        at, seen = starts.astype(np.int64), {}
+        needed = set(sampled[w].ravel().tolist())
+        for step in range(max(needed) + 1):
+            word = padded[np.where(at < ends, at, len(words))]
+            if step in needed:
+                seen[step] = word
+            at = at + (word * multipliers[w, step] >> np.uint64(63)).astype(np.int64)
+        for k in range(SAMPLES):
+            key = np.full(len(starts), w * SAMPLES + k, np.uint64)
+            for step in sampled[w, k]:
+                key = mix(key * np.uint64(31) + seen[int(step)])
+            keys[:, w * SAMPLES + k] = key
+    return keys
+
+
+def walks_needed(window: int, length: int, edits: int, recall: float = RECALL) -> int:
+    """Walks after which a part of ``length`` words with ``edits`` random edits shares a key with its original, at that rate.
+
+    Measured on random texts: each one's rate per walk counts by itself, as hard texts stay hard for every walk.
+    """
+    if edits == 0:
+        return 1
+    rng = np.random.default_rng((window, length, edits))
+    originals, changed = [], []
+    for _ in range(TRIALS):
+        words = rng.integers(1, 1 << 62, length + edits).tolist()
+        fresh, one = words[length:], words[:length]
+        originals.append(list(one))
+        for word in fresh:
+            at, turn = int(rng.integers(len(one))), rng.random()
+            if turn < 0.4:
+                one[at] = word
+            elif turn < 0.7:
+                del one[at]
+            else:
+                one.insert(at, word)
+        changed.append((one + rng.integers(1, 1 << 62, length + edits).tolist())[:window])
+    sides = []
+    for texts in (originals, changed):
+        flat = np.array([w for t in texts for w in t], np.uint64)
+        ends = np.cumsum([len(t) for t in texts])
+        sides.append(walk_keys(flat, np.concatenate([[0], ends[:-1]]), ends, window, TRIED_WALKS))
+    met = (sides[0] == sides[1]).reshape(TRIALS, TRIED_WALKS, SAMPLES).any(axis=2).sum(axis=1)
+    missed = 1 - (met + 0.5) / (TRIED_WALKS + 1)
+    walks = 1
+    while (missed**walks).mean() > 1 - recall:
+        walks += 1
+    return walks
 
 
 def prepare(ids: list[int], texts: pa.Array) -> Items:
@@ -107,36 +171,31 @@ def prepare(ids: list[int], texts: pa.Array) -> Items:
     item = np.repeat(np.arange(len(kept)), lengths - RUN + 1)
     at = np.arange(len(item)) + item * (RUN - 1)
     grams = _runs(words)
-    runs, slot, times = np.unique(grams[at], return_inverse=True, return_counts=True)
-    cost = np.zeros(len(words))
-    cost[at] = times[slot]
-    run_at = np.zeros(len(words), np.int64)
-    run_at[at] = slot
-    # Parts of items by length: each takes one seed more than it may have edits.
+    runs = np.unique(grams[at])
+    # Parts of items by window length.
     pieces = -(-lengths // PART_WORDS)
     owner = np.repeat(np.arange(len(kept)), pieces)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     begin, end = first[owner] + nth * lengths[owner] // pieces[owner], first[owner] + (nth + 1) * lengths[owner] // pieces[owner]
-    seed_word, seed_item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    sizes = np.unique(end - begin)
-    for n in sizes[sizes >= RUN]:
-        same, parts = np.flatnonzero(end - begin == n), int(allowed_edits(n)) + 1
-        step = max(1, 16 * CELLS // int(n * parts))
-        for cut in range(0, len(same), step):
-            rows = same[cut : cut + step]
-            places = disjoint_runs(cost[begin[rows][:, None] + np.arange(n - RUN + 1)], parts)
-            seed_word.append((begin[rows][:, None] + places).ravel())
-            seed_item.append(np.repeat(owner[rows], parts))
-    seed_word, seed_item = np.concatenate(seed_word), np.concatenate(seed_item)
-    order = np.argsort(run_at[seed_word], kind="stable")
-    seed_word, seed_item = seed_word[order], seed_item[order]
-    seeded = np.searchsorted(run_at[seed_word], np.arange(len(runs) + 1))
+    size, share = end - begin, allowed_edits(lengths)[owner] // pieces[owner]
+    # Items without edits are sought at their very length.
+    window = np.where(share == 0, size, np.maximum(RUN, np.round(GROWTH ** np.round(np.log(np.maximum(size, 1)) / np.log(GROWTH)))))
+    parts = []
+    for w in np.unique(window[size >= RUN]).astype(int):
+        rows = np.flatnonzero((window == w) & (size >= RUN))
+        hardest = rows[np.argmax(share[rows] / size[rows])]
+        walks = walks_needed(w, int(size[hardest]), int(share[hardest]))
+        least = int(np.maximum(size[rows] - RUN + 1 - RUN * share[rows], 1).min())
+        keys = walk_keys(words, begin[rows], end[rows], w, walks)
+        order = np.argsort(keys.ravel(), kind="stable")
+        of = rows[order // keys.shape[1]]
+        parts.append(Parts(w, walks, least, keys.ravel()[order], owner[of], begin[of] - first[owner[of]]))
     two = np.flatnonzero(lengths == 2)
     pairs = _runs(words, 2)[first[two]] if len(two) else np.zeros(0, np.uint64)
     order = np.argsort(pairs, kind="stable")
     return Items(
-        np.array(ids, np.int64)[kept], words, first, allowed_edits(lengths), runs, seeded, seed_item, seed_word - first[seed_item],
-        np.unique(_member(grams[at], item)), pairs[order], two[order],
+        np.array(ids, np.int64)[kept], words, first, allowed_edits(lengths), runs, parts, np.unique(_member(grams[at], item)),
+        pairs[order], two[order],
     )
 
 
@@ -164,30 +223,63 @@ def _contains(known: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return slot, known[slot] == x
 
 
-def _candidates(first: np.ndarray, slot: np.ndarray, hits: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
-    """Regions (text, item, first word, end word) around seeds that hold enough runs of any item."""
+def _starts(first: np.ndarray, hits: np.ndarray, window: int, least: int) -> np.ndarray:
+    """First words of windows around which ``least`` runs stand close enough for a match."""
+    slack = window // 4 + 1
+    at = np.flatnonzero(hits)
+    if len(at) < least:
+        return np.zeros(0, np.int64)
+    low, high = at[: len(at) - least + 1], at[least - 1 :]
+    owner = np.searchsorted(first, low, side="right") - 1
+    close = (high - low < window + 2 * slack) & (high < first[owner + 1])
+    low, high, owner = low[close], high[close], owner[close]
+    begin, end = np.maximum(high - window - slack + 1, first[owner]), np.minimum(low + slack, first[owner + 1] - 1)
+    # Overlapping stretches of starts, counted by where they begin and end.
+    open_at = np.zeros(len(hits) + 1, np.int64)
+    np.add.at(open_at, begin, 1)
+    np.add.at(open_at, np.maximum(end, begin - 1) + 1, -1)
+    return np.flatnonzero(np.cumsum(open_at) > 0)
+
+
+def _meet(words: np.ndarray, first: np.ndarray, hits: np.ndarray, part: Parts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Windows that share a key with a part: first word of the window, item, the part's place in it."""
+    starts = _starts(first, hits, part.window, part.least)
+    step = max(1, CELLS // (8 * part.walks * SAMPLES))
+    for cut in range(0, len(starts), step):
+        at = starts[cut : cut + step]
+        ends = np.minimum(at + part.window, first[np.searchsorted(first, at, side="right")])
+        keys = walk_keys(words, at, ends, part.window, part.walks).ravel()
+        low, high = np.searchsorted(part.keys, keys), np.searchsorted(part.keys, keys, side="right")
+        size = high - low
+        for piece in _parts_of(size):
+            many = size[piece]
+            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            known = np.repeat(low[piece], many) + nth
+            window = np.repeat(np.arange(piece.start, piece.start + len(many)), many) // (part.walks * SAMPLES)
+            yield at[window], part.item[known], part.at[known]
+
+
+def _parts_of(size: np.ndarray) -> Iterator[slice]:
+    """Stretches of rows that stand for about CELLS cells."""
+    edges = np.searchsorted(np.cumsum(size) // CELLS, np.arange(int(size.sum()) // CELLS + 2))
+    yield from (slice(a, b) for a, b in zip(edges[:-1], edges[1:]) if b > a)
+
+
+def _candidates(words: np.ndarray, first: np.ndarray, hits: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
+    """Regions (text, item, first word, end word) around windows that met a part and hold enough runs of any item."""
     lengths = np.diff(items.first)
     # Each edited word changes at most RUN runs.
     least, slack = np.maximum(lengths - RUN + 1 - RUN * items.edits, 1), lengths // 4 + 1
     total = np.concatenate([[0], np.cumsum(hits)])
-    at = np.flatnonzero(hits)
-    owner = np.searchsorted(first, at, side="right") - 1
-    inside = at + RUN <= first[owner + 1]
-    at, owner = at[inside], owner[inside]
-    size = items.seeded[slot[at] + 1] - items.seeded[slot[at]]
-    at, owner, size = at[size > 0], owner[size > 0], size[size > 0]
-    places, shift = len(hits) + 2 * int(lengths.max()) + 2, int(lengths.max()) + 1
+    shift = int(lengths.max()) + 1
+    places = len(hits) + 2 * shift
     found = [np.zeros(0, np.int64)]
-    part = (np.cumsum(size) - 1) // CELLS
-    for p in range(int(part[-1]) + 1 if len(part) else 0):
-        low, high = np.searchsorted(part, p), np.searchsorted(part, p, side="right")
-        many = size[low:high]
-        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        seed = np.repeat(items.seeded[slot[at[low:high]]], many) + nth
-        item, text = items.seed_item[seed], np.repeat(owner[low:high], many)
-        # A match starts as far before the seed as in the item, up to the edits; one region serves ``slack`` starts.
-        place = (np.repeat(at[low:high], many) - items.seed_at[seed] - first[text]) // slack[item]
-        found.append(np.unique((text * len(lengths) + item) * places + place + shift))
+    for part in items.parts:
+        for at, item, offset in _meet(words, first, hits, part):
+            text = np.searchsorted(first, at, side="right") - 1
+            # A match starts as far before the part as in the item, up to the edits; one region serves ``slack`` starts.
+            place = (at - offset - first[text]) // slack[item]
+            found.append(np.unique((text * len(lengths) + item) * places + place + shift))
     key = np.unique(np.concatenate(found))
     text, item = key // places // len(lengths), key // places % len(lengths)
     begin = first[text] + (key % places - shift) * slack[item] - items.edits[item]
@@ -228,10 +320,13 @@ def _search(words: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndar
     grams = _runs(words)
     if len(grams) == 0 or len(items.runs) == 0:
         return out[0]
-    slot, hits = _contains(items.runs, grams)
+    hits = np.zeros(len(words), bool)
+    hits[: len(grams)] = _contains(items.runs, grams)[1]
+    last = first[1:][np.diff(first) > 0]
+    hits[np.concatenate([last - 1, np.maximum(last - 2, 0)])] = False  # runs that would cross into the next text
     lengths = np.diff(items.first)
     least = np.maximum(lengths - RUN + 1 - RUN * items.edits, 1)
-    text, item, begin, end = _candidates(first, slot, hits, items)
+    text, item, begin, end = _candidates(words, first, hits, items)
     width = lengths + 2 * items.edits + lengths // 4 + 1
     # Runs of this very item.
     enough = np.zeros(len(item), bool)

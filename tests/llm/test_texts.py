@@ -3,6 +3,7 @@ import re
 from datetime import date
 
 import pyarrow as pa
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,31 @@ def test_leaks_of_any_length(spark):
     assert want == {(d, i) for d, i in got if i in {x for x, _ in short}}
 
 
+@pytest.mark.parametrize("length", [6, 15, 40, 60])
+def test_walks_meet_edited_parts(length):
+    """Random edited copies, other texts than those that the number of walks was measured on."""
+    edits = int(decontaminate.allowed_edits(length))
+    walks = decontaminate.walks_needed(length, length, edits)
+    rng = random.Random(length)
+    met = 0
+    for _ in range(300):
+        words = [rng.randrange(1, 1 << 62) for _ in range(length)]
+        copy = [w if isinstance(w, int) else rng.randrange(1, 1 << 62) for w in altered(rng, words, edits)]
+        rows = np.array([*words, *copy], np.uint64)
+        bounds = np.array([0, length]), np.array([length, len(rows)])
+        a, b = decontaminate.walk_keys(rows, *bounds, length, walks)
+        met += (a == b).any()
+    assert met >= 0.99 * 300
+    assert decontaminate.walks_needed(length, length, 0) == 1 and walks > 1
+
+
+def test_equal_windows_share_every_key():
+    rows = np.arange(1, 31, dtype=np.uint64).repeat(1)
+    twice = np.concatenate([rows, rows])
+    a, b = decontaminate.walk_keys(twice, np.array([0, 30]), np.array([30, 60]), 30, 3)
+    assert (a == b).all() and a.shape == (3 * decontaminate.SAMPLES,)
+
+
 def test_leaks_in_scripts_without_blanks(spark):
     zh, ja, th = "北京是中华人民共和国的首都，也是全国的政治中心。", "東京は日本の首都です。人口は約千四百万人。", "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"
     items = [(1, zh), (2, ja), (3, th), (4, "what is “the capital city” of France — Paris"), (5, "Golden Gate"), (6, "golden  gate!"), (7, "水门")]
