@@ -38,6 +38,7 @@ SAMPLES, KEY_WORDS = 16, 2
 TRIALS, TRIED_WALKS = 400, 48
 #: Window lengths grow by this factor; a part is sought with the nearest one.
 GROWTH = 1.1
+MARK_BITS = 18
 #: Cells of a table held at once: keys of windows, words of regions.
 CELLS = 1 << 21
 #: Items searched for in one pass over the documents.
@@ -53,11 +54,12 @@ class Parts:
     """Parts of items of one window length."""
 
     window: int
-    walks: int
+    steps: tuple[np.ndarray, np.ndarray]  # of the walks
     least: int  # item runs that a match leaves whole, at least
     keys: np.ndarray  # sorted keys of all tables
     item: np.ndarray  # per key its item, and the part's place in it
     at: np.ndarray
+    marks: np.ndarray  # first bits that some key has
 
 
 @dataclass(frozen=True)
@@ -103,25 +105,28 @@ def _steps(window: int, walks: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(multipliers), np.array(sampled)
 
 
-def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, walks: int) -> np.ndarray:
+def walk_keys(
+    words: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, walks: int, steps: tuple[np.ndarray, np.ndarray] | None = None
+) -> np.ndarray:
     """Keys (ranges x walks * samples) of word ranges: what random walks over each range show at the sampled steps."""
-    multipliers, sampled = _steps(window, walks)
+    multipliers, sampled = steps or _steps(window, walks)
     padded = np.append(words, np.uint64(0))
-    keys = np.empty((len(starts), walks * SAMPLES), np.uint64)
-    for w in range(walks):
-        at, seen = starts.astype(np.int64), {}
-        needed = set(sampled[w].ravel().tolist())
-        for step in range(max(needed) + 1):
-            word = padded[np.where(at < ends, at, len(words))]
-            if step in needed:
-                seen[step] = word
-            at = at + (word * multipliers[w, step] >> np.uint64(63)).astype(np.int64)
-        for k in range(SAMPLES):
-            key = np.full(len(starts), w * SAMPLES + k, np.uint64)
-            for step in sampled[w, k]:
-                key = mix(key * np.uint64(31) + seen[int(step)])
-            keys[:, w * SAMPLES + k] = key
-    return keys
+    at = np.broadcast_to(starts.astype(np.int64), (walks, len(starts))).copy()
+    last = ends.astype(np.int64)
+    # All walks over all ranges go one step at a time; only sampled steps are kept.
+    kept, slot = np.unique(sampled, return_inverse=True)
+    seen, due = np.empty((len(kept), walks, len(starts)), np.uint64), 0
+    for step in range(int(kept[-1]) + 1):
+        word = padded[np.where(at < last, at, len(words))]
+        if kept[due] == step:
+            seen[due] = word
+            due += 1
+        at += (word * multipliers[:, step, None] >> np.uint64(63)).astype(np.int64)
+    key = np.broadcast_to(np.arange(walks * SAMPLES, dtype=np.uint64).reshape(walks, SAMPLES, 1), (walks, SAMPLES, len(starts)))
+    every = np.arange(walks)[:, None]
+    for chosen in np.moveaxis(slot.reshape(sampled.shape), 2, 0):
+        key = mix(key * np.uint64(31) + seen[chosen, every])
+    return key.reshape(walks * SAMPLES, len(starts)).T
 
 
 def walks_needed(window: int, length: int, edits: int, recall: float = RECALL) -> int:
@@ -189,7 +194,9 @@ def prepare(ids: list[int], texts: pa.Array) -> Items:
         keys = walk_keys(words, begin[rows], end[rows], w, walks)
         order = np.argsort(keys.ravel(), kind="stable")
         of = rows[order // keys.shape[1]]
-        parts.append(Parts(w, walks, least, keys.ravel()[order], owner[of], begin[of] - first[owner[of]]))
+        marks = np.zeros(1 << MARK_BITS, bool)
+        marks[(keys.ravel() >> np.uint64(64 - MARK_BITS)).astype(np.int64)] = True
+        parts.append(Parts(w, _steps(w, walks), least, keys.ravel()[order], owner[of], begin[of] - first[owner[of]], marks))
     two = np.flatnonzero(lengths == 2)
     pairs = _runs(words, 2)[first[two]] if len(two) else np.zeros(0, np.uint64)
     order = np.argsort(pairs, kind="stable")
@@ -244,18 +251,22 @@ def _starts(first: np.ndarray, hits: np.ndarray, window: int, least: int) -> np.
 def _meet(words: np.ndarray, first: np.ndarray, hits: np.ndarray, part: Parts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Windows that share a key with a part: first word of the window, item, the part's place in it."""
     starts = _starts(first, hits, part.window, part.least)
-    step = max(1, CELLS // (8 * part.walks * SAMPLES))
+    walks = len(part.steps[0])
+    step = max(1, CELLS // (walks * max(8 * SAMPLES, 2 * part.window)))
     for cut in range(0, len(starts), step):
         at = starts[cut : cut + step]
         ends = np.minimum(at + part.window, first[np.searchsorted(first, at, side="right")])
-        keys = walk_keys(words, at, ends, part.window, part.walks).ravel()
+        keys = walk_keys(words, at, ends, part.window, walks, part.steps).ravel()
+        # Most keys are no part's; a look at their first bits tells so.
+        maybe = np.flatnonzero(part.marks[(keys >> np.uint64(64 - MARK_BITS)).astype(np.int64)])
+        keys = keys[maybe]
         low, high = np.searchsorted(part.keys, keys), np.searchsorted(part.keys, keys, side="right")
         size = high - low
         for piece in _parts_of(size):
             many = size[piece]
             nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             known = np.repeat(low[piece], many) + nth
-            window = np.repeat(np.arange(piece.start, piece.start + len(many)), many) // (part.walks * SAMPLES)
+            window = np.repeat(maybe[piece], many) // (walks * SAMPLES)
             yield at[window], part.item[known], part.at[known]
 
 
