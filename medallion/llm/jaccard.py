@@ -1,12 +1,14 @@
 """Documents linked by the Jaccard similarity of their word shingles, joined through a token-group matrix.
 
 Documents with equal sets are one class. Classes are partitioned into groups of similar documents: those
-with an equal min-hash band are compared with the band's first class, and what is linked forms a group. The
+with an equal min-hash band are compared with the band's first class, what is linked stays together, and what shares
+its most frequent band forms a group, linked or not. The
 matrix says which group holds which token. Two sets with a similarity of 80 % share a token among the
 first fifth of either set, in any order of tokens common to all, so the matrix keeps those alone; frequent tokens
 come last in the order. Two groups that share a token are opened only if the union of their tokens, folded into
-counts per token class, allows the overlap that a link needs. Pairs from opened groups meet by bit maps as long as
-their sets first, which bound the overlap, and what is left is compared exactly.
+counts per token class, allows the overlap that a link needs; then each member is asked against the other group's
+union. Members that are left, and those of one group, meet in blocks: a task reads the texts of two blocks, bounds
+overlaps by bit maps as long as the sets, compares exactly what is left, and returns no more links than join its documents.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ COUNTED, REPORTED = 4_000_000, 2
 FREQUENT, FREQUENT_KEPT = 32, 200_000
 #: So many neighbouring partitions are counted by one task, which sees frequent tokens better than a small one.
 COUNT_TOGETHER = 8
+#: Documents of a block, and tokens unless one document has more; what is linked beyond a block is a group of its own.
+BLOCK, BLOCK_TOKENS = 256, 1 << 20
+#: Cells of a matrix of bits that is unpacked at a time.
+UNPACKED = 1 << 22
 #: Ids up to this many (8 MB) are broadcast to pick their texts, more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -119,7 +125,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
             bins = np.zeros(BINS, np.uint64)
             bin_of = (own & np.uint64(BINS - 1)).astype(np.int64)
             bins[bin_of[::-1]] = own[::-1]  # the smallest of each bin is written last
-            bands.append(mix(bins[0::2] * np.uint64(31) + bins[1::2] + np.arange(BANDS, dtype=np.uint64)))
+            filled = (bins[0::2] > 0) | (bins[1::2] > 0)
+            bands.append(mix(bins[0::2] * np.uint64(31) + bins[1::2] + np.arange(BANDS, dtype=np.uint64))[filled])
             maps.append(_bit_map(own))
             folds[i] = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=FOLDS)
         pair = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
@@ -144,33 +151,39 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
         )
 
 
+def _sets(column: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = text_bytes(column)
+    _, _, hashes, first_word = words(data, offsets, powers)
+    return shingle_hashes(hashes, first_word, WORDS)
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole texts have similar enough sets."""
     powers = Powers()
-
-    def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, offsets = text_bytes(column)
-        _, _, hashes, first_word = words(data, offsets, powers)
-        return shingle_hashes(hashes, first_word, WORDS)
-
     for batch in batches:
         for begin in range(0, batch.num_rows, 32):
             rows = batch.slice(begin, 32)
-            (x, xs), (y, ys) = sets(rows.column("ta")), sets(rows.column("tb"))
-            keep = []
-            for i in range(rows.num_rows):
-                a, b = np.unique(x[xs[i] : xs[i + 1]]), np.unique(y[ys[i] : ys[i + 1]])
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both))
+            (x, xs), (y, ys) = _sets(rows.column("ta"), powers), _sets(rows.column("tb"), powers)
+            keep = [_similar(np.unique(x[xs[i] : xs[i + 1]]), np.unique(y[ys[i] : ys[i + 1]])) for i in range(rows.num_rows)]
             yield rows.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of those ids, one row each. Texts of other documents are not moved."""
+    ids = stored(ids.distinct(), "ids")
+    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return stored(docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+
+
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those pairs (``a``, ``b``) of doc_ids whose texts are linked. Texts of other documents are not moved."""
+    """Those pairs (``a``, ``b``) of doc_ids whose texts are linked."""
     pairs = stored(pairs, "pairs")
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
-    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = stored(docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    texts = _texts(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), docs)
     sides = [texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in ("a", "b")]
     rows = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "ta", "tb")
     return rows.mapInArrow(_linked, "a long, b long")
@@ -221,6 +234,93 @@ def _met(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     return pairs.mapInArrow(_may_link, "a long, b long")
 
 
+def _unpacked(maps: list[bytes], bits: int) -> np.ndarray:
+    """One row of 0 and 1 per map, all maps of one length, folded to ``bits``."""
+    rows = np.unpackbits(np.frombuffer(b"".join(maps), np.uint8).reshape(len(maps), -1), axis=1, bitorder="little")
+    return rows.reshape(len(maps), -1, bits).max(axis=1).astype(np.float32)
+
+
+def _room(xa: np.ndarray, na: np.ndarray, xb: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Bound of the overlap of each left set with each right set, as in ``_may_link``."""
+    both = xa @ xb.T
+    return np.minimum((na - xa.sum(axis=1))[:, None] + both, (nb - xb.sum(axis=1))[None, :] + both)
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between the ``left`` and the other documents of two blocks, without those that others of them imply."""
+    table = table.combine_chunks()
+    left = np.asarray(table.column("left"))
+    ids, n, place = (np.asarray(table.column(c)) for c in ("doc_id", "n_shingles", "place"))
+    maps, texts = table.column("bits").to_pylist(), table.column("text")
+    powers, sets, up = Powers(), {}, {}
+
+    def own(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = np.unique(_sets(texts.slice(i, 1).combine_chunks(), powers)[0])
+        return sets[i]
+
+    def root(c: int) -> int:
+        while up.setdefault(c, c) != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    lengths = 8 * np.array([len(m) for m in maps], np.int64)
+    found = []
+    for la in np.unique(lengths[left]):
+        for lb in np.unique(lengths[~left]):
+            if max(la, lb) > 2 * min(la, lb):
+                continue  # the longer set has more than twice the tokens
+            bits = int(min(la, lb))
+            step = max(1, UNPACKED // int(max(la, lb)))
+            xs, ys = np.flatnonzero(left & (lengths == la)), np.flatnonzero(~left & (lengths == lb))
+            for p in range(0, len(xs), step):
+                x = xs[p : p + step]
+                ux = _unpacked([maps[i] for i in x], bits)
+                for q in range(0, len(ys), step):
+                    y = ys[q : q + step]
+                    room = _room(ux, n[x], _unpacked([maps[i] for i in y], bits), n[y])
+                    may = room * (100 + PERCENT) >= PERCENT * (n[x][:, None] + n[y][None, :])
+                    for i, j in zip(*np.nonzero(may & (place[x][:, None] != place[y][None, :]))):
+                        i, j = int(x[i]), int(y[j])
+                        a, b = root(int(place[i])), root(int(place[j]))
+                        if a != b and _similar(own(i), own(j)):
+                            up[a] = b
+                            found.append((int(ids[i]), int(ids[j])))
+    ends = list(zip(*found)) or [(), ()]
+    return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``ga, gb, k``: number of blocks of the members ``rows`` (ga, gb, doc_id, n_shingles) of one side."""
+    return rows.groupBy("ga", "gb").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("k")
+    )
+
+
+def _compared(left: DataFrame, right: DataFrame, heads: DataFrame, place: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) between the members of two sides with equal ``ga``, ``gb``, block by block; within a group
+    (``ga = gb``, both sides equal) each pair of blocks meets once. ``place`` says what is joined already."""
+    key = ["ga", "gb"]
+    left, right = stored(left, "side"), stored(right, "side")
+    count = _blocks(left).withColumnRenamed("k", "ki").join(_blocks(right).withColumnRenamed("k", "kj"), key)
+    count = stored(count, "blocks")
+
+    def turn(k: str):
+        return F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col(k)).cast("int")
+
+    lefts = left.join(count, key).select(*key, "doc_id", F.lit(True).alias("left"), turn("ki").alias("own"), "kj", "ki")
+    rights = right.join(count, key).select(*key, "doc_id", F.lit(False).alias("left"), turn("kj").alias("own"), "kj", "ki")
+    members = lefts.unionByName(rights)
+    texts = _texts(members.select("doc_id"), docs)
+    known = heads.select("doc_id", "n_shingles", "bits").join(texts, "doc_id").join(place, "doc_id")
+    start = F.when(F.expr("ga = gb and left"), F.col("own")).otherwise(0)
+    end = F.when(~F.col("left"), F.when(F.expr("ga = gb"), F.col("own")).otherwise(F.col("ki") - 1)).otherwise(F.col("kj") - 1)
+    met = members.join(known, "doc_id").withColumn("other", F.explode(F.sequence(start, end)))
+    first, second = F.when(F.col("left"), F.col("own")).otherwise(F.col("other")), F.when(F.col("left"), F.col("other")).otherwise(F.col("own"))
+    met = met.select(*key, first.alias("i"), second.alias("j"), "left", "doc_id", "n_shingles", "place", "bits", "text")
+    return met.groupBy(*key, "i", "j").applyInArrow(_block_links, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``: smallest doc_id that links of similarity >= 80 % reach.
 
@@ -242,25 +342,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     # Groups of similar documents.
     band = heads.select("doc_id", F.explode("bands").alias("band"))
-    lead = band.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    near = verify(band.join(lead, "band").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), docs)
+    lead = band.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    banded = stored(band.join(lead, "band"), "bands")
+    near = verify(banded.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), docs)
     near = stored(near, "near")
-    grouped = components(near)
-    group = stored(
-        heads.select("doc_id", "n_shingles", "folds").join(grouped.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", "folds", F.coalesce("component", "doc_id").alias("grp")), "groups"
-    )
+    grouped = components(near).withColumnRenamed("node", "doc_id")
+    parts = stored(
+        heads.select("doc_id", "n_shingles", "folds").join(grouped, "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id")), "parts"
+    )
+    # Documents linked so far stay together; a few of them, or one, go to the group of the most frequent band of their first.
+    few = parts.groupBy("part").agg(F.count("*").alias("n")).filter(F.col("n") <= BLOCK).select(F.col("part").alias("doc_id"))
+    choice = banded.join(few, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct("n", "band")).alias("most"))
+    choice = choice.select(F.col("doc_id").alias("part"), F.col("most.band").alias("band"))
+    group = parts.join(choice, "part", "left").select("doc_id", "n_shingles", "folds", "part", F.coalesce("band", "part").alias("grp"))
+    group = stored(group, "groups")
+    kinds = stored(group.groupBy("grp").agg(F.min("part").alias("part"), F.max("part").alias("last")), "kinds")
 
     # The matrix: tokens that more than one group holds.
-    cells = heads.select(F.explode("prefix").alias("token"), "doc_id")
-    by_token = Window.partitionBy("token")
-    shared = cells.withColumns({"lo": F.min("doc_id").over(by_token), "hi": F.max("doc_id").over(by_token)}).filter("lo < hi")
-    shared = shared.select("token", "doc_id").join(group.select("doc_id", "grp", F.col("n_shingles").alias("n")), "doc_id")
-    shared = stored(shared, "shared")
-    rows = shared.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    rows = stored(rows, "matrix")
-    several = rows.groupBy("token").agg(F.count("*").alias("g")).filter("g > 1").select("token")
-    rows = stored(rows.join(several, "token"), "cells")
+    cells = heads.select("doc_id", "prefix").join(group.select("doc_id", "grp", F.col("n_shingles").alias("n")), "doc_id")
+    cells = cells.select(F.explode("prefix").alias("token"), "grp", "n")
+    several = cells.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo < hi").select("token")
+    rows = cells.join(several, "token").groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    rows = stored(rows, "cells")
     left = rows.select("token", F.col("grp").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma"))
     right = rows.select("token", F.col("grp").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb"))
     fits = F.expr(f"a < b and 100 * mb >= {PERCENT} * la and 100 * ma >= {PERCENT} * lb")
@@ -280,25 +383,36 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     allowed = stored(asked.select(F.col("doc_id").alias("a"), "b", F.col("grp").alias("g")), "allowed")
     left = allowed.filter("g < b").select(F.col("g").alias("ga"), F.col("b").alias("gb"), "a")
     right = allowed.filter("g > b").select(F.col("b").alias("ga"), F.col("g").alias("gb"), F.col("a").alias("b"))
-    # One link makes two groups one: each member first meets about one of the other group, by hashed turns.
     turns = left.groupBy("ga", "gb").count().withColumnRenamed("count", "na").join(right.groupBy("ga", "gb").count(), ["ga", "gb"])
     turns = turns.select("ga", "gb", F.least("na", "count").alias("turns"))
-    left, right = (
-        stored(side.join(turns, ["ga", "gb"]).withColumn("turn", F.pmod(F.xxhash64(x), F.col("turns"))), "sides")
+    for x in ("ga", "gb"):
+        whole = kinds.filter("part = last").select(F.col("grp").alias(x), F.col("part").alias(f"p{x}"))
+        turns = turns.join(whole, x, "left")
+    turns = stored(turns, "turns")
+    # One link makes two groups of linked documents one: each member first meets about one of the other group, by hashed turns.
+    few = turns.filter("turns = 1 or (pga is not null and pgb is not null)").select("ga", "gb", "turns")
+    some_left, some_right = (
+        side.join(few, ["ga", "gb"]).select("ga", "gb", F.pmod(F.xxhash64(x), F.col("turns")).alias("turn"), x)
         for side, x in ((left, "a"), (right, "b"))
     )
-    some = left.select("ga", "gb", "turn", "a").join(right.select("ga", "gb", "turn", "b"), ["ga", "gb", "turn"])
+    some = some_left.join(some_right, ["ga", "gb", "turn"])
     links = stored(verify(_met(some.select("a", "b"), heads), docs), "links")
-    # Groups that are still apart are compared in full; with one turn all their members have met.
-    of = group.select("doc_id", "grp")
+    # Groups that are still apart, or not linked in themselves, are compared in full; with one turn all their members have met.
+    of = group.select("doc_id", "part")
     joined = links.join(of.toDF("a", "ga"), "a").join(of.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     place = stored(components(joined), "joined")
-    apart = turns.filter("turns > 1").select("ga", "gb")
+    apart = turns.filter("turns > 1").select("ga", "gb", "pga", "pgb")
     for x in ("ga", "gb"):
-        apart = apart.join(place.toDF(x, f"c{x}"), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
-    apart = stored(apart.filter("cga <> cgb").select("ga", "gb"), "apart")
-    full = left.join(apart, ["ga", "gb"]).select("ga", "gb", "a").join(right.select("ga", "gb", "b"), ["ga", "gb"])
-    links = links.unionByName(verify(_met(full.select("a", "b"), heads), docs))
+        apart = apart.join(place.toDF(f"p{x}", f"c{x}"), f"p{x}", "left").withColumn(f"c{x}", F.coalesce(f"c{x}", f"p{x}"))
+    apart = stored(apart.filter("cga is null or cgb is null or cga <> cgb").select("ga", "gb"), "apart")
+    size = group.select("doc_id", "n_shingles")
+    full_left, full_right = (
+        side.join(apart, ["ga", "gb"]).select("ga", "gb", F.col(x).alias("doc_id")).join(size, "doc_id") for side, x in ((left, "a"), (right, "b"))
+    )
+    mixed = kinds.filter("part < last").select("grp")
+    inside = group.join(mixed, "grp", "left_semi").select("doc_id", F.col("grp").alias("ga"), F.col("grp").alias("gb"), "n_shingles")
+    now = of.join(place.toDF("part", "place"), "part", "left").select("doc_id", F.coalesce("place", "part").alias("place"))
+    links = links.unionByName(_compared(full_left.unionByName(inside), full_right.unionByName(inside), heads, now, docs))
 
     every = components(near.unionByName(links)).select(F.col("node").alias("rep"), "component")
     found = member.join(every, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))

@@ -66,6 +66,25 @@ def test_jaccard_against_all_pairs(spark, settings):
     assert kept == {i for i in sets if want[i] == i}
 
 
+def test_jaccard_of_a_family(spark, monkeypatch):
+    """Many documents that are alike without being linked, most of them; some are, through several blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(90)]
+    texts = []
+    for k in range(160):
+        own = list(base)
+        for at in rng.choice(90, 3 if k % 4 else 1, replace=False):
+            own[at] = f"n{k}x{at}"
+        texts.append(" ".join(own))
+    texts += [f"{t} tail" for t in texts[:5]]
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * (both := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - both)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert got == smallest(links, sets) and 10 < len(set(got.values())) < 150
+
+
 def test_jaccard_edges(edge_docs, empty):
     rows = jaccard.jaccard_components(edge_docs).collect()
     assert len(rows) == edge_docs.count()
