@@ -290,27 +290,23 @@ def _block_links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """``ga, gb, k``: number of blocks of the members ``rows`` (ga, gb, doc_id, n_shingles) of one side."""
-    return rows.groupBy("ga", "gb").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("k")
-    )
+def _blocks():
+    """Number of blocks of a group's rows with ``n_shingles``, as an aggregate."""
+    return F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int")
 
 
 def _compared(left: DataFrame, right: DataFrame, heads: DataFrame, place: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (``a``, ``b``) between the members of two sides with equal ``ga``, ``gb``, block by block; within a group
-    (``ga = gb``, both sides equal) each pair of blocks meets once. ``place`` says what is joined already."""
+    """Links (``a``, ``b``) between the members (ga, gb, doc_id, ki, kj) of two sides with equal ``ga``, ``gb``, whose numbers of
+    blocks are ``ki`` and ``kj``; within a group (``ga = gb``, both sides equal) each pair of blocks meets once. ``place``
+    says what is joined already."""
     key = ["ga", "gb"]
-    left, right = stored(left, "side"), stored(right, "side")
-    count = _blocks(left).withColumnRenamed("k", "ki").join(_blocks(right).withColumnRenamed("k", "kj"), key)
-    count = stored(count, "blocks")
 
     def turn(k: str):
         return F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col(k)).cast("int")
 
-    lefts = left.join(count, key).select(*key, "doc_id", F.lit(True).alias("left"), turn("ki").alias("own"), "kj", "ki")
-    rights = right.join(count, key).select(*key, "doc_id", F.lit(False).alias("left"), turn("kj").alias("own"), "kj", "ki")
-    members = lefts.unionByName(rights)
+    lefts = left.select(*key, "doc_id", F.lit(True).alias("left"), turn("ki").alias("own"), "kj", "ki")
+    rights = right.select(*key, "doc_id", F.lit(False).alias("left"), turn("kj").alias("own"), "kj", "ki")
+    members = stored(lefts.unionByName(rights), "members")
     texts = _texts(members.select("doc_id"), docs)
     known = heads.select("doc_id", "n_shingles", "bits").join(texts, "doc_id").join(place, "doc_id")
     start = F.when(F.expr("ga = gb and left"), F.col("own")).otherwise(0)
@@ -380,11 +376,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     may_link = room * (100 + PERCENT) >= PERCENT * (F.col("n_shingles") + F.col("nb"))
     # The bound is part of the join: members that it rules out never become rows.
     asked = both.join(unions_b, "b").join(group, (F.col("a") == F.col("grp")) & may_link)
-    allowed = stored(asked.select(F.col("doc_id").alias("a"), "b", F.col("grp").alias("g")), "allowed")
-    left = allowed.filter("g < b").select(F.col("g").alias("ga"), F.col("b").alias("gb"), "a")
-    right = allowed.filter("g > b").select(F.col("b").alias("ga"), F.col("g").alias("gb"), F.col("a").alias("b"))
-    turns = left.groupBy("ga", "gb").count().withColumnRenamed("count", "na").join(right.groupBy("ga", "gb").count(), ["ga", "gb"])
-    turns = turns.select("ga", "gb", F.least("na", "count").alias("turns"))
+    allowed = stored(asked.select(F.col("doc_id").alias("a"), "b", F.col("grp").alias("g"), "n_shingles"), "allowed")
+    left = allowed.filter("g < b").select(F.col("g").alias("ga"), F.col("b").alias("gb"), "a", "n_shingles")
+    right = allowed.filter("g > b").select(F.col("b").alias("ga"), F.col("g").alias("gb"), F.col("a").alias("b"), "n_shingles")
+    turns = left.groupBy("ga", "gb").agg(F.count("*").alias("na"), _blocks().alias("ki")).join(
+        right.groupBy("ga", "gb").agg(F.count("*").alias("nb"), _blocks().alias("kj")), ["ga", "gb"]
+    )
+    turns = turns.select("ga", "gb", F.least("na", "nb").alias("turns"), "ki", "kj")
     for x in ("ga", "gb"):
         whole = kinds.filter("part = last").select(F.col("grp").alias(x), F.col("part").alias(f"p{x}"))
         turns = turns.join(whole, x, "left")
@@ -401,16 +399,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     of = group.select("doc_id", "part")
     joined = links.join(of.toDF("a", "ga"), "a").join(of.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     place = stored(components(joined), "joined")
-    apart = turns.filter("turns > 1").select("ga", "gb", "pga", "pgb")
+    apart = turns.filter("turns > 1").select("ga", "gb", "pga", "pgb", "ki", "kj")
     for x in ("ga", "gb"):
         apart = apart.join(place.toDF(f"p{x}", f"c{x}"), f"p{x}", "left").withColumn(f"c{x}", F.coalesce(f"c{x}", f"p{x}"))
-    apart = stored(apart.filter("cga is null or cgb is null or cga <> cgb").select("ga", "gb"), "apart")
-    size = group.select("doc_id", "n_shingles")
+    apart = stored(apart.filter("cga is null or cgb is null or cga <> cgb").select("ga", "gb", "ki", "kj"), "apart")
     full_left, full_right = (
-        side.join(apart, ["ga", "gb"]).select("ga", "gb", F.col(x).alias("doc_id")).join(size, "doc_id") for side, x in ((left, "a"), (right, "b"))
+        side.join(apart, ["ga", "gb"]).select("ga", "gb", F.col(x).alias("doc_id"), "ki", "kj") for side, x in ((left, "a"), (right, "b"))
     )
     mixed = kinds.filter("part < last").select("grp")
-    inside = group.join(mixed, "grp", "left_semi").select("doc_id", F.col("grp").alias("ga"), F.col("grp").alias("gb"), "n_shingles")
+    inside = group.join(group.join(mixed, "grp", "left_semi").groupBy("grp").agg(_blocks().alias("k")), "grp")
+    inside = inside.select(F.col("grp").alias("ga"), F.col("grp").alias("gb"), "doc_id", F.col("k").alias("ki"), F.col("k").alias("kj"))
     now = of.join(place.toDF("part", "place"), "part", "left").select("doc_id", F.coalesce("place", "part").alias("place"))
     links = links.unionByName(_compared(full_left.unionByName(inside), full_right.unionByName(inside), heads, now, docs))
 
