@@ -54,50 +54,54 @@ def window_gradients(
 
     ``fresh`` marks steps that begin a document: the state before them is zero. ``live`` marks steps that count.
     """
+    # Steps come first inside, so that each step's rows lie together and products over all steps are single ones.
     lanes, steps = inputs.shape
-    x = p["embed"][inputs]
-    drive = x @ p["into"] + p["gate"]
-    n = HIDDEN
-    seen = []
-    hidden = np.empty((lanes, steps, n), h.dtype)
+    at, fresh, n = inputs.T.ravel(), fresh.T, HIDDEN
+    x = p["embed"][at]
+    drive = (x @ p["into"] + p["gate"]).reshape(steps, lanes, 3 * n)
+    kept = np.where(fresh, 0, 1).astype(h.dtype)[:, :, None]
+    gates = np.empty((steps, lanes, 2 * n), drive.dtype)
+    before, hidden, new, turned = (np.empty((steps, lanes, n), drive.dtype) for _ in range(4))
     for t in range(steps):
-        h = np.where(fresh[:, t : t + 1], 0, h)
-        a = h @ p["back"]
-        zr = _sigmoid(drive[:, t, : 2 * n] + a[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(drive[:, t, 2 * n :] + r * a[:, 2 * n :])
-        seen.append((h, z, r, c, a[:, 2 * n :]))
-        h = h + z * (c - h)
-        hidden[:, t] = h
-    logits = hidden @ p["out"] + p["prior"]
-    logits -= logits.max(axis=2, keepdims=True)
-    share = np.exp(logits)
-    total = share.sum(axis=2, keepdims=True)
-    share /= total
-    lane, step = np.nonzero(live)
-    loss = float(-np.log(np.maximum(share[lane, step, targets[lane, step]], 1e-30)).sum())
-    count = max(len(lane), 1)
-    share[lane, step, targets[lane, step]] -= 1
-    share *= (live / count)[:, :, None].astype(share.dtype)
-    g = {"out": np.einsum("lsh,lsc->hc", hidden, share, optimize=True), "prior": share.sum(axis=(0, 1))}
-    d_hidden = share @ p["out"].T
-    d_drive, d_back = np.empty_like(drive), np.zeros_like(p["back"])
+        before[t] = h * kept[t]
+        a = before[t] @ p["back"]
+        gates[t] = _sigmoid(drive[t, :, : 2 * n] + a[:, : 2 * n])
+        turned[t] = a[:, 2 * n :]
+        new[t] = np.tanh(drive[t, :, 2 * n :] + gates[t, :, n:] * turned[t])
+        h = before[t] + gates[t, :, :n] * (new[t] - before[t])
+        hidden[t] = h
+    rows = hidden.reshape(-1, n)
+    share = rows @ p["out"]
+    share += p["prior"]
+    share -= share.max(axis=1, keepdims=True)
+    np.exp(share, out=share)
+    share /= share.sum(axis=1, keepdims=True)
+    counts = live.T.ravel()
+    step, want = np.flatnonzero(counts), targets.T.ravel()
+    loss = float(-np.log(np.maximum(share[step, want[step]], 1e-30)).sum())
+    share[step, want[step]] -= 1
+    share *= (counts / max(len(step), 1)).astype(share.dtype)[:, None]
+    g = {"out": rows.T @ share, "prior": share.sum(axis=0)}
+    d_hidden = (share @ p["out"].T).reshape(steps, lanes, n)
+    z, r = gates[:, :, :n], gates[:, :, n:]
+    # What a step's loss does to its three inputs, but for the factor that the later steps give.
+    to_new = z * (1 - new * new)
+    factors = np.concatenate([(new - before) * z * (1 - z), to_new * turned * r * (1 - r), to_new, to_new * r], axis=2)
+    held, back = 1 - z, p["back"].T.copy()
+    d_drive, d_a = (np.empty((steps, lanes, 3 * n), drive.dtype) for _ in range(2))
     carry = np.zeros_like(h)
     for t in range(steps - 1, -1, -1):
-        before, z, r, c, ac = seen[t]
-        d = d_hidden[:, t] + carry
-        dc = d * z * (1 - c * c)
-        dz = d * (c - before) * z * (1 - z)
-        dr = dc * ac * r * (1 - r)
-        d_drive[:, t] = np.concatenate([dz, dr, dc], axis=1)
-        da = np.concatenate([dz, dr, dc * r], axis=1)
-        d_back += before.T @ da
-        carry = np.where(fresh[:, t : t + 1], 0, d * (1 - z) + da @ p["back"].T)
-    rows = d_drive.reshape(-1, 3 * n)
-    g["back"], g["gate"] = d_back, rows.sum(axis=0)
-    g["into"] = x.reshape(-1, EMBED).T @ rows
-    dx, at = rows @ p["into"].T, inputs.ravel()
-    g["embed"] = np.stack([np.bincount(at, dx[:, e], minlength=len(p["embed"])) for e in range(EMBED)], axis=1)
+        d = d_hidden[t] + carry
+        all_d = factors[t].reshape(lanes, 4, n) * d[:, None, :]
+        d_drive[t] = all_d[:, :3].reshape(lanes, 3 * n)
+        d_a[t, :, : 2 * n], d_a[t, :, 2 * n :] = d_drive[t, :, : 2 * n], all_d[:, 3]
+        carry = (d * held[t] + d_a[t] @ back) * kept[t]
+    d_rows = d_drive.reshape(-1, 3 * n)
+    g["back"], g["gate"] = before.reshape(-1, n).T @ d_a.reshape(-1, 3 * n), d_rows.sum(axis=0)
+    g["into"] = x.T @ d_rows
+    dx = d_rows @ p["into"].T
+    cells = (at[:, None] * EMBED + np.arange(EMBED)).ravel()
+    g["embed"] = np.bincount(cells, dx.ravel(), minlength=p["embed"].size).reshape(-1, EMBED)
     return loss, g, h
 
 

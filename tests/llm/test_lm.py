@@ -78,6 +78,16 @@ def test_every_training_document_is_learnt_from(spark, monkeypatch):
     assert (model.network["embed"][4:n] != start[4:n]).any(axis=1).all()  # after the four that all documents hold
 
 
+@pytest.mark.parametrize("most", [1, 7, 150, 3999, 4000, 9000])
+def test_frequent_words_are_those_of_a_plain_sort(spark, most):
+    rng = np.random.default_rng(most)
+    words = rng.integers(-(2**63), 2**63 - 1, 4000)
+    counts = np.where(rng.random(4000) < 0.7, 1, rng.zipf(1.5, 4000).clip(1, 10**9))
+    table = spark.createDataFrame([(int(w), int(n)) for w, n in zip(words, counts)], "word long, n long").repartition(5)
+    got = [(r.n, r.word) for r in lm.frequent_words(table, most).collect()]
+    assert got == [(n, w) for n, w in sorted(zip(counts.tolist(), words.tolist()), key=lambda r: (-r[0], r[1]))[:most]]
+
+
 def test_gradients_and_carried_state():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in gru.initial(20, rng.integers(1, 50, 7)).items()}
