@@ -1,24 +1,27 @@
 """URL filter: explicit rules, and a path-template tree for urls that no rule names.
 
 Per host, variable path segments become wildcards: by their form (numbers, hex, mixed ids) and, where a node
-of the tree has many different children, by statistics. Urls with a rule are the labelled ones. Templates of
+of the tree has many different children, by statistics. Nodes below a wildcard are those of the generalised
+path, so what varies there becomes a wildcard too, to any depth. Urls with a rule are the labelled ones. Templates of
 a host and depth whose labelled share does not differ significantly are merged; a template is rejected
 when its smoothed share of blocked urls is high.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from hashlib import blake2b
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion.llm.tables import stored
+
 ALLOW, BLOCK = "allow", "block"
 Rule = tuple[str, str, str]  # host, path, verdict
 
-#: Levels of the tree; what lies deeper is one wildcard.
-DEPTH = 8
 #: A node with so many different children has a variable there.
 WIDE = 20
 #: Weight of the overall share of blocked urls, in urls, against a template's own.
@@ -66,8 +69,69 @@ def shapes(path: Column) -> Column:
         return reduce(lambda s, f: F.regexp_replace(s, *f), forms, segment)
 
     segments = F.filter(F.split(_lower(path), "/"), lambda s: s != "")
-    shaped = F.transform(F.slice(segments, 1, DEPTH), shape)
-    return F.when(F.size(segments) > DEPTH, F.concat(shaped, F.array(F.lit("**")))).otherwise(shaped)
+    return F.transform(segments, shape)
+
+
+#: Cells that a task hands on at a time.
+CELLS = 100_000
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment with its level and the node above it: a hash of the host and the generalised segments before."""
+    names = ["path", "level", "node", "segment"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.string()]
+    held: list[tuple] = []
+
+    def report() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), types)], names=names)
+
+    for batch in batches:
+        for path, host, segments, wild in zip(*(batch.column(c) for c in ("path", "host", "shape", "wild"))):
+            path, wild = path.as_py(), set(wild.as_py() or ())
+            node = blake2b(host.as_py().encode(), digest_size=8).digest()
+            for level, segment in enumerate(segments.as_py()):
+                held.append((path, level, int.from_bytes(node, "little", signed=True), segment))
+                # A wildcard differs from every segment, which holds no slash.
+                step = "/" if level in wild else segment
+                node = blake2b(node + step.encode(), digest_size=8).digest()
+                if len(held) >= CELLS:
+                    yield report()
+                    held = []
+    if held:
+        yield report()
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Template of each path."""
+    for batch in batches:
+        found = []
+        for segments, wild in zip(batch.column("shape"), batch.column("wild")):
+            wild = set(wild.as_py() or ())
+            found.append("/" + "/".join("*" if level in wild else s for level, s in enumerate(segments.as_py())))
+        yield batch.drop_columns(["path", "wild"]).append_column("template", pa.array(found, pa.string()))
+
+
+def wild_levels(paths: DataFrame) -> DataFrame:
+    """``path, wild``: levels of each path (path, host, shape) that lie below a node with WIDE or more different children.
+
+    Children count below the generalised path: each round merges the nodes that the wildcards found so far make equal.
+    A node keeps all children it had, so wildcards only come on, and the rounds end when none does: after one
+    more than there are wildcards below each other.
+    """
+    wild = paths.select("path", F.lit(None).cast("array<int>").alias("wild")).limit(0)
+    known = 0
+    while True:
+        cells = paths.join(wild, "path", "left").select("path", "host", "shape", "wild").mapInArrow(
+            _cells, "path long, level int, node long, segment string"
+        )
+        children = cells.groupBy("node", "segment").agg(F.lit(1).alias("one")).groupBy("node").agg(F.count("*").alias("children"))
+        wide = stored(children.filter(F.col("children") >= WIDE).select("node"), "wide")
+        # One row per path, which holds no more levels than the path has.
+        wild = stored(cells.join(wide, "node", "left_semi").groupBy("path").agg(F.collect_set("level").alias("wild")), "wild")
+        now = wild.agg(F.coalesce(F.sum(F.size("wild")), F.lit(0))).first()[0]
+        if now == known:
+            return wild
+        known = now
 
 
 def templates(urls: DataFrame) -> DataFrame:
@@ -75,19 +139,10 @@ def templates(urls: DataFrame) -> DataFrame:
     flat = urls.groupBy("host", "shape").agg(
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.count(F.when(F.col("label") == BLOCK, 1)).alias("blocked")
     )
-    cells = flat.select("host", "shape", F.posexplode_outer("shape").alias("level", "segment")).withColumn(
-        "prefix", F.when(F.col("level") > 0, F.array_join(F.slice("shape", F.lit(1), F.col("level")), "/")).otherwise("")
-    )
-    wide = (
-        cells.groupBy("host", "prefix", "segment").agg(F.lit(1).alias("one"))
-        .groupBy("host", "prefix").agg(F.count("segment").alias("children"))
-        .filter(F.col("children") >= WIDE).select("host", "prefix", F.lit(True).alias("wide"))
-    )
-    placed = cells.join(wide, ["host", "prefix"], "left").withColumn("segment", F.when(F.col("wide"), "*").otherwise(F.col("segment")))
-    # At most DEPTH + 1 segments come together here.
-    paths = placed.groupBy("host", "shape").agg(F.array_sort(F.collect_list(F.struct("level", "segment"))).alias("cells"))
-    named = paths.select("host", "shape", F.concat(F.lit("/"), F.array_join("cells.segment", "/")).alias("template"))
-    return flat.join(named, ["host", "shape"])
+    flat = stored(flat.withColumn("path", F.xxhash64("host", F.to_json("shape"))), "paths")
+    named = flat.join(wild_levels(flat.select("path", "host", "shape")), "path", "left")
+    columns = "host string, shape array<string>, n long, labelled long, blocked long"
+    return named.select("path", "host", "shape", "n", "labelled", "blocked", "wild").mapInArrow(_named, columns + ", template string")
 
 
 def rejected_templates(table: DataFrame) -> DataFrame:
@@ -119,7 +174,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest wins. Without a rule
     the template decides. A null url or one without ``://`` has empty host and path, and the template
-    ``/``. Repeated rows count as often as they occur; an empty table gives no row; other columns are ignored.
+    ``/``. Whole paths of any depth are told apart. Repeated rows count as often as they occur; an empty table gives no
+    row; other columns are ignored.
     """
     host, path = split_url(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn(

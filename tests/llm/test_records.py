@@ -99,6 +99,39 @@ def test_templates_learn_from_labelled_urls(spark):
     assert got[0].template == "/user/*" and got[900].verdict == "block" and got[901].verdict == "allow"
 
 
+def plain_templates(paths):
+    """Level by level: children of each generalised prefix, all of them wildcards where there are many."""
+    done = {p: [] for p in paths}
+    for level in range(max(map(len, paths))):
+        children = {}
+        for p in paths:
+            if len(p) > level:
+                children.setdefault(tuple(done[p]), set()).add(p[level])
+        for p in paths:
+            if len(p) > level:
+                done[p] = done[p] + ["*" if len(children[tuple(done[p])]) >= urls.WIDE else p[level]]
+    return {p: "/" + "/".join(t) for p, t in done.items()}
+
+
+def test_wildcards_below_wildcards_and_whole_paths(spark):
+    """Few children per raw prefix, many below the wildcard; and deep paths that differ in their last segments."""
+
+    def name(i):
+        return chr(97 + i // 26 % 26) + chr(97 + i % 26) + "x"
+
+    paths = [("u", name(u), "post", name(60 + 3 * u + k), "end"[:k]) if k else ("u", name(u), "post", name(60 + 3 * u)) for u in range(60) for k in range(3)]
+    paths += [("deep", *("d" * 12), kind, name(i)) for i in range(50) for kind in ("good", "bad")] + [("few", name(i)) for i in range(5)]
+    paths += [tuple("s" * 3000), ()]
+    rows = [(i, "http://h.com/" + "/".join(p)) for i, p in enumerate(paths)]
+    rules = tuple(("h.com", f"/deep/{'d/' * 12}{kind}/{name(i)}", v) for kind, v in (("good", "allow"), ("bad", "block")) for i in range(40))
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string").repartition(4), rules).collect()}
+    want = plain_templates(paths)
+    assert [got[i].template for i in range(len(paths))] == [want[p] for p in paths]
+    assert {want[p] for p in paths if p[:1] == ("u",)} == {"/u/*/post/*", "/u/*/post/*/e", "/u/*/post/*/en"}
+    unnamed = [(p, got[i]) for i, p in enumerate(paths) if p[:1] == ("deep",) and got[i].rule is None]
+    assert len(unnamed) == 20 and all(r.verdict == ("allow" if "good" in p else "block") for p, r in unnamed)
+
+
 def test_ids_equal_the_tokenizer():
     files = [public_tokenizers.path(n) for n in (tokens.VOCABULARY, tokens.RANKS)]
     whole, ours = Tokenizer.from_file(files[0]), tokens.PieceTokenizer(*files)
