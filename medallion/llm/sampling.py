@@ -11,12 +11,12 @@ from medallion.llm.tables import held_out
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, target: str, per_class: int, modulus: int = 5
 ) -> tuple[DataFrame, dict[int, float]]:
-    """Texts of at most ``per_class`` labelled documents of each class, and the weight of a row of each class.
+    """At most ``per_class`` rows (doc_id, _y, text) of labelled documents of each class, and the weight of a row of each class.
 
     Learnable are documents with a label 0 or 1 whose crc32(doc_id) modulo ``modulus`` is not 0. Those with
     the smallest hashed ids are taken, so the sample does not depend on order or partitioning. Labels of a
-    repeated id count once (the largest); a text of a repeated id is taken each time. Weights undo the
-    different sampling rates of the classes. The sample of ids is bounded, hence broadcast.
+    repeated id count once (the largest), and so do its rows: the smallest text is taken, before rows are shuffled.
+    Weights undo the different sampling rates of the classes. The sample of ids is bounded, hence broadcast.
     """
     known = (
         labels.select("doc_id", F.col(target).cast("int").alias("_y"))
@@ -29,5 +29,5 @@ def labelled_sample(
     chosen = known.filter("_y = 0").orderBy(*order).limit(per_class).unionByName(
         known.filter("_y = 1").orderBy(*order).limit(per_class)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_y").agg(F.min("text").alias("text"))
     return rows, {y: n / min(n, per_class) for y, n in totals.items()}

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm import quality, toxicity
 from medallion.llm.queries import op1_quality, op6_toxicity
+from medallion.llm.sampling import labelled_sample
 from medallion.llm.tables import load
 
 
@@ -87,3 +88,18 @@ def test_edges(edge_docs, labels, empty, module, fit, score):
 def test_reject_keeps_columns(edge_docs, labels):
     kept = toxicity.reject_toxic(edge_docs, labels.withColumn("toxic", F.lit(0)))
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+def test_sample_holds_one_row_of_a_repeated_id(spark):
+    """Whatever share of the rows an id has; the rows' order and partitions do not matter."""
+    rows = [(i, f"text {i}") for i in range(60)] + [(3, f"again {i}") for i in range(500)] + [(4, None)] * 50 + [(None, "x")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(3, 1)] * 9, "doc_id long, quality int")
+    taken = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        sample, weights = labelled_sample(docs, labels, "quality", 10)
+        taken.append(sorted((r.doc_id, r._y, r.text) for r in sample.collect()))
+        assert len({r[0] for r in taken[-1]}) == len(taken[-1]) == 20 and set(weights) == {0, 1}
+    assert taken[0] == taken[1]
+    everything = {r.doc_id: r.text for r in labelled_sample(docs, labels, "quality", 60)[0].collect()}
+    assert everything[4] == "text 4" and everything.get(3, "again 0") == "again 0"
