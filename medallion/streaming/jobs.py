@@ -7,6 +7,7 @@ overwritten as a whole. A batch that is repeated after a failure therefore repla
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,18 +19,32 @@ from medallion.sources.files import new_file_stream, read_csv_by_header
 from medallion.sources.schemas import SchemaHistory, fit, numbers_in_texts, raw_csv, raw_json
 
 BATCH = "_batch"
+_PARTITIONS, _OPEN_FILES = "spark.sql.shuffle.partitions", "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def _drain(writer: DataStreamWriter, spark: SparkSession, checkpoint: str, state_partitions: int | None, *target: str):
-    """Run a stream until it has taken all there is. The first run fixes the number of state partitions."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+@contextmanager
+def _set(spark: SparkSession, key: str, value: int | None):
+    """A session setting while something runs; none changes nothing."""
+    before = spark.conf.get(key)
+    if value:
+        spark.conf.set(key, value)
     try:
-        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(*target)
+        yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    query.awaitTermination()
+        spark.conf.set(key, before)
+
+
+def _drain(
+    writer: DataStreamWriter, spark: SparkSession, checkpoint: str, state_partitions: int | None, *target: str, open_files: int | None = None
+):
+    """Run a stream until it has taken all there is. The first run fixes the number of state partitions.
+
+    A stream plans with the settings it was started with, but file sinks look at the session's whenever they write.
+    """
+    with _set(spark, _OPEN_FILES, open_files):
+        with _set(spark, _PARTITIONS, state_partitions):
+            query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(*target)
+        query.awaitTermination()
     return query
 
 
@@ -39,10 +54,15 @@ def run_append(
     checkpoint: str,
     partition_by: Sequence[str] = (),
     state_partitions: int | None = None,
+    open_files: int | None = None,
 ) -> StreamingQuery:
-    """Append finished rows to a parquet table, each exactly once. Returns the finished query."""
+    """Append finished rows to a parquet table, each exactly once. Returns the finished query.
+
+    A task that writes into partitions sorts its rows by them, unless they are fewer than ``open_files``: then it keeps a
+    file open for each.
+    """
     writer = df.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
-    return _drain(writer, df.sparkSession, checkpoint, state_partitions, target)
+    return _drain(writer, df.sparkSession, checkpoint, state_partitions, target, open_files=open_files)
 
 
 def run_batches(
@@ -112,7 +132,7 @@ def run_split(
 
     ``parsed`` may count its expectations on the way (``observe_expectations``).
     """
-    return run_append(tag_quality(parsed, entity, expectations, rules), target, checkpoint, ["_table"])
+    return run_append(tag_quality(parsed, entity, expectations, rules), target, checkpoint, ["_table"], open_files=len((CLEAN, QUARANTINE)) + 1)
 
 
 def read_split(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
