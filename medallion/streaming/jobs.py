@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from pathlib import PurePosixPath
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,14 +175,15 @@ def ingest_feed(
 
     The schema is extended before the batch is written, so a table file never holds a column that the history does not know.
     Read the table with ``history.table_schema()``. ``infer`` gives CSV columns types; ``multi_line`` tells
-    JSON documents from JSON lines, which large files should use because they can be split.
+    JSON documents from JSON lines, which large files should use because they can be split. Files may be compressed
+    (``.json.gz``); such a file is read by one task, so large deliveries should come as many.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         paths = [row["path"] for row in batch.collect()]
         if not paths:
             return
-        if glob.endswith(".json"):
+        if ".json" in PurePosixPath(glob).suffixes:
             raw, found = raw_json(spark, paths, multi_line)
         else:
             raw, found = raw_csv(spark, paths, glob, infer)

@@ -35,6 +35,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-09-01"
 WALL_CLOCK = ("ingestion_timestamp", "md_created_datetime", "_dq_detected_at", "last_detected_at", "generated_at")
 
+# Rows of a raw file: compressed files cannot be split, so a delivery comes as many of them.
+FILE_ROWS = 500_000
+
 # Asked of the policy documents about every state that the policies name.
 STATE_QUESTIONS = (
     "Which state is {} and who is insured there?",
@@ -488,7 +491,7 @@ def stream_split_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drifting_claims(spark: SparkSession, sf: str) -> tuple[str, SchemaHistory]:
-    """Raw table of claims that came as JSON lines in three deliveries: amounts as numbers, as text, and with a new column."""
+    """Raw table of claims that came as compressed JSON lines in three deliveries: amounts as numbers, as text, and with a new column."""
     raw = bronze(spark, sf, "claims").drop("source_file", "ingestion_timestamp")
     folder, target = fresh_dir(spark, "claim-files"), fresh_dir(spark, "claims-raw")
     history, checkpoint = SchemaHistory(spark, fresh_dir(spark, "claims-schema")), fresh_dir(spark, "claims-ingest")
@@ -496,8 +499,9 @@ def drifting_claims(spark: SparkSession, sf: str) -> tuple[str, SchemaHistory]:
     numbers = {c: F.col(c).try_cast("bigint" if c == "injury" else "double") for c in ("injury", "property", "vehicle")}
     forms = (numbers, {}, {"adjuster": F.concat(F.lit("desk "), F.col("witnesses"))})
     for n, form in enumerate(forms):
-        raw.filter(delivery == n).withColumns(form).write.json(f"{folder}/{n}")
-        ingest_feed(spark, folder, "part-*.json", target, checkpoint, history, multi_line=False)
+        out = raw.filter(delivery == n).withColumns(form).write.option("maxRecordsPerFile", FILE_ROWS)
+        out.json(f"{folder}/{n}", compression="gzip")
+        ingest_feed(spark, folder, "part-*.json.gz", target, checkpoint, history, multi_line=False)
     return target, history
 
 

@@ -1,12 +1,18 @@
 """Work that must not grow faster than its input: no sort of wide rows, no text files written plainly."""
 
+import gzip
+import json
 from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.quality import Expectation, QuarantineRule
+from medallion.session import shared_dir
+from medallion.sources.schemas import SchemaHistory
 from medallion.sources.tables import stream_table
-from medallion.streaming.jobs import read_split, run_split
+from medallion.streaming.jobs import ingest_feed, read_split, run_split
+from queries.registry import drifting_claims
 
 
 def test_split_keeps_a_file_open_per_table(spark, tmp_path, monkeypatch):
@@ -25,3 +31,26 @@ def test_split_keeps_a_file_open_per_table(spark, tmp_path, monkeypatch):
     assert sorted(r.id for r in good.collect()) == list(range(4, 40))
     assert sorted(r.id for r in bad.collect()) == [i for i in range(40) if i % 3]
     assert len(list(Path(target).glob("_table=*/*.parquet"))) == 2
+
+
+def test_compressed_json_lines(spark, tmp_path):
+    folder, history = tmp_path / "raw", SchemaHistory(spark, str(tmp_path / "schema"))
+    folder.mkdir()
+    with gzip.open(folder / "claims_1.json.gz", "wt") as out:
+        out.writelines(json.dumps(r) + "\n" for r in ({"a": 1, "b": "x"}, {"a": None, "b": "y"}))
+    target = str(tmp_path / "t")
+    ingest_feed(spark, str(folder), "claims_*.json.gz", target, str(tmp_path / "c"), history, multi_line=False)
+    rows = spark.read.schema(history.table_schema()).parquet(target).collect()
+    assert sorted(((r.a, r.b) for r in rows), key=str) == sorted([(1, "x"), (None, "y")], key=str)
+    assert history.latest().simpleString() == "struct<a:bigint,b:string>"
+
+
+def test_raw_claims_come_compressed(spark, sf_dir):
+    root = Path(urlparse(shared_dir(spark)).path)
+    known = set(root.glob("claim-files-*"))
+    path, history = drifting_claims(spark, sf_dir)
+    (folder,) = set(root.glob("claim-files-*")) - known
+    files = list(folder.glob("*/part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    claims = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert spark.read.schema(history.table_schema()).parquet(path).count() == claims
