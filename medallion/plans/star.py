@@ -53,11 +53,12 @@ def fact_claims(claims: DataFrame, policy: DataFrame) -> DataFrame:
     """Claim grain; the customer comes from the policy and stays NULL for an unknown policy.
 
     ``claims`` may be a stream, ``policy`` is static. Both sides are narrowed before the join. A policy that was
-    delivered several times counts once, with its smallest customer id, so a claim never becomes two facts.
+    delivered several times counts once, with its smallest customer id, so a claim never becomes two facts. The claims are
+    not sorted for the join: each task holds its share of the policies in a hash table, a row per policy however many claims.
     """
     owner = policy.groupBy(F.col("policy_number").alias("_policy")).agg(F.min("customer_id").alias("customer_id"))
     return _stamped(
-        claims.join(owner, F.col("policy_id") == F.col("_policy"), "left").select(
+        claims.join(owner.hint("shuffle_hash"), F.col("policy_id") == F.col("_policy"), "left").select(
             "claim_id", "customer_id", "policy_id", *CLAIM_DETAILS, INGESTED
         )
     )

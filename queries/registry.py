@@ -387,10 +387,10 @@ def snapshot(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return read_snapshot(spark, target)
 
 
-def appended(spark: SparkSession, df: DataFrame, label: str) -> str:
-    """Run a stream into a table of its own and return the table's path."""
+def appended(spark: SparkSession, df: DataFrame, label: str, stateful: bool = True) -> str:
+    """Run a stream into a table of its own and return the table's path. Without state the session says how many shuffle partitions."""
     target = fresh_dir(spark, label)
-    run_append(df, target, fresh_dir(spark, f"{label}-checkpoint"), state_partitions=cores(spark))
+    run_append(df, target, fresh_dir(spark, f"{label}-checkpoint"), state_partitions=cores(spark) if stateful else None)
     return target
 
 
@@ -411,7 +411,7 @@ def stream_exact_distinct(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_fact_claims(spark: SparkSession, sf: str) -> DataFrame:
     facts = star.fact_claims(gated(spark, sf, "claims", stream=True), gated(spark, sf, "policy"))
-    return portable(read_table(spark, appended(spark, facts, "facts")))
+    return portable(read_table(spark, appended(spark, facts, "facts", stateful=False)))
 
 
 def streamed_log(spark: SparkSession, sf: str) -> str:

@@ -8,6 +8,7 @@ from urllib.parse import urlparse
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.quality import Expectation, QuarantineRule
+from medallion.plans import star
 from medallion.session import shared_dir
 from medallion.sources.schemas import SchemaHistory
 from medallion.sources.tables import stream_table
@@ -54,3 +55,23 @@ def test_raw_claims_come_compressed(spark, sf_dir):
     assert files and all(f.name.endswith(".json.gz") for f in files)
     claims = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     assert spark.read.schema(history.table_schema()).parquet(path).count() == claims
+
+
+def _claims(rows):
+    own = ["claim_id long", "policy_id long", *(f"{c} string" for c in star.CLAIM_DETAILS), f"{star.INGESTED} string"]
+    return rows([(c, p, *["x"] * len(star.CLAIM_DETAILS), "t") for c, p in ((1, 7), (2, 7), (3, 8), (4, None), (5, 9), (5, 9))], ", ".join(own))
+
+
+def test_claims_are_not_sorted_for_their_policies(spark, rows, capsys):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        policy = rows([(7, 70), (7, 60), (8, None), (None, 5)], "policy_number long, customer_id long")
+        facts = star.fact_claims(_claims(rows), policy)
+        facts.explain()
+        plan = capsys.readouterr().out
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        got = sorted(((r.claim_id, r.customer_id) for r in facts.collect()), key=str)
+        assert got == [(1, 60), (2, 60), (3, None), (4, None), (5, None), (5, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
