@@ -27,6 +27,8 @@ HEAD, INPUTS, COMMON = 16_384, 4_096, 200_000
 CLUSTERS, BINS = 6, 6
 SHAPES = 48
 PROFILE = 64
+#: Input partitions whose words' profiles one task sums.
+COMPANY_PARTS = 4
 #: Each training document trains the network in one of as many rounds.
 ROUNDS = 3
 COUNTED = 3_000_000
@@ -277,7 +279,9 @@ def learn(docs: DataFrame) -> Model:
 
     turn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(ROUNDS)).cast("int").alias("turn")
     ids = stored(training.select(turn, "text").mapInArrow(lambda b: _ids(b, known), "turn int, ids array<int>"), "ids")
-    company, _ = summed(ids.mapInArrow(_company, _ROW), HEAD * PROFILE)
+    # A task's profiles take 8 MB however few documents it has, so there are fewer tasks, though one for each core.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, ids.rdd.getNumPartitions() // COMPANY_PARTS)
+    company, _ = summed(ids.coalesce(tasks).mapInArrow(_company, _ROW), HEAD * PROFILE)
     head = min(HEAD, len(n))
     classes, own = cluster_words(company.reshape(HEAD, PROFILE), n[:head]) if head else (np.zeros(0, np.int64), 0)
 

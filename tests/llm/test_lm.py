@@ -122,3 +122,18 @@ def test_edges(spark, edge_docs, empty):
     assert lm.score_documents(empty(edge_docs), model).count() == 0
     none = lm.learn(empty(edge_docs))
     assert lm.score_documents(edge_docs, none).count() == edge_docs.count()
+
+
+def test_profiles_come_from_few_tasks(spark, monkeypatch):
+    """Each task's profiles take 8 MB, so their number must not be that of the input partitions."""
+    seen, summed, setting = [], lm.summed, "spark.sql.files.maxPartitionBytes"
+    monkeypatch.setattr(lm, "summed", lambda rows, size, *a: (seen.append((size, rows.rdd.getNumPartitions())), summed(rows, size, *a))[1])
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "64k")
+    try:
+        docs = spark.createDataFrame([(i, f"one two three word{i % 9} word{i}") for i in range(160)], "doc_id long, text string").repartition(40)
+        model = lm.learn(docs)
+    finally:
+        spark.conf.set(setting, before)
+    assert model.total > 0
+    assert [n for size, n in seen if size == lm.HEAD * lm.PROFILE] == [10]
