@@ -10,6 +10,8 @@ import numpy as np
 
 HIDDEN = EMBED = 16
 WINDOW = 16
+#: Steps, of all documents read side by side, whose class shares are held at a time.
+CELLS = 512
 Params = dict[str, np.ndarray]
 
 
@@ -35,16 +37,16 @@ def flat(p: Params) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in sorted(p)])
 
 
-def unflat(values: np.ndarray, like: Params) -> Params:
+def _views(values: np.ndarray, like: Params) -> Params:
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = values[at : at + like[k].size].reshape(like[k].shape)
         at += like[k].size
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def unflat(values: np.ndarray, like: Params) -> Params:
+    return {k: v.astype(np.float32) for k, v in _views(values, like).items()}
 
 
 def window_gradients(
@@ -54,55 +56,85 @@ def window_gradients(
 
     ``fresh`` marks steps that begin a document: the state before them is zero. ``live`` marks steps that count.
     """
-    # Steps come first inside, so that each step's rows lie together and products over all steps are single ones.
+    # Steps come first and lanes last inside, so that what a step reads lies together, in rows of whole lanes.
     lanes, steps = inputs.shape
-    at, fresh, n = inputs.T.ravel(), fresh.T, HIDDEN
-    x = p["embed"][at]
-    drive = (x @ p["into"] + p["gate"]).reshape(steps, lanes, 3 * n)
-    kept = np.where(fresh, 0, 1).astype(h.dtype)[:, :, None]
-    gates = np.empty((steps, lanes, 2 * n), drive.dtype)
-    before, hidden, new, turned = (np.empty((steps, lanes, n), drive.dtype) for _ in range(4))
+    at, n = inputs.T.ravel(), HIDDEN
+    kept = np.where(fresh.T, 0, 1).astype(h.dtype)
+    x = p["embed"][at].reshape(steps, lanes, EMBED)
+    drive = p["into"].T @ x.transpose(0, 2, 1)
+    drive += p["gate"][:, None]
+    gates = np.empty((steps, 2 * n, lanes), drive.dtype)
+    before, hidden, new, turned = (np.empty((steps, n, lanes), drive.dtype) for _ in range(4))
+    into_gates, state = np.ascontiguousarray(p["back"].T), np.ascontiguousarray(h.T)
     for t in range(steps):
-        before[t] = h * kept[t]
-        a = before[t] @ p["back"]
-        gates[t] = _sigmoid(drive[t, :, : 2 * n] + a[:, : 2 * n])
-        turned[t] = a[:, 2 * n :]
-        new[t] = np.tanh(drive[t, :, 2 * n :] + gates[t, :, n:] * turned[t])
-        h = before[t] + gates[t, :, :n] * (new[t] - before[t])
-        hidden[t] = h
-    rows = hidden.reshape(-1, n)
-    share = rows @ p["out"]
-    share += p["prior"]
-    share -= share.max(axis=1, keepdims=True)
-    np.exp(share, out=share)
-    share /= share.sum(axis=1, keepdims=True)
-    counts = live.T.ravel()
-    step, want = np.flatnonzero(counts), targets.T.ravel()
-    loss = float(-np.log(np.maximum(share[step, want[step]], 1e-30)).sum())
-    share[step, want[step]] -= 1
-    share *= (counts / max(len(step), 1)).astype(share.dtype)[:, None]
-    g = {"out": rows.T @ share, "prior": share.sum(axis=0)}
-    d_hidden = (share @ p["out"].T).reshape(steps, lanes, n)
-    z, r = gates[:, :, :n], gates[:, :, n:]
+        held, zr, c = before[t], gates[t], new[t]
+        np.multiply(state, kept[t], out=held)
+        a = into_gates @ held
+        np.add(a[: 2 * n], drive[t, : 2 * n], out=zr)
+        zr *= 0.5  # sigmoid(x) = (tanh(x / 2) + 1) / 2
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        turned[t] = a[2 * n :]
+        np.multiply(zr[n:], turned[t], out=c)
+        c += drive[t, 2 * n :]
+        np.tanh(c, out=c)
+        state = hidden[t]
+        np.subtract(c, held, out=state)
+        state *= zr[:n]
+        state += held
+    counts, want, lane = live.T, targets.T, np.arange(lanes)
+    weight = (counts / max(counts.sum(), 1)).astype(drive.dtype)
+    scores, prior, loss = np.ascontiguousarray(p["out"].T), p["prior"][:, None], 0.0
+    d_hidden, d_out, d_prior = np.empty_like(hidden), np.zeros_like(scores), np.zeros_like(p["prior"])
+    # States lie within -1 and 1, so the weights tell whether exponentials could overflow or all vanish.
+    reach = np.abs(p["out"]).sum(axis=0)
+    steep = max((p["prior"] + reach).max(), -(p["prior"] - reach).max()) > 60
+    some = max(1, CELLS // lanes)
+    for low in range(0, steps, some):  # few steps at a time, so that their shares stay in cache
+        at_once = slice(low, min(low + some, steps))
+        state, part = hidden[at_once], weight[at_once]
+        share = scores @ state
+        share += prior
+        if steep:
+            share -= share.max(axis=1, keepdims=True)
+        np.exp(share, out=share)
+        cell = (np.arange(len(share))[:, None], want[at_once], lane)
+        size, picked = share.sum(axis=1), share[cell]
+        loss -= float(np.log(np.maximum(picked / size, 1e-30))[counts[at_once]].sum())
+        share *= (part / size)[:, None]
+        share[cell] -= part
+        d_out += (share @ state.transpose(0, 2, 1)).sum(axis=0)
+        d_prior += share.sum(axis=(0, 2))
+        np.matmul(p["out"], share, out=d_hidden[at_once])
+    z, r = gates[:, :n], gates[:, n:]
     # What a step's loss does to its three inputs, but for the factor that the later steps give.
-    to_new = z * (1 - new * new)
-    factors = np.concatenate([(new - before) * z * (1 - z), to_new * turned * r * (1 - r), to_new, to_new * r], axis=2)
-    held, back = 1 - z, p["back"].T.copy()
-    d_drive, d_a = (np.empty((steps, lanes, 3 * n), drive.dtype) for _ in range(2))
-    carry = np.zeros_like(h)
+    factors = np.empty((steps, 4 * n, lanes), drive.dtype)
+    rest = 1 - z
+    np.multiply((new - before) * z, rest, out=factors[:, :n])
+    np.multiply(1 - new * new, z, out=factors[:, 2 * n : 3 * n])
+    np.multiply(factors[:, 2 * n : 3 * n], r, out=factors[:, 3 * n :])
+    np.multiply(factors[:, 3 * n :] * turned, 1 - r, out=factors[:, n : 2 * n])
+    d_a = np.empty((steps, 3 * n, lanes), drive.dtype)
+    carry = np.zeros_like(hidden[0])
     for t in range(steps - 1, -1, -1):
-        d = d_hidden[t] + carry
-        all_d = factors[t].reshape(lanes, 4, n) * d[:, None, :]
-        d_drive[t] = all_d[:, :3].reshape(lanes, 3 * n)
-        d_a[t, :, : 2 * n], d_a[t, :, 2 * n :] = d_drive[t, :, : 2 * n], all_d[:, 3]
-        carry = (d * held[t] + d_a[t] @ back) * kept[t]
-    d_rows = d_drive.reshape(-1, 3 * n)
-    g["back"], g["gate"] = before.reshape(-1, n).T @ d_a.reshape(-1, 3 * n), d_rows.sum(axis=0)
-    g["into"] = x.T @ d_rows
-    dx = d_rows @ p["into"].T
+        d = d_hidden[t]
+        d += carry
+        step = factors[t].reshape(4, n, lanes)
+        step *= d
+        d_a[t, : 2 * n], d_a[t, 2 * n :] = factors[t, : 2 * n], factors[t, 3 * n :]
+        carry = p["back"] @ d_a[t]
+        d *= rest[t]
+        carry += d
+        carry *= kept[t]
+    d_drive = factors[:, : 3 * n]
+    g = {"out": d_out.T, "prior": d_prior, "gate": d_drive.sum(axis=(0, 2))}
+    g["back"] = (before @ d_a.transpose(0, 2, 1)).sum(axis=0)
+    g["into"] = (d_drive @ x).sum(axis=0).T
+    dx = (d_drive.transpose(0, 2, 1) @ p["into"].T).ravel()
     cells = (at[:, None] * EMBED + np.arange(EMBED)).ravel()
-    g["embed"] = np.bincount(cells, dx.ravel(), minlength=p["embed"].size).reshape(-1, EMBED)
-    return loss, g, h
+    g["embed"] = np.bincount(cells, dx, minlength=p["embed"].size).reshape(-1, EMBED).astype(dx.dtype)
+    return loss, g, hidden[-1].T
 
 
 def train(p: Params, inputs: np.ndarray, classes: np.ndarray, fresh: np.ndarray, rate: float = 0.01, seed: int = 0) -> Params:
@@ -115,19 +147,28 @@ def train(p: Params, inputs: np.ndarray, classes: np.ndarray, fresh: np.ndarray,
     pad = lanes * length - n
     live = np.concatenate([np.ones(n, bool), np.zeros(pad, bool)]).reshape(lanes, length)
     grid = [np.concatenate([a, np.zeros(pad, a.dtype)]).reshape(lanes, length) for a in (inputs, classes, fresh)]
-    p = {k: v.copy() for k, v in p.items()}
-    m = {k: np.zeros_like(v) for k, v in p.items()}
-    v = {k: np.zeros_like(x) for k, x in p.items()}
+    # One vector holds all weights, and their views are changed in place.
+    like, weights = p, flat(p)
+    p = _views(weights, like)
+    m, v, d, e = (np.zeros_like(weights) for _ in range(4))
     h = np.zeros((lanes, HIDDEN), np.float32)
     for step, at in enumerate(range(0, length, WINDOW), 1):
         part = [a[:, at : at + WINDOW] for a in (*grid, live)]
         _, g, h = window_gradients(p, part[0], part[1], part[2], h, part[3])
         size = rate * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step)
-        for k, x in g.items():
-            m[k] += 0.1 * (x - m[k])
-            v[k] += 0.01 * (x * x - v[k])
-            p[k] -= (size * m[k] / (np.sqrt(v[k]) + 1e-7)).astype(np.float32)
-    return p
+        np.concatenate([g[k].ravel() for k in sorted(g)], out=d)
+        m *= 0.9
+        v *= 0.99
+        m += np.multiply(d, 0.1, out=e)
+        np.multiply(d, d, out=e)
+        e *= 0.01
+        v += e
+        np.sqrt(v, out=e)
+        e += 1e-7
+        np.divide(m, e, out=e)
+        e *= size
+        weights -= e
+    return unflat(weights, like)
 
 
 def document_scores(p: Params, inputs: np.ndarray, classes: np.ndarray, first: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -140,45 +181,55 @@ def document_scores(p: Params, inputs: np.ndarray, classes: np.ndarray, first: n
     order = np.argsort(-lengths, kind="stable")
     lengths, starts = lengths[order], first[:-1][order]
     scores = np.zeros(len(lengths))
-    table = p["embed"] @ p["into"] + p["gate"]
-    n = HIDDEN
-    # Halved gates: sigmoid(x) = (tanh(x / 2) + 1) / 2.
-    table[:, : 2 * n] *= 0.5
-    back = p["back"].copy()
-    back[:, : 2 * n] *= 0.5
-    state = np.zeros((len(lengths), n), np.float32)
+    n, into, gate = HIDDEN, p["into"].T.copy(), p["gate"][:, None].copy()
+    back = p["back"].T.copy()
+    # Halved gates: sigmoid(x) = (tanh(x / 2) + 1) / 2. The other half of the second gate is in what it multiplies.
+    for weights in (into, gate, back):
+        weights[: 2 * n] *= 0.5
+    back[2 * n :] *= 0.5
+    out_rows, prior = np.ascontiguousarray(p["out"].T), p["prior"][:, None]
+    state = np.zeros((n, len(lengths)), np.float32)
     longest = int(lengths[0]) if len(lengths) else 0
     for at in range(0, longest, WINDOW):
         lanes = int(np.searchsorted(-lengths, -at))  # documents longer than ``at``
         steps = min(WINDOW, longest - at)
         # Few documents at a time, so that what a window holds stays in cache.
-        for low in range(0, lanes, 512):
-            high = min(low + 512, lanes)
+        for low in range(0, lanes, 256):
+            high = min(low + 256, lanes)
             index = starts[low:high] + at + np.arange(steps)[:, None]
             live = at + np.arange(steps)[:, None] < lengths[low:high]
-            index = np.where(live, index, 0)
-            drive = table[inputs[index]]
-            h = state[low:high]
-            hidden = np.empty((steps, high - low, n), np.float32)
+            index *= live
+            read, want, lane = inputs[index], classes[index], np.arange(high - low)
+            # Lanes come last inside, so that a step's gates are rows of whole lanes.
+            drive = into @ p["embed"][read].transpose(0, 2, 1)
+            drive += gate
+            h = state[:, low:high]
+            hidden = np.empty((steps, n, high - low), np.float32)
             for t in range(steps):
-                a = h @ back
-                zr = np.tanh(drive[t, :, : 2 * n] + a[:, : 2 * n])
+                a = back @ h
+                zr, c = a[: 2 * n], a[2 * n :]
+                zr += drive[t, : 2 * n]
+                np.tanh(zr, out=zr)
                 zr += 1
-                zr *= 0.5
-                c = np.tanh(drive[t, :, 2 * n :] + zr[:, n:] * a[:, 2 * n :])
+                c *= zr[n:]
+                c += drive[t, 2 * n :]
+                np.tanh(c, out=c)
                 c -= h
-                c *= zr[:, :n]
-                h = h + c
-                hidden[t] = h
-            state[low:high] = h
-            want = classes[index]
-            logits = hidden.reshape(-1, n) @ p["out"]
-            logits += p["prior"]
-            picked = logits[np.arange(len(logits)), want.ravel()].astype(np.float64)
-            # Logits are bounded by the weights, far from overflow in float32.
-            np.exp(logits, out=logits)
-            gain = (picked - np.log(logits.sum(axis=1, dtype=np.float64))).reshape(steps, -1) + value[want]
-            scores[low:high] += np.where(live, gain, 0).sum(axis=0)
+                c *= zr[:n]
+                c *= 0.5
+                h = np.add(h, c, out=hidden[t])
+            state[:, low:high] = h
+            gain = np.empty(index.shape, np.float32)
+            some = max(1, CELLS // (high - low))
+            for first_step in range(0, steps, some):
+                part = slice(first_step, min(first_step + some, steps))
+                logits = out_rows @ hidden[part]
+                logits += prior
+                picked = logits[np.arange(len(logits))[:, None], want[part], lane]
+                # Logits are bounded by the weights, far from overflow in float32.
+                np.exp(logits, out=logits)
+                np.subtract(picked, np.log(logits.sum(axis=1)), out=gain[part])
+            scores[low:high] += np.where(live, gain + value[want], 0).sum(axis=0)
     out = np.empty(len(scores))
     out[order] = scores
     return out

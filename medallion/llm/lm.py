@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm import gru
 from medallion.llm.tables import held_out, stored
-from medallion.llm.text import LOWER, Powers, mix, text_chunks, words
+from medallion.llm.text import LOWER, Powers, mix, text_bytes, text_chunks, words
 
 MODULUS, HELD = 7, 2
 #: Words with classes of their own; words with an embedding of their own; words whose counts every task holds.
@@ -27,12 +29,19 @@ HEAD, INPUTS, COMMON = 16_384, 4_096, 200_000
 CLUSTERS, BINS = 6, 6
 SHAPES = 48
 PROFILE = 64
+#: Bits of a hash that lead to its place among the common words.
+LEADING = 18
 #: Input partitions whose words' profiles one task sums.
 COMPANY_PARTS = 4
+#: Documents and most frequent words whose counts are held as a matrix for profiles.
+COMPANY_DOCUMENTS, COMPANY_TOP = 256, 1_024
 #: Each training document trains the network in one of as many rounds.
 ROUNDS = 3
 COUNTED = 3_000_000
-SCORED_BYTES = 1 << 23
+#: Distinct words that a task counts before it hands them on.
+DISTINCT = 1_000_000
+#: Most bytes of texts that are scored side by side.
+SCORED_BYTES = 14 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -56,25 +65,50 @@ def document_words(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tup
     return hashes, forms, first + np.arange(len(first))
 
 
+def distinct_words(hashes: np.ndarray, forms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, ascending, the form and the number of each. Equal words have equal forms."""
+    # Plain sorts are much faster than sorting positions, so forms are sorted in place of the hashes' last bits.
+    few = np.uint64(63)
+    both = np.sort((hashes & ~few) | forms.astype(np.uint64))
+    hashes_up = np.sort(hashes)
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes_up[1:], hashes_up[:-1], out=new[1:])
+    at = np.flatnonzero(new)
+    distinct = hashes_up[at]
+    if (np.diff(distinct >> np.uint64(6)) == 0).any():  # words that differ in the last bits alone
+        distinct, first, n = np.unique(hashes, return_index=True, return_counts=True)
+        return distinct, forms[first], n
+    return distinct, (both[at] & few).astype(forms.dtype), np.diff(np.append(at, len(hashes)))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers, held, size = Powers(), [], 0
+    counted: list[tuple] = []  # distinct words of earlier parts
+
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, forms, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        return hashes[at], forms[order[at]], np.add.reduceat(n[order], at)
 
     def report() -> pa.RecordBatch:
-        hashes, forms = (np.concatenate(x) for x in zip(*held))
-        distinct, at, n = np.unique(hashes, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(distinct.view(np.int64)), pa.array(forms[at].astype(np.int32)), pa.array(n)], names=["word", "shape", "n"]
-        )
+        hashes, forms, n = counted.pop()
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(forms.astype(np.int32)), pa.array(n)], names=["word", "shape", "n"])
 
     for batch in batches:
         for _, _, data, offsets in text_chunks(batch):
             hashes, forms, _ = document_words(data, offsets, powers)
-            held.append((hashes, forms))
+            held.append((hashes, forms.astype(np.uint8)))
             size += len(hashes)
             if size >= COUNTED:
-                yield report()
+                counted = [merged([*counted, distinct_words(*(np.concatenate(x) for x in zip(*held)))])]
                 held, size = [], 0
+                if len(counted[0][0]) >= DISTINCT:
+                    yield report()
     if held:
+        counted = [merged([*counted, distinct_words(*(np.concatenate(x) for x in zip(*held)))])]
+    if counted:
         yield report()
 
 
@@ -89,13 +123,29 @@ class Words:
     log_mass: np.ndarray  # natural log of the normaliser inside each class
     own: int  # number of classes of frequent words; the shapes follow
 
+    @cached_property
+    def _places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first common word by leading bits, and the words with one more at the end."""
+        edges = np.arange(1 << LEADING, dtype=np.uint64) << np.uint64(64 - LEADING)
+        return np.searchsorted(self.common, edges).astype(np.int32), np.append(self.common, ~np.uint64(0))
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word in ``common`` (any, if it is not there) and whether it is there."""
+        if len(self.common) == 0:
+            return np.zeros(len(hashes), np.int32), np.zeros(len(hashes), bool)
+        first, words = self._places
+        slot = first[hashes >> np.uint64(64 - LEADING)]
+        below = np.flatnonzero(words[slot] < hashes)
+        while len(below):
+            slot[below] += 1
+            below = below[words[slot[below]] < hashes[below]]
+        np.minimum(slot, len(self.common) - 1, out=slot)
+        return slot, words[slot] == hashes
+
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each word (or the number of common words) and whether it is common."""
-        if len(self.common) == 0:
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        slot = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
-        found = self.common[slot] == hashes
-        return np.where(found, self.rank[slot], len(self.common)), found
+        slot, found = self.find(hashes)
+        return np.where(found, self.rank[slot], len(self.common)) if len(self.common) else slot, found
 
     def read(self, ranks: np.ndarray, forms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Network input and class of each word."""
@@ -115,14 +165,22 @@ def _previous(inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _ids(batches: Iterator[pa.RecordBatch], known: Words) -> Iterator[pa.RecordBatch]:
-    """Ranks and shapes of the words of each document, as one number."""
+    """Ranks and shapes of the words of each document, as one number of four bytes each."""
     powers = Powers()
     for batch in batches:
         for begin, end, data, offsets in text_chunks(batch):
             hashes, forms, first = document_words(data, offsets, powers)
             ranks, _ = known.look_up(hashes)
-            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array((ranks * SHAPES + forms).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("turn").slice(begin, end - begin), lists], names=["turn", "ids"])
+            codes, places = (ranks * SHAPES + forms).astype("<i4"), (4 * first).astype(np.int64)
+            # As bytes: Spark would handle the elements of arrays one by one, each time they are read.
+            coded = pa.Array.from_buffers(pa.large_binary(), end - begin, [None, pa.py_buffer(places), pa.py_buffer(codes)])
+            yield pa.RecordBatch.from_arrays([batch.column("turn").slice(begin, end - begin), coded.cast(pa.binary())], names=["turn", "ids"])
+
+
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ``_ids`` of all documents in a row, and per document the index of its first (rows + 1)."""
+    data, offsets = text_bytes(batch.column("ids"))
+    return data.view("<i4"), offsets // 4
 
 
 def _sum_rows(batches: Iterator[pa.RecordBatch], size: int, merge: int) -> Iterator[pa.RecordBatch]:
@@ -166,13 +224,22 @@ def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per frequent word the summed profiles of the documents it occurs in. A profile: shares of the top words."""
     total = np.zeros((HEAD, PROFILE))
     for batch in batches:
-        for ids in batch.column("ids"):
-            ranks = np.asarray(ids.values) // SHAPES
-            profile = np.bincount(ranks[ranks < PROFILE], minlength=PROFILE).astype(float)
-            norm = np.sqrt((profile**2).sum())
-            if norm:
-                seen, count = np.unique(ranks[ranks < HEAD], return_counts=True)
-                total[seen] += count[:, None] * (profile / norm)
+        codes, first = _codes(batch)
+        for low in range(0, len(first) - 1, COMPANY_DOCUMENTS):
+            edges = first[low : low + COMPANY_DOCUMENTS + 1]
+            docs, ranks = len(edges) - 1, codes[edges[0] : edges[-1]] // SHAPES
+            doc = np.repeat(np.arange(docs), np.diff(edges))
+            # Counts by document of the words that most documents hold; of the others, word by word below.
+            top = ranks < COMPANY_TOP
+            times = np.bincount(doc[top] * COMPANY_TOP + ranks[top], minlength=docs * COMPANY_TOP).reshape(docs, -1).astype(float)
+            norm = np.sqrt((times[:, :PROFILE] ** 2).sum(axis=1, keepdims=True))
+            profiles = times[:, :PROFILE] / np.maximum(norm, 1)  # at least 1, if there is any
+            total[:COMPANY_TOP] += times.T @ profiles
+            other = np.flatnonzero(~top & (ranks < HEAD))
+            ranks, cuts = ranks[other], np.searchsorted(doc[other], np.arange(docs + 1))
+            for profile, begin, end in zip(profiles, cuts[:-1], cuts[1:]):
+                seen, count = np.unique(ranks[begin:end], return_counts=True)
+                total[seen] += count[:, None] * profile
     yield _row(TaskContext.get().partitionId(), 1.0, total.ravel())
 
 
@@ -206,10 +273,7 @@ def _streams(batches: Iterator[pa.RecordBatch], known: Words) -> Iterator[tuple[
     """Inputs, classes and starts of documents in a row, about COUNTED words at a time."""
     held: list[tuple] = []
     for batch in batches:
-        ids = batch.column("ids")
-        first = np.asarray(ids.offsets, np.int64)
-        codes = np.asarray(ids.values)[first[0] : first[-1]].astype(np.int64)
-        first = first - first[0]
+        codes, first = _codes(batch)
         inputs, classes = known.read(codes // SHAPES, codes % SHAPES)
         fresh = np.zeros(len(codes), bool)
         fresh[first[:-1]] = True
@@ -278,7 +342,7 @@ def learn(docs: DataFrame) -> Model:
     known = Words(hashes[order], n[order], order, np.zeros(0, np.int64), np.zeros(0), 0)
 
     turn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(ROUNDS)).cast("int").alias("turn")
-    ids = stored(training.select(turn, "text").mapInArrow(lambda b: _ids(b, known), "turn int, ids array<int>"), "ids")
+    ids = stored(training.select(turn, "text").mapInArrow(lambda b: _ids(b, known), "turn int, ids binary"), "ids")
     # A task's profiles take 8 MB however few documents it has, so there are fewer tasks, though one for each core.
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, ids.rdd.getNumPartitions() // COMPANY_PARTS)
     company, _ = summed(ids.coalesce(tasks).mapInArrow(_company, _ROW), HEAD * PROFILE)
@@ -296,7 +360,7 @@ def learn(docs: DataFrame) -> Model:
         mine = shape[:head] == s
         frequency[own + s] = all_n - n[:head][mine].sum()
         mass[own + s] = frequency[own + s] + (all_v - mine.sum()) + 1
-    known = Words(known.common, known.counts, known.rank, classes, np.log(np.maximum(mass, 1)), own)
+    known = Words(known.common, known.counts, known.rank, classes.astype(np.int32), np.log(np.maximum(mass, 1)), own)
 
     network = gru.initial(INPUTS + SHAPES + 1, frequency)
     for turn in range(ROUNDS):
@@ -319,13 +383,15 @@ def _score(batches: Iterator[pa.RecordBatch], known: Words, p: gru.Params) -> It
     log_own = np.where(known.rank < head, np.log10(np.maximum(known.counts, 1)) - log_plus, 0.0)
     value = -known.log_mass
     for batch in batches:
-        for begin, end, data, offsets in text_chunks(batch, size=SCORED_BYTES):
+        # Equal parts: each has its few long texts, which are read side by side with nothing else at the end.
+        whole = int(pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0)
+        for begin, end, data, offsets in text_chunks(batch, size=whole // -(-whole // SCORED_BYTES) + 1 if whole else 1):
             pieces = [document_words(*part, powers) for part in _cut(data, offsets)]
-            hashes, forms = np.concatenate([x[0] for x in pieces]), np.concatenate([x[1] for x in pieces])
+            hashes, forms = np.concatenate([x[0] for x in pieces]), np.concatenate([x[1].astype(np.int32) for x in pieces])
             first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in pieces]))])
-            slot = np.minimum(np.searchsorted(known.common, hashes), max(len(known.common) - 1, 0))
-            found = known.common[slot] == hashes if len(known.common) else np.zeros(len(hashes), bool)
-            ranks = np.where(found, known.rank[slot] if len(known.common) else 0, len(known.common))
+            del pieces
+            slot, found = known.find(hashes)
+            ranks = np.where(found, known.rank[slot] if len(known.common) else 0, len(known.common)).astype(np.int32)
             inputs, classes = known.read(ranks, forms)
             score = gru.document_scores(p, _previous(inputs, first), classes, first, value) / np.log(10)
             plus = np.where(found, log_plus[slot], 0.0) if len(known.common) else np.zeros(len(hashes))

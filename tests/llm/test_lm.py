@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from medallion.llm import gru, lm
@@ -137,3 +138,65 @@ def test_profiles_come_from_few_tasks(spark, monkeypatch):
         spark.conf.set(setting, before)
     assert model.total > 0
     assert [n for size, n in seen if size == lm.HEAD * lm.PROFILE] == [10]
+
+
+def test_each_task_hands_on_a_word_once(spark, monkeypatch):
+    """However many parts its texts are counted in; counts and forms are those of plain sums."""
+    monkeypatch.setattr(lm, "COUNTED", 40)
+    texts = [f"The cat sat, on{i % 7} the mat. {i}" for i in range(100)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    rows = [r for part in lm._count(iter([batch, batch])) for r in part.to_pylist()]
+    words = [w for text in texts for w in tokens(text)]
+    assert len({r["word"] for r in rows}) == len(rows) == len(set(words))
+    assert sorted(r["n"] for r in rows) == sorted(2 * n for n in Counter(words).values())
+
+
+@pytest.mark.parametrize("step", [1, 1 << 40])
+def test_distinct_words_are_those_of_a_plain_unique(step):
+    """Also if words differ in the last bits of their hashes alone."""
+    hashes = np.random.default_rng(3).integers(0, 90, 2000).astype(np.uint64) * np.uint64(step)
+    forms = (hashes % np.uint64(47)).astype(np.int64)
+    want = np.unique(hashes, return_index=True, return_counts=True)
+    got = lm.distinct_words(hashes, forms)
+    assert all((a == b).all() for a, b in zip(got, (want[0], forms[want[1]], want[2])))
+
+
+@pytest.mark.parametrize("size", [0, 1, 1000])
+def test_common_words_are_found_as_by_a_binary_search(size):
+    rng = np.random.default_rng(size)
+    drawn = rng.integers(0, 1 << 63, size).astype(np.uint64) >> rng.integers(0, 40, size).astype(np.uint64)
+    common = np.unique(np.append(drawn, np.array([0, 2**64 - 1], np.uint64)[:size]))
+    known = lm.Words(common, np.ones(len(common), np.int64), np.arange(len(common)), np.zeros(0, np.int64), np.zeros(0), 0)
+    probe = np.concatenate([common, common + np.uint64(1), rng.integers(0, 1 << 63, 500).astype(np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    ranks, found = known.look_up(probe)
+    assert (found == np.isin(probe, common)).all()
+    assert (ranks == np.where(found, np.searchsorted(common, probe), len(common))).all()
+
+
+def test_profiles_are_those_of_single_documents(spark, monkeypatch):
+    """Frequent words are summed as a matrix, others one by one; both as the definition says."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(lm, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    docs = [np.minimum(rng.zipf(1.2, rng.integers(0, 400)) - 1, lm.HEAD + 5) for _ in range(600)] + [np.full(3, lm.PROFILE)]
+    batch = pa.RecordBatch.from_pydict({"ids": [(d * lm.SHAPES).astype("<i4").tobytes() for d in docs]})
+    want = np.zeros((lm.HEAD, lm.PROFILE))
+    for d in docs:
+        profile = np.bincount(d[d < lm.PROFILE], minlength=lm.PROFILE).astype(float)
+        if profile.any():
+            np.add.at(want, d[d < lm.HEAD], profile / np.linalg.norm(profile))
+    (row,) = lm._company(iter([batch]))
+    assert np.allclose(np.frombuffer(row.column("vector")[0].as_py()).reshape(want.shape), want)
+
+
+def test_long_and_short_documents_score_alike_alone_and_together():
+    """Documents read side by side in blocks, with steps of several blocks."""
+    rng = np.random.default_rng(6)
+    p = gru.initial(50, rng.integers(1, 50, 9))
+    lengths = np.concatenate([rng.integers(1, 40, 700), [300, 1]])
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    inputs, classes, value = rng.integers(0, 50, first[-1]), rng.integers(0, 9, first[-1]), rng.standard_normal(9)
+    together = gru.document_scores(p, inputs, classes, first, value)
+    for k in (0, 5, 350, 700, 701):
+        part = slice(first[k], first[k + 1])
+        alone = gru.document_scores(p, inputs[part], classes[part], np.array([0, lengths[k]]), value)
+        assert together[k] == pytest.approx(alone[0], rel=1e-5)
