@@ -366,7 +366,7 @@ _MATCH = "doc_id long, item_id long, distance int, item_words int, end int"
 def _find(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
     powers, lengths = Powers(), np.diff(items.first)
     for batch in batches:
-        for begin, _, data, offsets in text_chunks(batch, size=1 << 20):
+        for begin, _, data, offsets in text_chunks(batch):
             words, first, _, ends = word_hashes(data, offsets, powers)
             best: dict[tuple[int, int], tuple[int, int]] = {}
             for t, item, distance, end in zip(*_search(words, first, items)):

@@ -12,7 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+#: Work on a part takes some hundred bytes for each of its bytes.
+CHUNK_BYTES = 1 << 18
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _MASK = (1 << 64) - 1

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -188,3 +189,20 @@ def test_packer_keeps_few_windows_open():
         open_now |= {w for _, _, w, _ in parts}
         open_now -= set(closed)
         assert len(open_now) <= 4 and sum(p[1] for p in parts) == n
+
+
+def test_tokenizing_holds_little_at_a_time():
+    """Tables of characters and the work on a batch take a few tens of MB, whatever the batch holds."""
+    rng = np.random.default_rng(2)
+    words = [f"word{k}" for k in range(3000)]
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(2500)]
+    batch = pa.RecordBatch.from_pydict({"_text": texts})
+    files = [public_tokenizers.path(n) for n in (tokens.VOCABULARY, tokens.RANKS)]
+    tracemalloc.start()
+    tokens.character_classes()
+    classes = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    rows = sum(part.num_rows for part, _, _ in tokens.tokenized(iter([batch]), "_text", *files))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and classes < 8 << 20 and most < 64 << 20
