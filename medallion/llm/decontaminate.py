@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.jaccard import BROADCAST_IDS
-from medallion.llm.tables import stored
+from medallion.llm.tables import small_batches, stored
 from medallion.llm.text import Powers, mix, range_hashes, script_bounds, text_bytes, text_chunks
 
 #: Edited words allowed, as a share of the item's words.
@@ -391,6 +391,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_id are reported with it; a repeated item is reported per item_id; items without id are ignored. Whole texts
     are searched. Items come in blocks of ``BLOCK_ITEMS``, one pass over the documents each.
     """
+    small_batches(docs.sparkSession)
     items = benchmark.filter("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
     total = items.count()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.graph import components
-from medallion.llm.tables import stored
+from medallion.llm.tables import small_batches, stored
 from medallion.llm.text import Powers, mix, shingle_hashes, text_bytes, text_chunks, words
 
 WORDS, PERCENT = 5, 80
@@ -58,20 +58,26 @@ def _tokens(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[t
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens that occur REPORTED times or more among COUNTED tokens of a task."""
-    held: list[np.ndarray] = []
+    held, n = np.empty(COUNTED, np.uint64), 0
 
-    def report() -> pa.RecordBatch:
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+    def report(own: np.ndarray) -> pa.RecordBatch:
+        own.sort()  # in place, and only what repeats is taken out: the tokens are held once
+        again = own[1:][own[1:] == own[:-1]]
+        start = np.flatnonzero(np.concatenate([again[:1] == again[:1], again[1:] != again[:-1]]))
+        counts = np.diff(np.append(start, len(again))) + 1
         often = counts >= REPORTED
-        return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often])], names=["token", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(again[start[often]].view(np.int64)), pa.array(counts[often])], names=["token", "n"])
 
     for _, tokens, _ in _tokens(batches):
-        held.append(tokens)
-        if sum(map(len, held)) >= COUNTED:
-            yield report()
-            held = []
-    if held:
-        yield report()
+        while len(tokens):
+            fits = tokens[: COUNTED - n]
+            held[n : n + len(fits)] = fits
+            n, tokens = n + len(fits), tokens[len(fits) :]
+            if n == COUNTED:
+                yield report(held)
+                n = 0
+    if n:
+        yield report(held[:n])
 
 
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
@@ -326,6 +332,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     decides for all of them). An empty table gives no row; other columns are ignored. Sets of any length and
     groups of any size are compared exactly; no token or partner is dropped.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     frequent = frequent_tokens(docs)
     signed = stored(docs.mapInArrow(lambda batches: _signatures(batches, frequent), _SIGNATURE), "signatures")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm import gru
-from medallion.llm.tables import held_out, stored
+from medallion.llm.tables import held_out, stored, usual_batches
 from medallion.llm.text import LOWER, Powers, mix, text_bytes, text_chunks, words
 
 MODULUS, HELD = 7, 2
@@ -331,6 +331,7 @@ def frequent_words(counts: DataFrame, most: int) -> DataFrame:
 
 def learn(docs: DataFrame) -> Model:
     """Exact counts over all training documents (crc32(doc_id) modulo 7 not 2), classes, and the network."""
+    usual_batches(docs.sparkSession)
     training = docs.filter(~held_out("doc_id", MODULUS, HELD)).select("doc_id", "text")
     parts = training.select("text").mapInArrow(_count, "word long, shape int, n long")
     counts = stored(parts.groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape")), "counts")
@@ -440,6 +441,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     added to each count, ``score`` the model's. Rows without doc_id are scored and count as held out; repeated rows
     score alike; other columns are ignored. With no training documents both scores rest on the unknown word.
     """
+    usual_batches(docs.sparkSession)
     known, network = model.words, model.network
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = stored(rows.mapInArrow(lambda b: _score(b, known, network), _SCORED), "scored")

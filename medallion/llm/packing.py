@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.tables import stored
+from medallion.llm.tables import small_batches, stored
 from medallion.llm.tokens import RANKS, VOCABULARY, tokenized
 
 SEQUENCE = 2048
@@ -145,6 +145,7 @@ def pack_documents(
         import public_tokenizers
 
         vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.path(RANKS)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"))
     packed = stored(rows.mapInArrow(lambda batches: _pack(batches, vocabulary, size, windows, min_cut), _PIECES), "packed")
     left = packed.filter("open").withColumn("_group", F.floor(F.col("task") / MERGE_TASKS))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from medallion.session import fresh_dir
 
+#: Rows go to Python in batches of about this size. Spark's own limit is 64 MB, and a worker and its executor hold each batch several times.
+BATCH_BYTES = "1m"
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -22,6 +26,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session's rows go to Python ``BATCH_BYTES`` at a time, unless the caller has set a size."""
+    if _BATCH_LIMIT not in spark.conf.getAll:
+        spark.conf.set(_BATCH_LIMIT, BATCH_BYTES)
+
+
+def usual_batches(spark: SparkSession) -> None:
+    """Undo ``small_batches``, for work whose rounding follows the ends of batches."""
+    if spark.conf.getAll.get(_BATCH_LIMIT) == BATCH_BYTES:
+        spark.conf.unset(_BATCH_LIMIT)
+
+
 def held_out(id_column: str, modulus: int, remainder: int):
     """Rows no model may learn from, by the crc32 of the id as text; a row without id is never learnt from."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == remainder, F.lit(True))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.sampling import labelled_sample
+from medallion.llm.tables import small_batches
 from medallion.llm.text import WORD_CHARS, Powers, bounds, range_hashes, text_chunks
 
 #: At most so many labelled documents of each class are used for fitting.
@@ -146,6 +147,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicModel:
     """Fit on a bounded sample of labelled documents outside the held-out fifth (see ``labelled_sample``)."""
+    small_batches(docs.sparkSession)
     rows, weights = labelled_sample(docs, labels, "toxic", per_class)
     sample = rows.select("doc_id", "text", "_y").mapInArrow(_bags, _BAG).toArrow().combine_chunks()
     bags = [
@@ -161,9 +163,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
 _SPANS = "array<struct<start:int,length:int,score:double>>"
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: ToxicModel, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _score(
+    batches: Iterator[pa.RecordBatch], model: ToxicModel, schema: pa.Schema, within: tuple[str, int] | None = None
+) -> Iterator[pa.RecordBatch]:
     powers = Powers()
     for batch in batches:
+        if within:
+            batch = batch.append_column("_text", batch.column(within[0]).field(within[1]))
         for first, end, data, offsets in text_chunks(batch, "_text"):
             features, first_word, first_sentence, starts, ends = sentence_features(data, offsets, powers)
             z = model.bias + _sums(model.weights[features].sum(axis=1, dtype=np.float64), np.append(first_word, len(starts)))
@@ -191,12 +197,15 @@ def _score(batches: Iterator[pa.RecordBatch], model: ToxicModel, schema: pa.Sche
             yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score_toxicity(
+    docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] = ("doc_id",), within: tuple[str, int] | None = None
+) -> DataFrame:
     """``keep`` columns plus ``score`` (0 to 1), ``n_sentences`` and ``offending``: spans, in characters, of sentences
     that are more likely toxic than not, with their score.
 
     Whole texts are read. A null or empty text, or one without a word, has no sentences and scores 0. Repeated
-    rows score alike; an empty table gives an empty result. Columns that are not kept are not read.
+    rows score alike; an empty table gives an empty result. Columns that are not kept are not read. ``within`` names a
+    kept struct and the place of the text in it, if ``docs`` has no column ``text``; then texts are sent to Python once.
     """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -204,12 +213,13 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] = (
     made = T._parse_datatype_string(f"score double, n_sentences int, offending {_SPANS}")
     schema = T.StructType([docs.schema[c] for c in keep] + made.fields)
     arrow = to_arrow_schema(schema)
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
-    return rows.mapInArrow(lambda batches: _score(batches, model, arrow), schema)
+    small_batches(docs.sparkSession)
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if within else [F.col("text").alias("_text")]))
+    return rows.mapInArrow(lambda batches: _score(batches, model, arrow, within), schema)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Documents, all columns, whose score stays below ``threshold``."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    scored = score_toxicity(rows, fit(docs, labels), ("row",))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    scored = score_toxicity(rows, fit(docs, labels), ("row",), ("row", [c.lower() for c in docs.columns].index("text")))
     return scored.filter(F.col("score") < threshold).select("row.*")
