@@ -3,7 +3,8 @@
 Spark's text writer ends every value with the record terminator, so archives are plain files on any file
 system Spark can write. Reading splits files at every occurrence of the record magic, also inside payloads.
 Each occurrence is a candidate that names its successor: its own offset plus the length it claims.
-Pointer jumping from the start of each file keeps the candidates that the chain reaches; the rest is payload.
+Candidates that follow each other without a gap are one run, told apart while a split is read. Pointer jumping over
+runs, from the start of each file, keeps the candidates that the chain reaches; the rest is payload.
 """
 
 from __future__ import annotations
@@ -130,42 +131,68 @@ def describe(record: bytes) -> tuple:
 
 
 _FIELDS = "page_id long, record_type string, refers_to long, url string, payload_bytes long, payload_digest string"
-_CANDIDATE = f"file string, block long, number long, before long, size long, claimed long, {_FIELDS}"
+_CANDIDATE = f"file string, block long, number long, before long, size long, claimed long, run long, {_FIELDS}"
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Per piece: bytes of its block before it, own length, length it claims; the fields if it is a whole record."""
-    at, number, before = None, 0, 0
+    """Per piece: bytes of its block before it, own length, length it claims; the fields if it is a whole record.
+
+    ``run``: number of the piece that begins its run, in which each claims to end where the next one starts.
+    """
+    at, number, before, run = None, 0, 0, 0
     for batch in batches:
         out = []
         for file, block, piece in zip(*(batch.column(n).to_pylist() for n in ("file", "block", "piece"))):
             if (file, block) != at:
-                at, number, before = (file, block), 0, 0
+                at, number, before, run = (file, block), 0, 0, 0
             claimed = (parse_record(piece) or (None, None))[1]
             whole = claimed == len(MAGIC) + len(piece)
-            out.append((file, block, number, before, len(piece), claimed, *(describe(piece) if whole else [None] * 6)))
+            out.append((file, block, number, before, len(piece), claimed, run, *(describe(piece) if whole else [None] * 6)))
             number, before = number + 1, before + len(piece) + len(MAGIC)
+            run = run if whole else number
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
 
 def reachable(edges: DataFrame) -> DataFrame:
-    """(file, start) of all records on the chain from offset 0, by pointer jumping: the distance doubles per round."""
-    reached, jump, known = edges.filter("start = 0").select("file", "start"), edges, -1
+    """(file, start) of all nodes on the chain from offset 0, by pointer jumping: the distance doubles per round.
+
+    ``edges``: file, start and the start ``to`` of the next node, or null where a chain ends.
+    """
+    reached, jump = stored(edges.filter("start = 0").select("file", "start"), "reached"), edges.filter("to is not null")
+    count = reached.count()
     while True:
-        reached = stored(reached.distinct(), "reached")
-        count = reached.count()
+        step = reached.join(jump, ["file", "start"]).select("file", F.col("to").alias("start"))
+        reached = stored(reached.unionByName(step).distinct(), "reached")
+        known, count = count, reached.count()
         if count == known:
             return reached
-        known = count
-        on = ["file", "start"]
-        step = reached.join(jump, on).select("file", F.col("to").alias("start")).join(edges.select(*on), on, "left_semi")
-        reached = reached.unionByName(step)
         further = jump.select("file", "start", F.col("to").alias("mid")).join(
             jump.select("file", F.col("start").alias("mid"), "to"), ["file", "mid"]
         )
         jump = stored(further.select("file", "start", "to"), "jump")
 
 
+def on_chain(placed: DataFrame) -> DataFrame:
+    """The candidates of ``placed`` that are records.
+
+    A chain enters a run at one of its pieces, perhaps not the first, and has all that follow in the run. So jumps lead
+    from run to run: their number follows that of payloads that hold the magic, not that of records.
+    """
+    end = F.max(F.struct("start", (F.col("start") + F.col("claimed")).alias("to")))["to"]
+    runs = stored(placed.groupBy("file", "block", "run").agg(F.min("start").alias("first"), end.alias("to")), "runs")
+    members = placed.select("file", F.col("start").alias("to"), F.col("block").alias("_block"), F.col("run").alias("_run"))
+    firsts = runs.select("file", F.col("block").alias("_block"), F.col("run").alias("_run"), F.col("first").alias("next"))
+    links = members.join(runs.select("file", "first", "to"), ["file", "to"]).join(firsts, ["file", "_block", "_run"])
+    links = stored(links.select("file", F.col("first").alias("start"), "next", F.col("to").alias("entry")), "links")
+    chain = reachable(
+        runs.select("file", F.col("first").alias("start")).join(links, ["file", "start"], "left").select("file", "start", F.col("next").alias("to"))
+    )
+    entered = chain.join(links, ["file", "start"]).select("file", F.col("next").alias("first"), "entry")
+    begun = chain.filter("start = 0").select("file", F.col("start").alias("first"), F.col("start").alias("entry"))
+    entries = entered.unionByName(begun).join(runs, ["file", "first"]).select("file", "block", "run", "entry")
+    return placed.join(stored(entries, "entries"), ["file", "block", "run"]).filter("start >= entry and claimed is not null").drop("run", "entry")
+
+
 def index_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: file, start offset, split, piece number, and the fields of ``describe``.
 
@@ -183,9 +210,7 @@ def index_warc(spark: SparkSession, path: str) -> DataFrame:
     # A piece begins after its magic; the first piece of a file stands before any magic.
     placed = found.join(base, ["file", "block"]).withColumn("start", F.col("base") + F.col("before") - len(MAGIC))
     placed = stored(placed.filter("start >= 0").drop("base", "before"), "placed")
-    edges = placed.filter("claimed is not null").select("file", "start", (F.col("start") + F.col("claimed")).alias("to"))
-    chain = reachable(edges)
-    records = placed.join(chain, ["file", "start"], "left_semi")
+    records = on_chain(placed)
     columns = ["file", "start", "claimed", "block", "number", *[f.split()[0] for f in _FIELDS.split(", ")]]
     whole = records.filter("record_type is not null").select(*columns)
     parts = stored(_spread(placed, records.filter("record_type is null")), "spread")

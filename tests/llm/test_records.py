@@ -52,6 +52,24 @@ def test_archive_round_trip(spark, split):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_archive_jumps_follow_magics_not_records(spark, monkeypatch):
+    """Records without the magic in their payload are one run, however many; a chain may enter a run behind its first piece."""
+    asked = []
+    jumps = warc.reachable
+    monkeypatch.setattr(warc, "reachable", lambda edges: asked.append(edges.count()) or jumps(edges))
+    plain = [(i, "h", f"page {i}") for i in range(600)]
+    rows = spark.createDataFrame(plain, "page_id long, url string, html string").coalesce(1)
+    assert records(warc.round_trip(rows)) == expected(plain)
+    fake = f"{MAGIC}WARC-Type: response\r\nContent-Length: {{}}\r\n\r\nabc"
+    # A record in a payload that ends with its host, one that claims too much, and one that ends inside the next page.
+    odd = [(700, "h", "a" + fake.format(3)[:-3]), (701, "h", "b" + fake.format(3)), (702, "h", "c" + fake.format(90)), (703, "h", fake.format(7) + "d" + fake.format(0))]
+    odd += [(800 + i, "h", "e" + fake.format(i) + fake.format(i * 37)) for i in range(40)]
+    mixed = [page for pair in zip(plain, odd) for page in pair] + plain[len(odd) :]
+    rows = spark.createDataFrame(mixed, "page_id long, url string, html string").coalesce(1)
+    assert records(warc.round_trip(rows)) == expected(mixed)
+    assert asked[0] <= 2 and asked[1] < 4 * len(odd)
+
+
 def test_archive_smallest_size_and_ties(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (2, "u", "ab"), (None, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.round_trip(pages, min_bytes=3).collect())
