@@ -24,6 +24,8 @@ FAN_OUT = 8
 #: A side of a join is broadcast when its rows, counted before, take no more than this.
 BROADCAST_BYTES = 8 << 20
 _SEGMENT_BYTES = 32 * FAN_OUT
+#: Nodes of a level that one task makes runs of. Levels shrink eightfold, so small ones are not dealt over many tasks and files.
+NODES_A_TASK = 8192
 #: Tree number of the nodes above the subroots.
 _TOP = -1
 _NO_SEGMENTS = "array<struct<before: binary, after: binary>>"
@@ -78,11 +80,12 @@ def _node(tree: Column, level: int | Column, at: Column) -> Column:
     return F.struct(tree.cast("long").alias("tree"), level.cast("int").alias("level"), at.cast("long").alias("at"))
 
 
-def _levels(nodes: DataFrame, most: int, label: str) -> tuple[list[DataFrame], list[DataFrame]]:
+def _levels(nodes: DataFrame, most: int, total: int, trees: int, label: str) -> tuple[list[DataFrame], list[DataFrame]]:
     """Runs of each level and the last node of each tree.
 
     ``nodes``: ``tree``, ``at`` (place in the level), ``n`` (nodes of the tree's level), ``digest`` and ``kept``.
-    A run holds up to eight consecutive nodes as ``run``, and its parent's ``digest``. ``most``: nodes of the largest tree.
+    A run holds up to eight consecutive nodes as ``run``, and its parent's ``digest``. ``most``: nodes of the largest tree; ``total``: nodes of
+    all ``trees`` trees.
     """
     runs, done, level = [], [nodes.filter("n = 1")], 0
     while most > 1:
@@ -93,11 +96,11 @@ def _levels(nodes: DataFrame, most: int, label: str) -> tuple[list[DataFrame], l
             .agg(F.array_sort(F.collect_list(member)).alias("run"))
             .withColumn("digest", _combined(F.col("run.digest")))
         )
-        runs.append(stored(grouped, f"{label}-{level}"))
+        runs.append(stored(grouped.coalesce(-(-total // NODES_A_TASK)), f"{label}-{level}"))
         parents = ("tree", F.col("up").alias("at"), F.shiftright(F.col("n") + (FAN_OUT - 1), 3).alias("n"), "digest")
         nodes = runs[-1].select(*parents, F.lit(None).cast(nodes.schema["kept"].dataType).alias("kept"))
         done.append(nodes.filter("n = 1"))
-        most, level = -(-most // FAN_OUT), level + 1
+        most, total, level = -(-most // FAN_OUT), total // FAN_OUT + trees, level + 1
     return runs, done
 
 
@@ -165,13 +168,13 @@ def manifest(
     nodes = placed.select(
         "tree", (F.col("place") - F.col("first")).alias("at"), "n", "digest", F.struct("id", "grp", "more").alias("kept")
     )
-    runs, done = _levels(nodes, most, "merkle-level")
+    runs, done = _levels(nodes, most, total, n_groups, "merkle-level")
     subroots = stored(reduce(DataFrame.unionByName, [d.select("tree", "digest") for d in done]), "merkle-subroots")
 
     above = subroots.select(
         F.lit(_TOP).cast("long").alias("tree"), F.col("tree").alias("at"), F.lit(n_groups).cast("long").alias("n"), "digest"
     ).withColumn("kept", F.lit(None).cast(nodes.schema["kept"].dataType))
-    top_runs, top_done = _levels(above, n_groups, "merkle-top")
+    top_runs, top_done = _levels(above, n_groups, n_groups, 1, "merkle-top")
     last = reduce(DataFrame.unionByName, [d.select("digest") for d in top_done]).first()
     root = last["digest"].hex() if last else None
 

@@ -109,3 +109,29 @@ def test_numbering_spreads_a_repeated_key(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert total == 4000 and sorted(r["place"] for r in rows.select("place").collect()) == list(range(4000))
     assert len(rows.inputFiles()) > 1
+
+
+def test_levels_are_dealt_over_as_many_tasks_as_their_nodes_need(spark, monkeypatch):
+    """However many shuffle partitions there are: every file that a task writes costs a process on file systems without native code."""
+    files = {}
+    write = merkle.stored
+
+    def counted(df, label):
+        table = write(df, label)
+        files[label] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(merkle, "stored", counted)
+    monkeypatch.setattr(merkle, "NODES_A_TASK", 1000)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = [(i, f"t{i}", f"g{i % 3}", "s", 1) for i in range(3000)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        assert _found(merkle.manifest(df, COLUMNS)) == _plain(df.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert files["merkle-leaves"] > 3 and [files[f"merkle-level-{k}"] for k in range(4)] == [3, 1, 1, 1]
