@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,19 @@ def usual_batches(spark: SparkSession) -> None:
         spark.conf.unset(_BATCH_LIMIT)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """What is run inside sends its rows to Python ``size`` at a time, unless the caller has set a size."""
+    free = _BATCH_LIMIT not in spark.conf.getAll
+    if free:
+        spark.conf.set(_BATCH_LIMIT, size)
+    try:
+        yield
+    finally:
+        if free:
+            spark.conf.unset(_BATCH_LIMIT)
+
+
 def held_out(id_column: str, modulus: int, remainder: int):
     """Rows no model may learn from, by the crc32 of the id as text; a row without id is never learnt from."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == remainder, F.lit(True))

@@ -65,6 +65,26 @@ def test_language_model_reads_the_same_batches_after_other_operators(usual, docs
     assert LIMIT not in usual.conf.getAll
 
 
+def test_language_model_reads_texts_in_small_batches(usual, docs, monkeypatch):
+    """Counting and coding 1 MB at a time, scoring 4 MB; training on numbers reads what it has always read."""
+    sizes, write = {}, lm.stored
+
+    def watched(df, label):
+        if label in ("counts", "ids", "scored"):
+            sizes[label] = largest_batch(docs)
+        return write(df, label)
+
+    monkeypatch.setattr(lm, "stored", watched)
+    few = docs.limit(5)
+    lm.score_documents(few, lm.learn(few))
+    assert sizes["counts"] < 2 << 20 and sizes["ids"] < 2 << 20 and sizes["scored"] < 6 << 20
+    assert LIMIT not in usual.conf.getAll
+    usual.conf.set(LIMIT, "3m")
+    with tables.batches_of(usual, "1m"):
+        assert usual.conf.get(LIMIT) == "3m"
+    assert usual.conf.get(LIMIT) == "3m"
+
+
 def test_rejecting_toxic_documents_sends_texts_once(usual, docs, monkeypatch):
     seen = []
     score = toxicity.score_toxicity
