@@ -37,7 +37,10 @@ COMPANY_PARTS = 4
 COMPANY_DOCUMENTS, COMPANY_TOP = 256, 1_024
 #: Each training document trains the network in one of as many rounds.
 ROUNDS = 3
-COUNTED = 3_000_000
+#: Words that train the network in one go.
+STREAMED = 3_000_000
+#: Words that a task sorts at a time to count them; some 35 bytes for each.
+COUNTED = 1_000_000
 #: Distinct words that a task counts before it hands them on.
 DISTINCT = 1_000_000
 #: Texts to score go to Python in batches of this size, and are scored side by side up to this many bytes. Fewer side by side
@@ -271,7 +274,7 @@ def cluster_words(company: np.ndarray, counts: np.ndarray, seed: int = 3, rounds
 
 
 def _streams(batches: Iterator[pa.RecordBatch], known: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Inputs, classes and starts of documents in a row, about COUNTED words at a time."""
+    """Inputs, classes and starts of documents in a row, about STREAMED words at a time."""
     held: list[tuple] = []
     for batch in batches:
         codes, first = _codes(batch)
@@ -279,7 +282,7 @@ def _streams(batches: Iterator[pa.RecordBatch], known: Words) -> Iterator[tuple[
         fresh = np.zeros(len(codes), bool)
         fresh[first[:-1]] = True
         held.append((_previous(inputs, first).astype(np.int32), classes.astype(np.int32), fresh))
-        if sum(len(x[0]) for x in held) >= COUNTED:
+        if sum(len(x[0]) for x in held) >= STREAMED:
             yield tuple(np.concatenate(x) for x in zip(*held))
             held = []
     if held:

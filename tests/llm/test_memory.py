@@ -85,6 +85,18 @@ def test_language_model_reads_texts_in_small_batches(usual, docs, monkeypatch):
     assert usual.conf.get(LIMIT) == "3m"
 
 
+def test_language_model_counts_few_words_at_a_time():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, rng.integers(0, 5000, 500))) for _ in range(200)]
+    batch = pa.RecordBatch.from_pydict({"text": texts * 26})  # 2.6 million words
+    tracemalloc.start()
+    got = list(lm._count(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80 << 20
+    assert sum(sum(b.column("n").to_pylist()) for b in got) == 26 * 200 * 501
+
+
 def test_rejecting_toxic_documents_sends_texts_once(usual, docs, monkeypatch):
     seen = []
     score = toxicity.score_toxicity
