@@ -5,10 +5,11 @@ with an equal min-hash band are compared with the band's first class, what is li
 its most frequent band forms a group, linked or not. The
 matrix says which group holds which token. Two sets with a similarity of 80 % share a token among the
 first fifth of either set, in any order of tokens common to all, so the matrix keeps those alone; frequent tokens
-come last in the order. Two groups that share a token are opened only if the union of their tokens, folded into
-counts per token class, allows the overlap that a link needs; then each member is asked against the other group's
-union. Members that are left, and those of one group, meet in blocks: a task reads the texts of two blocks, bounds
-overlaps by bit maps as long as the sets, compares exactly what is left, and returns no more links than join its documents.
+come last in the order. A member meets another group only if it holds a token of that group's row and their sizes fit,
+and two groups whose members meet are opened only if the union of their tokens, folded into counts per token class, allows the
+overlap that a link needs. Members of opened groups, and those of one group, meet in blocks: a task bounds the overlaps of two
+blocks by bit maps as long as the sets, without their texts. Where few pairs are left, their texts are compared exactly; where
+many are left, a task reads the texts of both blocks and returns no more links than join its documents.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ FREQUENT, FREQUENT_KEPT = 32, 200_000
 COUNT_TOGETHER = 8
 #: Documents of a block, and tokens unless one document has more; what is linked beyond a block is a group of its own.
 BLOCK, BLOCK_TOKENS = 256, 1 << 20
+#: Two blocks whose bit maps leave more pairs than so many a document are compared by a task that reads all their texts.
+PAIRS_KEPT = 2
 #: Cells of a matrix of bits that is unpacked at a time.
 UNPACKED = 1 << 22
 #: Ids up to this many (8 MB) are broadcast to pick their texts, more are joined by a shuffle.
@@ -252,26 +255,12 @@ def _room(xa: np.ndarray, na: np.ndarray, xb: np.ndarray, nb: np.ndarray) -> np.
     return np.minimum((na - xa.sum(axis=1))[:, None] + both, (nb - xb.sum(axis=1))[None, :] + both)
 
 
-def _block_links(table: pa.Table) -> pa.Table:
-    """Links between the ``left`` and the other documents of two blocks, without those that others of them imply."""
-    table = table.combine_chunks()
+def _left_over(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs of the ``left`` and the other documents of two blocks that may be linked and are not joined yet."""
     left = np.asarray(table.column("left"))
-    ids, n, place = (np.asarray(table.column(c)) for c in ("doc_id", "n_shingles", "place"))
-    maps, texts = table.column("bits").to_pylist(), table.column("text")
-    powers, sets, up = Powers(), {}, {}
-
-    def own(i: int) -> np.ndarray:
-        if i not in sets:
-            sets[i] = np.unique(_sets(texts.slice(i, 1).combine_chunks(), powers)[0])
-        return sets[i]
-
-    def root(c: int) -> int:
-        while up.setdefault(c, c) != c:
-            up[c] = c = up[up[c]]
-        return c
-
+    n, place = (np.asarray(table.column(c)) for c in ("n_shingles", "place"))
+    maps = table.column("bits").to_pylist()
     lengths = 8 * np.array([len(m) for m in maps], np.int64)
-    found = []
     for la in np.unique(lengths[left]):
         for lb in np.unique(lengths[~left]):
             if max(la, lb) > 2 * min(la, lb):
@@ -286,12 +275,77 @@ def _block_links(table: pa.Table) -> pa.Table:
                     y = ys[q : q + step]
                     room = _room(ux, n[x], _unpacked([maps[i] for i in y], bits), n[y])
                     may = room * (100 + PERCENT) >= PERCENT * (n[x][:, None] + n[y][None, :])
-                    for i, j in zip(*np.nonzero(may & (place[x][:, None] != place[y][None, :]))):
-                        i, j = int(x[i]), int(y[j])
-                        a, b = root(int(place[i])), root(int(place[j]))
-                        if a != b and _similar(own(i), own(j)):
-                            up[a] = b
-                            found.append((int(ids[i]), int(ids[j])))
+                    i, j = np.nonzero(may & (place[x][:, None] != place[y][None, :]))
+                    yield x[i], y[j]
+
+
+_MET = "ga long, gb long, i int, j int, a long, b long"
+
+
+def _block_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of two blocks that may be linked, by their bit maps; one row without them if there are too many."""
+    table = table.combine_chunks()
+    ids = np.asarray(table.column("doc_id"))
+    pairs, n = [np.empty((0, 2), np.int64)], 0
+    for x, y in _left_over(table):
+        pairs.append(np.sort(np.stack([ids[x], ids[y]], axis=1), axis=1))
+        n += len(x)
+        if n > PAIRS_KEPT * table.num_rows:
+            break
+    own = table.select(["ga", "gb", "i", "j"])
+    if n > PAIRS_KEPT * table.num_rows:
+        ends = [pa.nulls(1, pa.int64())] * 2
+    else:
+        found = np.unique(np.concatenate(pairs), axis=0)  # within a block each pair is met from both sides
+        ends = [pa.array(np.ascontiguousarray(found[:, k])) for k in (0, 1)]
+    own = own.take(pa.array(np.zeros(len(ends[0]), np.int64)))
+    return own.append_column("a", ends[0]).append_column("b", ends[1])
+
+
+def _overlaps(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Tokens that each of the sets at ``rows`` has in common with each of those at ``columns``."""
+    sizes = np.array([len(own) for own in sets])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[token] > 1
+    owner, token = np.repeat(np.arange(len(sets)), sizes)[shared], (np.cumsum(count > 1) - 1)[token[shared]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    step = max(1, UNPACKED // len(sets))
+    both = np.zeros((len(rows), len(columns)))
+    for first in range(0, int(token[-1]) + 1 if len(token) else 0, step):
+        a, b = np.searchsorted(token, (first, first + step))
+        marks = np.zeros((len(sets), min(step, int(token[-1]) + 1 - first)), np.float32)
+        marks[owner[a:b], token[a:b] - first] = 1
+        both += marks[rows] @ marks[columns].T
+    return both
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between the ``left`` and the other documents of two blocks, without those that others of them imply."""
+    table = table.combine_chunks()
+    left = np.asarray(table.column("left"))
+    ids, one, of = np.unique(np.asarray(table.column("doc_id")), return_index=True, return_inverse=True)
+    place = np.asarray(table.column("place"))[one]
+    tokens, first = _sets(table.column("text").take(pa.array(one)).combine_chunks(), Powers())
+    sets = [np.unique(tokens[a:b]) for a, b in zip(first[:-1], first[1:])]
+    x, y = of[left], of[~left]
+    both = _overlaps(sets, x, y)
+    sizes = np.array([len(own) for own in sets])
+    linked = (both > 0) & (100 * both >= PERCENT * (sizes[x][:, None] + sizes[y][None, :] - both)) & (place[x][:, None] != place[y][None, :])
+    up: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while up.setdefault(c, c) != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    found = []
+    for i, j in np.argwhere(linked).tolist():
+        i, j = x[i], y[j]
+        a, b = root(int(place[i])), root(int(place[j]))
+        if a != b:
+            up[a] = b
+            found.append((int(ids[i]), int(ids[j])))
     ends = list(zip(*found)) or [(), ()]
     return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
 
@@ -301,26 +355,43 @@ def _blocks():
     return F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int")
 
 
+_KEY, _PAIR = ["ga", "gb"], ["ga", "gb", "i", "j"]
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members, with their other columns, once for each pair of blocks (ga, gb, i, j) that they are in."""
+    start = F.when(F.expr("ga = gb and left"), F.col("own")).otherwise(0)
+    end = F.when(~F.col("left"), F.when(F.expr("ga = gb"), F.col("own")).otherwise(F.col("ki") - 1)).otherwise(F.col("kj") - 1)
+    met = members.withColumn("other", F.explode(F.sequence(start, end)))
+    met = met.withColumn("i", F.when(F.col("left"), F.col("own")).otherwise(F.col("other")))
+    return met.withColumn("j", F.when(F.col("left"), F.col("other")).otherwise(F.col("own"))).drop("own", "other", "ki", "kj")
+
+
+def _together(met: DataFrame):
+    """Rows by pair of blocks. Work follows the number of pairs, so small partitions are not put together by their bytes."""
+    return met.repartition(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), *_PAIR).groupBy(*_PAIR)
+
+
 def _compared(left: DataFrame, right: DataFrame, heads: DataFrame, place: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (``a``, ``b``) between the members (ga, gb, doc_id, ki, kj) of two sides with equal ``ga``, ``gb``, whose numbers of
     blocks are ``ki`` and ``kj``; within a group (``ga = gb``, both sides equal) each pair of blocks meets once. ``place``
-    says what is joined already."""
-    key = ["ga", "gb"]
+    says what is joined already. Texts go only to what the bit maps leave."""
 
     def turn(k: str):
         return F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col(k)).cast("int")
 
-    lefts = left.select(*key, "doc_id", F.lit(True).alias("left"), turn("ki").alias("own"), "kj", "ki")
-    rights = right.select(*key, "doc_id", F.lit(False).alias("left"), turn("kj").alias("own"), "kj", "ki")
+    lefts = left.select(*_KEY, "doc_id", F.lit(True).alias("left"), turn("ki").alias("own"), "kj", "ki")
+    rights = right.select(*_KEY, "doc_id", F.lit(False).alias("left"), turn("kj").alias("own"), "kj", "ki")
     members = stored(lefts.unionByName(rights), "members")
-    texts = _texts(members.select("doc_id"), docs)
-    known = heads.select("doc_id", "n_shingles", "bits").join(texts, "doc_id").join(place, "doc_id")
-    start = F.when(F.expr("ga = gb and left"), F.col("own")).otherwise(0)
-    end = F.when(~F.col("left"), F.when(F.expr("ga = gb"), F.col("own")).otherwise(F.col("ki") - 1)).otherwise(F.col("kj") - 1)
-    met = members.join(known, "doc_id").withColumn("other", F.explode(F.sequence(start, end)))
-    first, second = F.when(F.col("left"), F.col("own")).otherwise(F.col("other")), F.when(F.col("left"), F.col("other")).otherwise(F.col("own"))
-    met = met.select(*key, first.alias("i"), second.alias("j"), "left", "doc_id", "n_shingles", "place", "bits", "text")
-    return met.groupBy(*key, "i", "j").applyInArrow(_block_links, "a long, b long")
+    known = heads.select("doc_id", "n_shingles", "bits").join(place, "doc_id")
+    met = stored(_together(_dealt(members.join(known, "doc_id"))).applyInArrow(_block_pairs, _MET), "met")
+    links = verify(met.filter("a is not null").select("a", "b"), docs)
+    many = met.filter("a is null").select(*_PAIR)
+    if many.isEmpty():
+        return links
+    full = stored(_dealt(members).join(many, _PAIR, "left_semi"), "full")
+    full = full.join(_texts(full.select("doc_id"), docs), "doc_id").join(place, "doc_id")
+    return links.unionByName(_together(full).applyInArrow(_block_links, "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -361,29 +432,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     group = stored(group, "groups")
     kinds = stored(group.groupBy("grp").agg(F.min("part").alias("part"), F.max("part").alias("last")), "kinds")
 
-    # The matrix: tokens that more than one group holds.
-    cells = heads.select("doc_id", "prefix").join(group.select("doc_id", "grp", F.col("n_shingles").alias("n")), "doc_id")
-    cells = cells.select(F.explode("prefix").alias("token"), "grp", "n")
-    several = cells.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo < hi").select("token")
-    rows = cells.join(several, "token").groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    rows = stored(rows, "cells")
-    left = rows.select("token", F.col("grp").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    right = rows.select("token", F.col("grp").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    fits = F.expr(f"a < b and 100 * mb >= {PERCENT} * la and 100 * ma >= {PERCENT} * lb")
-    pairs = left.join(right, "token").filter(fits).select("a", "b").distinct()
+    # The matrix: tokens that more than one document holds, dealt out once by token.
+    cells = heads.select(F.explode("prefix").alias("token"), "doc_id").repartition("token")
+    several = cells.groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("token")
+    cells = stored(cells.join(several.hint("shuffle_hash"), "token", "left_semi"), "cells")
+    cells = stored(cells.join(group.select("doc_id", "grp", "n_shingles"), "doc_id"), "cells")
+    rows = cells.groupBy("token", F.col("grp").alias("b")).agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    # Members and the groups that they share a token with; of two groups that hold a link both have such members.
+    fits = F.expr(f"grp <> b and 100 * most >= {PERCENT} * n_shingles and 100 * n_shingles >= {PERCENT} * least")
+    shared = stored(cells.join(rows, "token").filter(fits).select("doc_id", "n_shingles", "grp", "b").distinct(), "shared")
+    pairs = shared.filter("grp < b").select(F.col("grp").alias("a"), "b").distinct()
+    pairs = pairs.join(shared.filter("grp > b").select(F.col("b").alias("a"), F.col("grp").alias("b")).distinct(), ["a", "b"], "left_semi")
     unions = group.groupBy(F.col("grp").alias("id")).agg(
         F.min("n_shingles").alias("n"), F.array(*[F.max(F.col("folds")[i]) for i in range(FOLDS)]).alias("folds")
     )
     opened = stored(_opened(stored(pairs, "group_pairs"), unions, unions), "opened")
 
-    # Opened groups: members that the other group's union still allows, then pairs of such members.
-    both = opened.unionByName(opened.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    unions_b = unions.toDF("b", "nb", "fb")
-    room = F.aggregate(F.zip_with("folds", "fb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
-    may_link = room * (100 + PERCENT) >= PERCENT * (F.col("n_shingles") + F.col("nb"))
-    # The bound is part of the join: members that it rules out never become rows.
-    asked = both.join(unions_b, "b").join(group, (F.col("a") == F.col("grp")) & may_link)
-    allowed = stored(asked.select(F.col("doc_id").alias("a"), "b", F.col("grp").alias("g"), "n_shingles"), "allowed")
+    # Opened groups: the members that share a token with the other group.
+    both = opened.select(F.col("a").alias("grp"), "b").unionByName(opened.select(F.col("b").alias("grp"), F.col("a").alias("b")))
+    allowed = shared.join(both, ["grp", "b"], "left_semi").select(F.col("doc_id").alias("a"), "b", F.col("grp").alias("g"), "n_shingles")
+    allowed = stored(allowed, "allowed")
     left = allowed.filter("g < b").select(F.col("g").alias("ga"), F.col("b").alias("gb"), "a", "n_shingles")
     right = allowed.filter("g > b").select(F.col("b").alias("ga"), F.col("g").alias("gb"), F.col("a").alias("b"), "n_shingles")
     turns = left.groupBy("ga", "gb").agg(F.count("*").alias("na"), _blocks().alias("ki")).join(

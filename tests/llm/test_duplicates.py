@@ -31,6 +31,20 @@ def test_components(spark):
     assert graph.components(df.limit(0)).count() == 0
 
 
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    """A chain is contracted by one task; with more links than that task may take, rounds come first."""
+    links = [(i, i + 1) for i in range(400)] + [(1000, 1000 + i) for i in range(1, 50)]
+    df = spark.createDataFrame(links, "a long, b long")
+    want = smallest(links, {n for pair in links for n in pair})
+    written = []
+    monkeypatch.setattr(graph, "stored", lambda frame, label, write=graph.stored: written.append(label) or write(frame, label))
+    assert {r.node: r.component for r in graph.components(df).collect()} == want
+    assert written.count("moves") == 1
+    monkeypatch.setattr(graph, "FEW", 60)
+    assert {r.node: r.component for r in graph.components(df).collect()} == want
+    assert written.count("moves") > 3
+
+
 def shingles(text):
     words = (text or "").lower().split()
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
@@ -85,6 +99,41 @@ def test_jaccard_of_a_family(spark, monkeypatch):
     assert got == smallest(links, sets) and 10 < len(set(got.values())) < 150
 
 
+def linked(texts):
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    links = [(a, b) for a in sets for b in sets if a < b and (both := len(sets[a] & sets[b])) and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)]
+    return smallest(links, sets)
+
+
+@pytest.mark.parametrize("kept", [0, 2, 1000])
+def test_blocks_with_few_and_with_many_pairs(spark, monkeypatch, kept):
+    """The links do not depend on whether pairs or whole blocks get their texts, nor on how wide the matrices are."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "PAIRS_KEPT", kept)
+    monkeypatch.setattr(jaccard, "UNPACKED", 1 << 12)
+    rng = np.random.default_rng(11)
+    texts = []
+    for family in range(3):
+        base = [f"w{family}x{i}" for i in range(60)]
+        for k in range(40):
+            own = list(base)
+            for at in rng.choice(60, int(rng.integers(0, 3)), replace=False):
+                own[at] = f"n{family}x{k}x{at}"
+            texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()} == linked(texts)
+
+
+def test_overlaps_are_exact(monkeypatch):
+    monkeypatch.setattr(jaccard, "UNPACKED", 500)
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 400, n).astype(np.uint64)) for n in (0, 1, 5, 60, 200, 300, 300)]
+    rows, columns = np.array([0, 2, 3, 6, 6]), np.array([1, 4, 5, 0])
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in columns] for i in rows]
+    assert jaccard._overlaps(sets, rows, columns).tolist() == want
+    assert jaccard._overlaps([np.zeros(0, np.uint64)] * 2, np.array([0]), np.array([1])).tolist() == [[0]]
+
+
 def test_jaccard_edges(edge_docs, empty):
     rows = jaccard.jaccard_components(edge_docs).collect()
     assert len(rows) == edge_docs.count()
